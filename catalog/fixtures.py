@@ -27,7 +27,7 @@ FIXTURES = {
         CAST(CASE WHEN q = 0 THEN 0 ELSE 1 END AS DOUBLE) AS m FROM @columns_xy""",
     "posfield": """SELECT dataset, y AS iy, x AS ix, CAST(x + 0.5 + (y % 4) * 0.125 + q * 0.0625 AS DOUBLE) AS tx,
         CAST(y - 0.25 + (x % 3) * 0.125 AS DOUBLE) AS ty FROM @columns_xy""",
-    "points": """SELECT l_linenumber AS stack, row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1 AS pid,
+    "points": """SELECT CAST(l_linenumber AS BIGINT) AS stack, ((l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey) * 100000 + l_suppkey AS pid,
         CAST(l_partkey % 500 AS DOUBLE) AS x, CAST(l_orderkey % 400 AS DOUBLE) AS y, CAST(l_suppkey % 60 AS DOUBLE) AS z,
         CAST(max(l_quantity) AS DOUBLE) AS intensity FROM @lineitem GROUP BY l_orderkey, l_linenumber, l_partkey, l_suppkey""",
     "tiles": """SELECT s_suppkey AS tile, (s_suppkey % 10) * 90 AS ox, (CAST(floor(s_suppkey / 10) AS BIGINT) % 10) * 90 AS oy,
@@ -42,5 +42,6 @@ FIXTURES = {
         FROM @keys GROUP BY CAST(k % 5 AS BIGINT), CAST(floor(k / 500) AS BIGINT)""",
     "slabs": """SELECT n_nationkey AS ord, concat('slab', CAST(n_nationkey AS STRING)) AS dataset, CAST(2 AS BIGINT) AS top,
         CAST(20 + n_regionkey AS BIGINT) AS bot FROM @nation""",
+    "descriptors": """SELECT vec_id AS fid, CAST(vec_id % 2 AS BIGINT) AS side, CAST(0 AS BIGINT) AS pair, embedding AS descr FROM @embeddings""",
     "grid_orders": """SELECT o_orderkey AS id, 20 + o_orderkey % 60 AS nx, 10 + o_orderkey % 37 AS ny, 1 + o_orderkey % 23 AS nz FROM @orders""",
 }

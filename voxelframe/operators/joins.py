@@ -64,12 +64,23 @@ def overlap_pairs(tiles: DataFrame, cell: int, axes: tuple = ("x", "y", "z"), ti
     return p.join(q, cond).select(*out)
 
 
+def running_total(df: DataFrame, keys: list[str], order: str, value: str, name: str, chunk: int = 4096) -> DataFrame:
+    """Exclusive running sum along an integer order column. The long window
+    spans one chunk of order steps; only one row per chunk enters the window
+    over the whole series, so a long series does not meet in one task."""
+    part = df.withColumn("_c", F.floor(F.col(order) / chunk))
+    whole = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
+    base = part.groupBy(*keys, "_c").agg(F.sum(value).alias("_s"))
+    base = base.withColumn("_base", F.coalesce(F.sum("_s").over(whole), F.lit(0))).drop("_s")
+    inside = Window.partitionBy(*keys, "_c").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    total = F.coalesce(F.sum(value).over(inside), F.lit(0)) + F.col("_base")
+    return part.join(base, [*keys, "_c"]).withColumn(name, total).drop("_c", "_base")
+
+
 def slab_offsets(slabs: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """Running z offset of every slab of a series: the sum of the depths before it.
-    A series has one row per slab, so the window group is the slab list itself."""
-    before = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
-    depth = F.col("bot") - F.col("top") + 1
-    return slabs.withColumn("depth", depth).withColumn("zoff", F.coalesce(F.sum(depth).over(before), F.lit(0)))
+    """Running z offset of every slab of a series: the sum of the depths before it."""
+    rows = slabs.withColumn("depth", F.col("bot") - F.col("top") + 1)
+    return running_total(rows, keys or [], "ord", "depth", "zoff")
 
 
 def blocks_of_slabs(blocks: DataFrame, slabs: DataFrame, cell: int) -> DataFrame:
