@@ -110,8 +110,8 @@ def model_of(sums: DataFrame, kind: str, regularizer: str | None = None, lam: fl
         one = F.array(*[F.lit(1.0 if c == r else 0.0) for r in range(dim) for c in range(dim + 1)])
         return out.withColumn("m", blend(F.col("m"), one, lam))
     if regularizer:
-        out = model_from_moments(out, regularizer, dim, "_r")
-        return out.withColumn("m", blend(F.col("m"), F.col("_r"), lam)).drop("_r")
+        out = model_from_moments(out, regularizer, dim, "stiff")
+        return out.withColumn("m", blend(F.col("m"), F.col("stiff"), lam)).drop("stiff")
     return out
 
 

@@ -1,12 +1,47 @@
-"""Export plans: which blocks an export run covers and what feeds them."""
+"""Export plans: which blocks an export run covers, and the aligned volume itself."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from voxelframe.operators import joins
+from voxelframe.functions.scalar import to_pixel
+from voxelframe.operators import compose, joins, stencils
+from voxelframe.operators.resample import interpolate
+from voxelframe.operators.transforms import transition
+from voxelframe.schema import KEY, POS
 
 
 def plan_export(blocks: DataFrame, slabs: DataFrame, cell: int) -> DataFrame:
     """Blocks of an export with every slab that contributes, without computing pixels."""
     return joins.blocks_of_slabs(blocks, slabs.withColumnRenamed("dataset", "slab"), cell)
+
+
+def place_slabs(slabs: DataFrame) -> DataFrame:
+    """Resolve bottom offsets below 0 (counted from the end of the slab, ``nz``) and add z offsets."""
+    return joins.slab_offsets(slabs.withColumn("bot", F.when(F.col("bot") < 0, F.col("nz") + F.col("bot")).otherwise(F.col("bot"))))
+
+
+def export_slabs(vox: DataFrame, slabs: DataFrame, grid: DataFrame, top: DataFrame, bottom: DataFrame,
+                 z_range: tuple[int, int] | None = None, normalize: tuple[int, int] | None = None,
+                 overflow: str = "saturate", scale: float = 1.0, name: str = "aligned") -> DataFrame:
+    """One aligned volume from a series of slabs.
+
+    Each slab layer reads its source through the mix of the transforms of its two
+    faces, moves to its place in the series and is added to what other slabs put
+    there. ``grid`` holds the output pixels (y, x) of every slab. A z range
+    limits the layers before any pixel is read. ``normalize`` applies local
+    contrast with these radii. Background voxels are not stored."""
+    placed = place_slabs(slabs).select(*KEY, "top", "bot", "zoff")
+    layers = placed.withColumn("sz", F.explode(F.sequence("top", "bot"))).withColumn("z", F.col("sz") - F.col("top") + F.col("zoff"))
+    if z_range is not None:
+        layers = layers.where(F.col("z").between(*z_range))
+    targets = grid.join(layers, KEY)
+    moved = transition(targets, top, bottom, F.col("sz"), F.col("top").cast("double"), F.col("bot").cast("double"), scale)
+    read = interpolate(moved, vox, {"z": "sz", "y": "sy", "x": "sx"}, ["v"])
+    pixels = read.select(F.lit(name).alias("dataset"), "z", "y", "x", to_pixel(F.col("v")).alias("v"))
+    out = compose.additive([pixels], overflow)
+    if normalize is not None:
+        out = stencils.local_contrast(out, *normalize, limit=10.0, gamma=0.5, keep_min_max=True).select(
+            *POS, to_pixel(F.col("v")).alias("v"))
+    return out.where(F.col("v") != 0)
