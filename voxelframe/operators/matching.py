@@ -134,41 +134,42 @@ def residual(matrix: str = "m", dim: int = 2) -> Column:
 
 # ---- consensus -------------------------------------------------------------------
 
-# Matches needed to determine a model.
-SEEDS = {"translation": 1, "rigid": 2, "similarity": 2, "affine": 3}
+def _seeds(kind: str, dim: int) -> int:
+    """Matches needed to determine a model."""
+    return {"translation": 1, "rigid": 2, "similarity": 2, "affine": dim + 1}[kind]
 
 
 def _solve_seed(p: np.ndarray, q: np.ndarray, kind: str) -> np.ndarray:
-    """Exact 2-D models of many small seed sets: p, q (h, k, 2) -> (h, 6)."""
-    h = len(p)
+    """Exact models of many small seed sets: p, q (h, k, dim) -> (h, dim * (dim + 1))."""
+    h, _, dim = p.shape
     if kind == "affine":
-        left = np.concatenate([p, np.ones((h, 3, 1))], axis=2)
+        left = np.concatenate([p, np.ones((h, dim + 1, 1))], axis=2)
         solvable = np.abs(np.linalg.det(left)) > 1e-9
-        left[~solvable] = np.eye(3)
+        left[~solvable] = np.eye(dim + 1)
         model = np.linalg.solve(left, q).transpose(0, 2, 1)
         model[~solvable] = np.nan
-        return model.reshape(h, 6)
+        return model.reshape(h, -1)
     mp, mq = p.mean(axis=1), q.mean(axis=1)
-    c, s = np.ones(h), np.zeros(h)
-    if kind != "translation":
-        u, v = p[:, 1] - p[:, 0], q[:, 1] - q[:, 0]
-        c, s = (u * v).sum(axis=1), u[:, 0] * v[:, 1] - u[:, 1] * v[:, 0]
-        norm = np.hypot(c, s) if kind == "rigid" else (u * u).sum(axis=1)
-        with np.errstate(all="ignore"):
-            c, s = c / norm, s / norm
+    if kind == "translation":
+        return np.concatenate([np.broadcast_to(np.eye(dim), (h, dim, dim)), (mq - mp)[:, :, None]], axis=2).reshape(h, -1)
+    u, v = p[:, 1] - p[:, 0], q[:, 1] - q[:, 0]
+    c, s = (u * v).sum(axis=1), u[:, 0] * v[:, 1] - u[:, 1] * v[:, 0]
+    norm = np.hypot(c, s) if kind == "rigid" else (u * u).sum(axis=1)
+    with np.errstate(all="ignore"):
+        c, s = c / norm, s / norm
     tx = mq[:, 0] - c * mp[:, 0] + s * mp[:, 1]
     ty = mq[:, 1] - s * mp[:, 0] - c * mp[:, 1]
     return np.stack([c, -s, tx, s, c, ty], axis=1)
 
 
 def ransac(matches: DataFrame, keys: list[str], kind: str = "affine", iterations: int = 1000, epsilon: float = 10.0,
-           min_ratio: float = 0.0, min_inliers: int = 7, seed: int = 1, identity: str = "mid", refine: int = 2) -> DataFrame:
+           min_ratio: float = 0.0, min_inliers: int = 7, seed: int = 1, identity: str = "mid", refine: int = 2, dim: int = 2) -> DataFrame:
     """Inliers of the model with the largest consensus of every group.
 
     All matches vote. Returns the match rows of groups that reach the minimum
     consensus."""
-    k = SEEDS[kind]
-    point = F.array("px", "py", "qx", "qy")
+    k, size = _seeds(kind, dim), dim * (dim + 1)
+    point = F.array(*[F.col(f"{s}{a}").cast("double") for s in "pq" for a in _axes(dim)])
     pool = top_per_group(matches, keys, [F.xxhash64(identity, F.lit(seed)), F.col(identity)], CHUNK, [identity])
     pool = pool.groupBy(*keys).agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("rank", point.alias("p")))),
                                                          lambda s: s["p"])).alias("pool"))
@@ -177,22 +178,21 @@ def ransac(matches: DataFrame, keys: list[str], kind: str = "affine", iterations
     def hypotheses(pools: pd.Series) -> pd.Series:
         out = []
         for flat in pools:
-            rows = np.asarray(flat, dtype=float).reshape(-1, 4)
+            rows = np.asarray(flat, dtype=float).reshape(-1, 2 * dim)
             rng = np.random.default_rng(seed)
             picks = rng.integers(0, len(rows), size=(iterations, k))
-            out.append(_solve_seed(rows[picks, :2], rows[picks, 2:], kind).ravel())
+            out.append(_solve_seed(rows[picks, :dim], rows[picks, dim:], kind).ravel())
         return pd.Series(out)
 
     @F.pandas_udf("array<long>")
     def votes(chunks: pd.Series, models: pd.Series) -> pd.Series:
         out = []
         for flat, model in zip(chunks, models):
-            rows = np.asarray(flat, dtype=float).reshape(-1, 4)
-            m = np.asarray(model, dtype=float).reshape(-1, 2, 3)
-            dx = m[:, 0, :2] @ rows[:, :2].T + m[:, 0, 2:] - rows[:, 2]
-            dy = m[:, 1, :2] @ rows[:, :2].T + m[:, 1, 2:] - rows[:, 3]
+            rows = np.asarray(flat, dtype=float).reshape(-1, 2 * dim)
+            m = np.asarray(model, dtype=float).reshape(-1, dim, dim + 1)
+            gap = sum((m[:, r, :dim] @ rows[:, :dim].T + m[:, r, dim:] - rows[:, dim + r]) ** 2 for r in range(dim))
             with np.errstate(invalid="ignore"):
-                out.append((dx * dx + dy * dy < epsilon * epsilon).sum(axis=1))
+                out.append((gap < epsilon * epsilon).sum(axis=1))
         return pd.Series(out)
 
     models = pool.select(*keys, hypotheses("pool").alias("models"))
@@ -203,11 +203,11 @@ def ransac(matches: DataFrame, keys: list[str], kind: str = "affine", iterations
     scored = chunks.join(models, keys).select(*keys, F.posexplode(votes("chunk", "models")).alias("h", "votes"))
     best = scored.groupBy(*keys, "h").agg(F.sum("votes").alias("votes"))
     best = best.groupBy(*keys).agg((-F.max(F.struct("votes", (-F.col("h")).alias("o")))["o"]).alias("h"))
-    chosen = models.join(best, keys).select(*keys, F.slice("models", F.col("h") * 6 + 1, F.lit(6)).alias("m"))
+    chosen = models.join(best, keys).select(*keys, F.slice("models", F.col("h") * size + 1, F.lit(size)).alias("m"))
     for step in range(refine + 1):
-        inside = matches.join(chosen, keys).where(residual() < epsilon).drop("m")
+        inside = matches.join(chosen, keys).where(residual("m", dim) < epsilon).drop("m")
         if step < refine:
-            chosen = fit_model(inside, keys, kind).select(*keys, "m").where(~F.exists("m", lambda c: c.isNull()))
+            chosen = fit_model(inside, keys, kind, dim=dim).select(*keys, "m").where(~F.exists("m", lambda c: c.isNull()))
     kept = inside.groupBy(*keys).agg(F.count(F.lit(1)).alias("inliers")).join(counts, keys)
     kept = kept.where((F.col("inliers") >= min_inliers) & (F.col("inliers") >= F.col("total") * F.lit(min_ratio)))
     return inside.join(kept.select(*keys), keys, "left_semi")

@@ -151,12 +151,12 @@ def transform_points(points: DataFrame, models: DataFrame, keys: list[str], dim:
 
 
 def icp(a: DataFrame, b: DataFrame, keys: list[str], kind: str, max_distance: float, rounds: int = 100, dim: int = 3,
-        pid: str = "pid") -> DataFrame:
+        pid: str = "pid", start: DataFrame | None = None) -> DataFrame:
     """Iterative closest point per key: match each moved a to its nearest b
     within ``max_distance``, refit the model from the original coordinates, stop
     when the match count and the mean distance no longer change."""
     ax = list("xyz"[:dim])
-    moved, last, models = a, None, None
+    moved, last, models = a if start is None else transform_points(a, start, keys, dim), None, None
     for _ in range(rounds):
         pairs = nn_join(moved, b, keys, ax, max_distance, pid, pid)
         rows = pairs.join(a.select(*keys, F.col(pid).alias("a"), *[F.col(c).cast("double").alias(f"p{c}") for c in ax]), [*keys, "a"])

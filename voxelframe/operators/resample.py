@@ -23,7 +23,7 @@ def corner_cells(df: DataFrame, axes: list[str], values: list[str], keys: list[s
     """Lattice cells with their corners: column ``c`` holds 2^k structs of the
     values, the first axis varying fastest; absent corners are null. Works on
     sparse volumes: cells below the first sample of a run are added."""
-    lattice = [a for a in AXES if a in df.columns]
+    lattice = [a for a in AXES if a in df.columns and a not in keys]
     out = df.select(*keys, *lattice, F.array(F.struct(*[F.col(v).cast("double").alias(v) for v in values])).alias("c"))
     for a in axes:
         over = line(out, a, keys)

@@ -37,14 +37,15 @@ def half_kernel(sigma: float, normalize: bool = True) -> list[float]:
 
 
 def convolve_line(df: DataFrame, axis: str, kernel: list[float], border: str, sizes: DataFrame,
-                  values: list[str] = ("v",), keys: list[str] = KEY) -> DataFrame:
-    """Symmetric convolution of one axis with a half kernel."""
+                  values: list[str] = ("v",), keys: list[str] = KEY, outside: float = 0.0) -> DataFrame:
+    """Symmetric convolution of one axis with a half kernel; ``outside`` is the
+    value beyond the volume for the constant border."""
     reach = len(kernel) - 1
     axes = [a for a in AXES if a in df.columns]
     spot = {a: reach if a == axis else 0 for a in axes}
     packed = df.select(*keys, *axes, F.struct(*values).alias("v"))
     if border in ("constant", "zero"):
-        wide, fill = packed, F.lit(0.0)
+        wide, fill = packed, F.lit(float(outside))
     else:
         wide, fill = pixel.pad(packed, spot, border, sizes, keys), None
     over = line(df, axis, keys)
@@ -67,12 +68,12 @@ def convolve_line(df: DataFrame, axis: str, kernel: list[float], border: str, si
 
 
 def gauss(df: DataFrame, sigmas: dict[str, float], border: str = "mirror_single", sizes: DataFrame | None = None,
-          values: list[str] = ("v",), keys: list[str] = KEY) -> DataFrame:
+          values: list[str] = ("v",), keys: list[str] = KEY, outside: float = 0.0) -> DataFrame:
     """Separable Gaussian with one sigma per axis (0 leaves the axis alone)."""
     sizes = pixel.extents(df, keys) if sizes is None else sizes
     for axis, sigma in sigmas.items():
         if sigma > 0:
-            df = convolve_line(df, axis, half_kernel(sigma), border, sizes, list(values), keys)
+            df = convolve_line(df, axis, half_kernel(sigma), border, sizes, list(values), keys, outside)
     return df
 
 
