@@ -46,8 +46,8 @@ def _(f):
 
 
 @query("m14_phase_shift", "dataset:s z by_ bx_ sx:f sy:f", """WITH p AS (SELECT a.dataset, a.z, a.y, a.x FROM @em a JOIN @em_b b USING (dataset, z, y, x)),
-k AS (SELECT DISTINCT dataset, z, y // 6 + o AS by_, x // 8 + q AS bx_ FROM p, (VALUES (0), (-1)) AS u(o), (VALUES (0), (-1)) AS w(q))
-SELECT dataset, z, by_, bx_, 2 AS sx, 0 AS sy FROM k WHERE by_ >= 0 AND bx_ >= 0""")
+k AS (SELECT dataset, z, y // 6 + o AS by_, x // 8 + q AS bx_, max(y) - min(y) + 1 AS h, max(x) - min(x) + 1 AS w FROM p, (VALUES (0), (-1)) AS u(o), (VALUES (0), (-1)) AS w(q) GROUP BY ALL)
+SELECT dataset, z, by_, bx_, 2 AS sx, 0 AS sy FROM k WHERE by_ >= 0 AND bx_ >= 0 AND h >= 4 AND w - 2 >= 4""")
 def _(f):
     found = features.phase_shift(f.em, f.em_b, {"y": 12, "x": 16})
     return found.select("dataset", "z", F.col("by").alias("by_"), F.col("bx").alias("bx_"), (F.col("qx") - F.col("px")).alias("sx"), (F.col("qy") - F.col("py")).alias("sy"))
@@ -63,7 +63,7 @@ def _(f):
 @query("m15_block_votes", "dataset:s z y x sx sy w:f", """SELECT a.dataset, a.z, a.y, a.x, CASE WHEN a.y BETWEEN 3 AND 16 AND a.x BETWEEN 3 AND 21 THEN 2 ELSE 0 END AS sx, 0 AS sy, 1 AS w
 FROM @em a JOIN @em_b b USING (dataset, z, y, x)""")
 def _(f):
-    return features.block_votes(f.em, f.em_b, 3, features.flow_radii(25), pixel.extents(f.em), {"y": 8, "x": 10})
+    return features.block_votes(f.em, f.em_b, 3, features.flow_radii(25), pixel.extents(f.em), {"y": 20, "x": 13})
 
 
 @query("m15_block_flow", "dataset:s z y x px:f py:f weight:f")

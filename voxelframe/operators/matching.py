@@ -207,7 +207,8 @@ def ransac(matches: DataFrame, keys: list[str], kind: str = "affine", iterations
     for step in range(refine + 1):
         inside = matches.join(chosen, keys).where(residual("m", dim) < epsilon).drop("m")
         if step < refine:
-            chosen = fit_model(inside, keys, kind, dim=dim).select(*keys, "m").where(~F.exists("m", lambda c: c.isNull()))
+            # a model without solution has null residuals and so no inliers
+            chosen = fit_model(inside, keys, kind, dim=dim).select(*keys, "m")
     kept = inside.groupBy(*keys).agg(F.count(F.lit(1)).alias("inliers")).join(counts, keys)
     kept = kept.where((F.col("inliers") >= min_inliers) & (F.col("inliers") >= F.col("total") * F.lit(min_ratio)))
     return inside.join(kept.select(*keys), keys, "left_semi")
