@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from voxelframe.functions import affine, scalar
 from voxelframe.operators import grid, joins, stats, transforms
 
-HEIGHTS = [(0, 0, 1, 11), (1, 0, 2, 22), (2, 0, 3, 33), (0, 1, 4, 44), (1, 1, 5, 55), (2, 1, 6, 66)]
+HEIGHTS = [(0, 0, 1.0, 11.0), (1, 0, 2.0, 22.0), (2, 0, 3.0, 33.0), (0, 1, 4.0, 44.0), (1, 1, 5.0, 55.0), (2, 1, 6.0, 66.0)]
 VECTORS = [(0, 0, 1, 100), (0, 0, 6, 150), (0, 0, 11, 200), (1, 0, 2, 100), (1, 0, 22, 200), (2, 0, 3, 100), (2, 0, 18, 150), (2, 0, 33, 200)]
 
 
