@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from voxelframe.operators.grid import with_block, with_halo
 from voxelframe.schema import BLOCKS, KEY, PIXEL_TYPES, POS, VOLUME
+from voxelframe.session import measured, small
 
 PIECE_ROWS = 1 << 18
 
@@ -39,7 +40,7 @@ def to_blocks(vox: DataFrame, block: dict[str, int], sizes: DataFrame, dtype: st
         return pd.DataFrame({"dataset": [dataset], "gz": [gz], "gy": [gy], "gx": [gx],
                              "nz": [nz], "ny": [ny], "nx": [nx], "data": [cube.tobytes()]})
 
-    keyed = with_block(vox, block).join(sizes, KEY)
+    keyed = with_block(vox, block).join(small(sizes), KEY)
     return keyed.groupBy("dataset", "gz", "gy", "gx").applyInPandas(pack, BLOCKS)
 
 
@@ -105,7 +106,7 @@ def reblock(blocks: DataFrame, block: dict[str, int], target: dict[str, int], si
             cube[r.pz:r.pz + r.mz, r.py:r.py + r.my, r.px:r.px + r.mx] = part
         return pd.DataFrame([[*key, *cube.shape, cube.tobytes()]], columns=BLOCKS.names)
 
-    extents = sizes.select("dataset", F.col("nz").alias("ez"), F.col("ny").alias("ey"), F.col("nx").alias("ex"))
+    extents = small(sizes).select("dataset", F.col("nz").alias("ez"), F.col("ny").alias("ey"), F.col("nx").alias("ex"))
     pieces = blocks.join(extents, KEY).mapInPandas(cut, schema)
     return pieces.groupBy("dataset", "gz", "gy", "gx").applyInPandas(join_pieces, BLOCKS)
 
@@ -142,7 +143,8 @@ def map_blocks(vox: DataFrame, fn: Callable[[np.ndarray], np.ndarray], block: di
         return pd.DataFrame({"dataset": key[0], "z": z + inner_low[0], "y": y + inner_low[1], "x": x + inner_low[2],
                              "v": out.ravel().astype(float)})
 
-    spread = with_halo(vox, block, halo, sizes).join(sizes, KEY)
+    sizes = measured(sizes)
+    spread = with_halo(vox, block, halo, sizes).join(small(sizes), KEY)
     return spread.groupBy("dataset", "gz", "gy", "gx").applyInPandas(run, schema)
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from voxelframe.functions.scalar import half_up, to_pixel
 from voxelframe.operators import compose, pixel, stats, stencils, transforms
 from voxelframe.schema import KEY, POS
+from voxelframe.session import small
 
 AXES = ("z", "y", "x")
 
@@ -26,7 +27,7 @@ def derivative_cost(vox: DataFrame, outside: DataFrame, sizes: DataFrame, mask:
     ``outside`` holds the grey value beyond each volume (column ``median``). The
     first layer and the end layers of incomplete columns take 255 - outside;
     elsewhere incomplete columns cost 255."""
-    base = vox.join(outside.select(*KEY, F.col("median").alias("_o")), KEY).join(sizes.select(*KEY, F.col("nz").alias("_nz")), KEY)
+    base = vox.join(small(outside).select(*KEY, F.col("median").alias("_o")), KEY).join(small(sizes).select(*KEY, F.col("nz").alias("_nz")), KEY)
     if median:
         base = stencils.median_z3(base, F.col("_o"))
     ahead = F.coalesce(F.lead("v").over(stencils.line(base, "z")), F.col("_o"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxelframe.schema import KEY
+from voxelframe.session import measured, small
 
 AXES = ("z", "y", "x")
 
@@ -53,7 +54,7 @@ def with_halo(vox: DataFrame, block: dict[str, int], halo: dict[str, int], sizes
               keys: list[str] = KEY) -> DataFrame:
     """Copy every voxel into each block that needs it with a border of ``halo``
     voxels. Only voxels near a block face are copied more than once."""
-    out = vox.join(sizes, keys)
+    out = vox.join(small(sizes), keys)
     for a, b in block.items():
         h = halo.get(a, 0)
         first = F.greatest(F.lit(0).cast("long"), F.floor((F.col(a) - h) / b))
@@ -125,11 +126,11 @@ def overlap_blocks(a: DataFrame, b: DataFrame, keys: list[str], size: dict[str,
         return df.groupBy(*keys).agg(*[f(c).alias(f"{tag}{n}_{c}") for c in axes for n, f in (("lo", F.min), ("hi", F.max))])
 
     both = box(a, "a").join(box(b, "b"), keys)
-    common = both.select(*keys, *[F.greatest(f"alo_{c}", f"blo_{c}").alias(f"lo_{c}") for c in axes],
-                         *[F.least(f"ahi_{c}", f"bhi_{c}").alias(f"hi_{c}") for c in axes])
+    common = measured(both.select(*keys, *[F.greatest(f"alo_{c}", f"blo_{c}").alias(f"lo_{c}") for c in axes],
+                                  *[F.least(f"ahi_{c}", f"bhi_{c}").alias(f"hi_{c}") for c in axes]))
 
     def counted(df, name):
-        out = df.join(common, keys)
+        out = df.join(small(common), keys)
         for c in axes:
             half = size[c] / 2
             out = out.where(F.col(c).between(F.col(f"lo_{c}"), F.col(f"hi_{c}")))

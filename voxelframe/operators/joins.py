@@ -1,8 +1,8 @@
 """Joins: neighbouring slices and faces, box overlap, nearest points, match sets.
 
 Range joins become equi-joins on grid cells followed by an exact recheck, so
-they hash-partition; adaptive execution splits skewed cells. No side is
-broadcast by hand: Spark decides from measured sizes.
+they hash-partition; adaptive execution splits skewed cells. Only tables whose
+row count was checked are broadcast.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from voxelframe.functions.scalar import half_up
 from voxelframe.schema import KEY
+from voxelframe.session import small
 
 
 def slice_pairs(slices: DataFrame, keys: list[str], distance: int, inclusive: bool = False, index: str = "z") -> DataFrame:
@@ -96,7 +97,7 @@ def blocks_of_slabs(blocks: DataFrame, slabs: DataFrame, cell: int) -> DataFrame
 
 def join_layer_models(vox: DataFrame, models: DataFrame, keys: list[str] = KEY) -> DataFrame:
     """Attach per-layer models (one row per layer) to every voxel."""
-    return vox.join(models, [*keys, "z"])
+    return vox.join(small(models), [*keys, "z"])
 
 
 def join_field(vox: DataFrame, field: DataFrame, keys: list[str] = KEY) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from voxelframe.operators.solve import components
 from voxelframe.operators.stencils import line
 from voxelframe.schema import KEY, POS
+from voxelframe.session import small
 
 AXES = ("z", "y", "x")
 
@@ -21,7 +22,7 @@ def label_volume(vox: DataFrame, foreground: Column, sizes: DataFrame) -> DataFr
     Runs along x become the graph nodes, so the graph is one image line shorter
     per dimension than the volume."""
     number = (F.col("z") * F.col("ny") + F.col("y")) * F.col("nx") + F.col("x")
-    on = vox.where(foreground).join(sizes, KEY)
+    on = vox.where(foreground).join(small(sizes), KEY)
     starts = F.col("x") != F.coalesce(F.lag("x").over(line(on, "x")), F.lit(-2)) + 1
     runs = on.withColumn("first", starts).withColumn("_start", F.when(F.col("first"), number))
     run = F.last("_start", ignorenulls=True).over(line(on, "x").rowsBetween(Window.unboundedPreceding, 0))
@@ -85,7 +86,7 @@ def distance_to_boundary(vox: DataFrame, resolution: dict[str, float], sizes: Da
     windows; the two other axes are closed by lower envelopes along whole lines,
     so there is no padding to guess."""
     r = {a: (resolution[a] / 2.0) ** 2 for a in AXES}
-    base = vox.join(sizes, KEY)
+    base = vox.join(small(sizes), KEY)
     for a in AXES:
         base = base.withColumn(f"_f{a}", _boundary_faces(base, a))
     for a in AXES:

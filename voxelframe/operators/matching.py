@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxelframe.operators.stats import top_per_group
-from voxelframe.session import checkpoint
+from voxelframe.session import checkpoint, small
 
 CHUNK = 2048
 
@@ -196,7 +196,7 @@ def ransac(matches: DataFrame, keys: list[str], kind: str = "affine", iterations
         return pd.Series(out)
 
     models = pool.select(*keys, hypotheses("pool").alias("models"))
-    counts = matches.groupBy(*keys).agg(F.count(F.lit(1)).alias("total"))
+    counts = small(matches.groupBy(*keys).agg(F.count(F.lit(1)).alias("total")))
     salted = matches.join(counts, keys).withColumn(
         "salt", F.pmod(F.xxhash64(identity, F.lit(seed + 1)), F.ceil(F.col("total") / CHUNK)))
     chunks = salted.groupBy(*keys, "salt").agg(F.flatten(F.collect_list(point)).alias("chunk"))
@@ -205,7 +205,8 @@ def ransac(matches: DataFrame, keys: list[str], kind: str = "affine", iterations
     best = best.groupBy(*keys).agg((-F.max(F.struct("votes", (-F.col("h")).alias("o")))["o"]).alias("h"))
     chosen = models.join(best, keys).select(*keys, F.slice("models", F.col("h") * size + 1, F.lit(size)).alias("m"))
     for step in range(refine + 1):
-        inside = matches.join(chosen, keys).where(residual("m", dim) < epsilon).drop("m")
+        # one row per group, materialised so that the vote is not repeated
+        inside = matches.join(small(chosen), keys).where(residual("m", dim) < epsilon).drop("m")
         if step < refine:
             # a model without solution has null residuals and so no inliers
             chosen = fit_model(inside, keys, kind, dim=dim).select(*keys, "m")

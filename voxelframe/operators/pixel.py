@@ -6,13 +6,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxelframe.schema import KEY, POS
+from voxelframe.session import measured, small
 
 AXES = ("z", "y", "x")
 
 
 def extents(vox: DataFrame, keys: list[str] = KEY) -> DataFrame:
-    """Size of every volume, from the greatest coordinate (one row per volume)."""
-    return vox.groupBy(*keys).agg(*[(F.max(a) + 1).alias(f"n{a}") for a in AXES if a in vox.columns])
+    """Size of every volume, from the greatest coordinate (one row per volume),
+    computed once. Volumes listed in a data set table need no scan: see ``sizes_of``."""
+    return measured(vox.groupBy(*keys).agg(*[(F.max(a) + 1).alias(f"n{a}") for a in AXES if a in vox.columns]))
+
+
+def sizes_of(datasets: DataFrame) -> DataFrame:
+    """Size of every volume from the data set table (dims in x, y, z order)."""
+    return measured(datasets.select("dataset", *[F.col("dims")[i].alias(f"n{a}") for i, a in enumerate(("x", "y", "z"))]))
 
 
 def crop(vox: DataFrame, low: dict[str, int], size: dict[str, int]) -> DataFrame:
@@ -50,7 +57,7 @@ def rotate90(vox: DataFrame, from_axis: str, to_axis: str) -> DataFrame:
 
 def zero_min(vox: DataFrame, keys: list[str] = KEY) -> DataFrame:
     low = vox.groupBy(*keys).agg(*[F.min(a).alias(f"low_{a}") for a in AXES])
-    return vox.join(low, keys).select(*keys, *[(F.col(a) - F.col(f"low_{a}")).alias(a) for a in AXES], "v")
+    return vox.join(small(low), keys).select(*keys, *[(F.col(a) - F.col(f"low_{a}")).alias(a) for a in AXES], "v")
 
 
 def hyperslice(vox: DataFrame, axis: str, at: int) -> DataFrame:
@@ -97,7 +104,7 @@ def pad(vox: DataFrame, halo: dict[str, int], mode: str, sizes: DataFrame | None
     ``border``, ``mirror_single`` or ``mirror_double``. Only voxels close to a
     face are copied; nothing is shuffled but the one-row-per-volume sizes."""
     sizes = extents(vox, keys) if sizes is None else sizes
-    out = vox.join(sizes, keys)
+    out = vox.join(small(sizes), keys)
     if mode in ("constant", "zero"):
         fill = F.lit(0 if mode == "zero" else value)
         frame = sizes

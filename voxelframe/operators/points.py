@@ -9,7 +9,7 @@ from voxelframe.functions.affine import apply_affine
 from voxelframe.operators import matching
 from voxelframe.operators.joins import near_pairs, nn_join
 from voxelframe.operators.stats import histogram, ranked_histogram
-from voxelframe.session import checkpoint
+from voxelframe.session import checkpoint, small
 
 KINDS = ("mean", "median", "density", "gauss")
 
@@ -74,7 +74,7 @@ def rasterize(points: DataFrame, grid: DataFrame, keys: list[str], axes: list[st
 
 def place_points(points: DataFrame, positions: DataFrame, shear: dict[str, float], key: str = "stack") -> DataFrame:
     """Sheared stack points in the common frame of the tile positions (ox, oy, oz)."""
-    out = points.join(positions, key)
+    out = points.join(small(positions), key)
     return out.withColumns({
         "x": F.col("x") + F.col("ox") - F.col("oz") * F.lit(float(shear.get("x", 0.0))),
         "y": F.col("y") + F.col("oy") - F.col("oz") * F.lit(float(shear.get("y", 0.0))),
@@ -146,7 +146,7 @@ def match_geometric(a: DataFrame, b: DataFrame, keys: list[str], min_ratio: floa
 def transform_points(points: DataFrame, models: DataFrame, keys: list[str], dim: int = 3) -> DataFrame:
     ax = "xyz"[:dim]
     mapped = apply_affine(F.col("m"), [F.col(a) for a in ax])
-    out = points.join(models.select(*keys, "m"), keys, "left")
+    out = points.join(small(models).select(*keys, "m"), keys, "left")
     return out.withColumns({a: F.coalesce(v, F.col(a)) for a, v in zip(ax, mapped)}).drop("m")
 
 

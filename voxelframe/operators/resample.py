@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from voxelframe.operators.stencils import line
 from voxelframe.schema import KEY
+from voxelframe.session import small
 
 AXES = ("z", "y", "x")
 
@@ -83,7 +84,7 @@ def clamped(position: Column, size: Column) -> Column:
 def look_up(targets: DataFrame, field: DataFrame, x: Column, y: Column, values: list[str], sizes: DataFrame,
             keys: list[str] = KEY, prefix: str = "") -> DataFrame:
     """Bilinear, border-extended values of a 2-D field (rows y, x) at (x, y)."""
-    extent = sizes.select(*keys, F.col("nx").alias("_nx"), F.col("ny").alias("_ny"))
+    extent = small(sizes).select(*keys, F.col("nx").alias("_nx"), F.col("ny").alias("_ny"))
     spots = targets.join(extent, keys).withColumn("_px", clamped(x, F.col("_nx"))).withColumn("_py", clamped(y, F.col("_ny")))
     out = interpolate(spots, field, {"y": "_py", "x": "_px"}, values, keys, 0.0, prefix)
     return out.drop("_nx", "_ny", "_px", "_py")

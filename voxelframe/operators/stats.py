@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxelframe.functions.scalar import half_up, outside_content, to_pixel
-from voxelframe.schema import KEY, POS, require
+from voxelframe.schema import KEY, POS, clamp, require
+from voxelframe.session import small
 
 XY = KEY + ["y", "x"]
 
@@ -88,11 +89,10 @@ def layer_models(stats: DataFrame, scale: str = "gauss", shift: str = "mean") ->
 
 def apply_layer_models(vox: DataFrame, models: DataFrame, dtype: str = "u8") -> DataFrame:
     """Foreground becomes clamp(trunc(a v + b)); background stays 0. The model
-    table has one row per layer, small enough for Spark to broadcast itself."""
-    from voxelframe.schema import clamp
-
+    table has one row per layer and is broadcast after its size was checked, so
+    the volume is neither shuffled nor gathered by layer."""
     mapped = clamp((F.col("a") * F.col("v") + F.col("b")).cast("long"), dtype)
-    return vox.join(models, KEY + ["z"]).select(*POS, F.when(F.col("v") > 0, mapped).otherwise(F.lit(0)).alias("v"))
+    return vox.join(small(models), KEY + ["z"]).select(*POS, F.when(F.col("v") > 0, mapped).otherwise(F.lit(0)).alias("v"))
 
 
 # ---- masks -----------------------------------------------------------------
@@ -145,7 +145,7 @@ def median_nonzero(df: DataFrame, keys: list[str], value: str = "v") -> DataFram
 def out_of_bounds_value(vox: DataFrame) -> DataFrame:
     """The median non-zero grey value of the last layer of every volume."""
     last = vox.groupBy(*KEY).agg(F.max("z").alias("z"))
-    return median_nonzero(vox.join(last, KEY + ["z"], "left_semi"), KEY)
+    return median_nonzero(vox.join(small(last), KEY + ["z"], "left_semi"), KEY)
 
 
 def mean_value(df: DataFrame, keys: list[str], value: str = "v") -> DataFrame:
@@ -254,7 +254,7 @@ def fit_plane(field: DataFrame, keys: list[str], value: str = "h") -> DataFrame:
 
 def plane_residual(field: DataFrame, planes: DataFrame, keys: list[str], value: str = "h") -> DataFrame:
     predicted = F.col("a") * F.col("x") + F.col("b") * F.col("y") + F.col("c")
-    return field.join(planes, keys).select(*keys, "y", "x", (F.col(value) - predicted).alias("residual"))
+    return field.join(small(planes), keys).select(*keys, "y", "x", (F.col(value) - predicted).alias("residual"))
 
 
 def compare_alignments(shifts: DataFrame, fits: DataFrame) -> DataFrame:

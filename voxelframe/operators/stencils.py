@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from voxelframe.functions.scalar import soft_limit, to_pixel
 from voxelframe.operators import blocks, pixel
 from voxelframe.schema import KEY, POS
-from voxelframe.session import checkpoint
+from voxelframe.session import checkpoint, measured, small
 
 AXES = ("z", "y", "x")
 
@@ -62,7 +62,7 @@ def convolve_line(df: DataFrame, axis: str, kernel: list[float], border: str, si
         sums.append(total.alias(name))
     out = wide.select(*keys, *axes, *sums)
     if fill is None:
-        size = sizes.select(*keys, F.col(f"n{axis}").alias("_n"))
+        size = small(sizes).select(*keys, F.col(f"n{axis}").alias("_n"))
         out = out.join(size, keys).where((F.col(axis) >= 0) & (F.col(axis) < F.col("_n"))).drop("_n")
     return out
 
@@ -70,7 +70,7 @@ def convolve_line(df: DataFrame, axis: str, kernel: list[float], border: str, si
 def gauss(df: DataFrame, sigmas: dict[str, float], border: str = "mirror_single", sizes: DataFrame | None = None,
           values: list[str] = ("v",), keys: list[str] = KEY, outside: float = 0.0) -> DataFrame:
     """Separable Gaussian with one sigma per axis (0 leaves the axis alone)."""
-    sizes = pixel.extents(df, keys) if sizes is None else sizes
+    sizes = pixel.extents(df, keys) if sizes is None else measured(sizes)
     for axis, sigma in sigmas.items():
         if sigma > 0:
             df = convolve_line(df, axis, half_kernel(sigma), border, sizes, list(values), keys, outside)
@@ -360,8 +360,9 @@ def inpaint_rays(vox: DataFrame, sizes: DataFrame, directions: int = 256, stride
     missing = vox.where(F.col("v").isNull()).select(*POS)
     rays = missing.select(*POS, F.posexplode(table).alias("ray", "d")).select(*POS, "ray", "d.dx", "d.dy", "d.dz")
     ray_key, found, step = [*POS, "ray"], None, 0
+    sizes = measured(sizes)
     while True:
-        ahead = rays.join(sizes, KEY).withColumn("step", F.explode(F.sequence(F.lit(step + 1), F.lit(step + stride))))
+        ahead = rays.join(small(sizes), KEY).withColumn("step", F.explode(F.sequence(F.lit(step + 1), F.lit(step + stride))))
         for a in AXES:
             ahead = ahead.withColumn(f"p{a}", F.floor(F.col(a) + F.col("step") * F.col(f"d{a}") + 0.5).cast("long"))
         inside = F.lit(True)

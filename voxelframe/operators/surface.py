@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from voxelframe.operators import stats, stencils, transforms
 from voxelframe.schema import KEY
+from voxelframe.session import checkpoint, small
 
 XY = [*KEY, "y", "x"]
 BLOCKED = 1e9
@@ -92,14 +93,14 @@ def min_surface(cost: DataFrame, max_dz: int, batch: int = 16, within: DataFrame
 def surface_pair(cost: DataFrame, max_dz: int, min_distance: int, max_distance: int, batch: int = 16) -> DataFrame:
     """Two surfaces whose distance lies between the limits: the best one, then
     the better of the best ones above and below it, as hmin <= hmax."""
-    first = min_surface(cost, max_dz, batch)
+    first = checkpoint(min_surface(cost, max_dz, batch))
     above = min_surface(cost, max_dz, batch, first.select(*XY, (F.col("h") + min_distance).alias("lo"), (F.col("h") + max_distance).alias("hi")))
     below = min_surface(cost, max_dz, batch, first.select(*XY, (F.col("h") - max_distance).alias("lo"), (F.col("h") - min_distance).alias("hi")))
     both = first.select(*XY, "h").join(above.select(*XY, F.col("h").alias("ha"), F.col("cost").alias("ca")), XY)
     both = both.join(below.select(*XY, F.col("h").alias("hb"), F.col("cost").alias("cb")), XY)
     side = both.groupBy(*KEY).agg((F.sum(F.coalesce("ca", F.lit(BLOCKED))) <= F.sum(F.coalesce("cb", F.lit(BLOCKED)))).alias("up"))
     up = F.col("up")
-    return both.join(side, KEY).select(*XY, F.when(up, F.col("h")).otherwise(F.col("hb")).alias("hmin"),
+    return both.join(small(side), KEY).select(*XY, F.when(up, F.col("h")).otherwise(F.col("hb")).alias("hmin"),
                                        F.when(up, F.col("ha")).otherwise(F.col("h")).alias("hmax"))
 
 
@@ -108,14 +109,14 @@ def order_by_mean(a: DataFrame, b: DataFrame, mask: DataFrame) -> DataFrame:
     both = a.select(*XY, F.col("h").alias("ha")).join(b.select(*XY, F.col("h").alias("hb")), XY).join(mask.select(*XY, "m"), XY)
     means = both.groupBy(*KEY).agg((F.sum(F.col("ha") * F.col("m")) <= F.sum(F.col("hb") * F.col("m"))).alias("ordered"))
     swap = F.col("ordered")
-    return both.join(means, KEY).select(*XY, F.when(swap, F.col("ha")).otherwise(F.col("hb")).alias("hmin"),
+    return both.join(small(means), KEY).select(*XY, F.when(swap, F.col("ha")).otherwise(F.col("hb")).alias("hmin"),
                                         F.when(swap, F.col("hb")).otherwise(F.col("ha")).alias("hmax"), "m")
 
 
 def initial_surfaces(cost: DataFrame, max_dz: int, min_distance: int, max_distance: int) -> DataFrame:
     """Both surfaces at the coarsest level with their column mask; masked columns are inpainted."""
     mask = stats.cost_mask(cost)
-    pair = surface_pair(cost, max_dz, min_distance, max_distance)
+    pair = checkpoint(surface_pair(cost, max_dz, min_distance, max_distance))
     fields = [fill_masked(pair.select(*XY, F.col(c).alias("h")), mask) for c in ("hmin", "hmax")]
     return order_by_mean(fields[0], fields[1], mask)
 
@@ -153,7 +154,7 @@ def validated(field: DataFrame, value: str = "h") -> DataFrame:
     empty = field.groupBy(*KEY).agg((F.max(F.abs(value)) == 0).alias("_empty"))
     message = F.concat(F.lit("height field is empty: "), F.col("dataset"))
     checked = F.when(F.col("_empty"), F.raise_error(message).cast("double")).otherwise(F.col(value))
-    return field.join(empty, KEY).withColumn(value, checked).drop("_empty")
+    return field.join(small(empty), KEY).withColumn(value, checked).drop("_empty")
 
 
 def smooth_height_field(field: DataFrame, sigma: float, sizes: DataFrame, value: str = "hmax") -> DataFrame:

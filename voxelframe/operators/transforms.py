@@ -16,6 +16,7 @@ from voxelframe.functions.scalar import distance_to_interval, fade, half_up, to_
 from voxelframe.operators import pixel, stencils
 from voxelframe.operators.resample import interpolate, look_up, nearest
 from voxelframe.schema import KEY, POS
+from voxelframe.session import measured, small
 
 AXES = ("z", "y", "x")
 
@@ -34,7 +35,7 @@ def affine_targets(grid: DataFrame, models: DataFrame, on: list[str], dim: int =
     """Source positions sx, sy[, sz] of grid voxels under a model table."""
     ax = "xyz"[:dim]
     mapped = apply_affine(F.col("m"), [F.col(a).cast("double") for a in ax])
-    return grid.join(models.select(*on, "m"), on).withColumns({f"s{a}": v for a, v in zip(ax, mapped)}).drop("m")
+    return grid.join(small(models).select(*on, "m"), on).withColumns({f"s{a}": v for a, v in zip(ax, mapped)}).drop("m")
 
 
 def resample(vox: DataFrame, targets: DataFrame, background: float = 0.0, linear: bool = True, keys: list[str] = KEY,
@@ -50,7 +51,7 @@ def coverage_mask(targets: DataFrame, sizes: DataFrame, axes: tuple = AXES, keys
     inside = F.lit(True)
     for a in axes:
         inside = inside & half_up(F.col(f"s{a}")).between(F.lit(0), F.col(f"n{a}") - 1)
-    return targets.join(sizes, keys).withColumn("mask", F.when(inside, 1).otherwise(0)).drop(*[f"n{a}" for a in AXES])
+    return targets.join(small(sizes), keys).withColumn("mask", F.when(inside, 1).otherwise(0)).drop(*[f"n{a}" for a in AXES])
 
 
 def render_series(slices: DataFrame, models: DataFrame, bounds: DataFrame, sizes: DataFrame, background: float = 0.0) -> DataFrame:
@@ -88,7 +89,7 @@ def render_stack(vox: DataFrame, models: DataFrame, grid: DataFrame, keys: list[
 def resample_integer(vox: DataFrame, targets: DataFrame, matrix: list[int], sizes: DataFrame, keys: list[str] = KEY) -> DataFrame:
     """Volume through an integer 3 x 4 matrix (x, y, z rows), mirrored at the border, without interpolation."""
     m = matrix
-    out = targets.join(sizes, keys)
+    out = targets.join(small(sizes), keys)
     for r, a in enumerate(("x", "y", "z")):
         s = F.col("x") * m[r * 4] + F.col("y") * m[r * 4 + 1] + F.col("z") * m[r * 4 + 2] + m[r * 4 + 3]
         period = F.greatest(2 * F.col(f"n{a}") - 2, F.lit(1))
@@ -107,7 +108,7 @@ def non_rigid_targets(grid: DataFrame, model_grid: DataFrame, spacing: dict[str,
     """Source positions through 3-D affine models on a control grid: the twelve
     coefficients are interpolated at the voxel, then applied to it."""
     names = [f"m{i}" for i in range(12)]
-    spots = grid.join(sizes.select(*keys, *[F.col(f"n{a}").alias(f"_n{a}") for a in AXES]), keys)
+    spots = grid.join(small(sizes).select(*keys, *[F.col(f"n{a}").alias(f"_n{a}") for a in AXES]), keys)
     for a in AXES:
         place = F.col(a).cast("double") / F.lit(float(spacing[a]))
         spots = spots.withColumn(f"g{a}", F.greatest(F.lit(0.0), F.least(place, F.col(f"_n{a}").cast("double") - 1)))
@@ -135,14 +136,14 @@ def bake(placed: DataFrame, scale: float, keys: list[str] = KEY) -> DataFrame:
 
 
 def field_sizes(field: DataFrame, keys: list[str] = KEY) -> DataFrame:
-    return field.groupBy(*keys).agg((F.max("iy") + 1).alias("ny"), (F.max("ix") + 1).alias("nx"))
+    return measured(field.groupBy(*keys).agg((F.max("iy") + 1).alias("ny"), (F.max("ix") + 1).alias("nx")))
 
 
 def apply_field(targets: DataFrame, field: DataFrame, scale: float, offset: DataFrame | None = None, keys: list[str] = KEY,
                 x: str = "x", y: str = "y", out: tuple = ("tx", "ty"), sizes: DataFrame | None = None) -> DataFrame:
     """Look up world positions in a position field: interp(p * scale - offset) / scale."""
     sizes = field_sizes(field, keys) if sizes is None else sizes
-    spots = targets if offset is None else targets.join(offset.select(*keys, "off_x", "off_y"), keys)
+    spots = targets if offset is None else targets.join(small(offset).select(*keys, "off_x", "off_y"), keys)
     off_x, off_y = (F.lit(0.0), F.lit(0.0)) if offset is None else (F.col("off_x"), F.col("off_y"))
     named = field.withColumnsRenamed({"iy": "y", "ix": "x"})
     read = look_up(spots, named, F.col(x) * scale - off_x, F.col(y) * scale - off_y, ["tx", "ty"], sizes, keys, prefix="_l")
@@ -254,7 +255,7 @@ def scale_height_values(height: Column, scale: float, offset: float = 0.0) -> Co
 def rescale_height_field(field: DataFrame, targets: DataFrame, scale: tuple, value: str = "h", keys: list[str] = KEY) -> DataFrame:
     """Height field read on another grid: values and xy follow the pixel-centre rule."""
     sx, sy, sz = scale
-    sizes = field.groupBy(*keys).agg((F.max("y") + 1).alias("ny"), (F.max("x") + 1).alias("nx"))
+    sizes = measured(field.groupBy(*keys).agg((F.max("y") + 1).alias("ny"), (F.max("x") + 1).alias("nx")))
     ready = field.select(*keys, "y", "x", scale_height_values(F.col(value), sz).alias(value))
     at = [(F.col(a) - F.lit(s * 0.5 - 0.5)) / F.lit(float(s)) for a, s in (("x", sx), ("y", sy))]
     return look_up(targets.select(*keys, "y", "x"), ready, at[0], at[1], [value], sizes, keys)
@@ -266,7 +267,7 @@ def flatten_volume(vox: DataFrame, field: DataFrame, averages: DataFrame, paddin
     Only the z axis is interpolated, so a target reads one cell of two voxels."""
     checked = averages.withColumn("low", F.when(F.col("low") >= F.col("high"), F.raise_error(F.lit("lower surface must lie below the upper one")).cast("double")).otherwise(F.col("low")))
     planes = checked.withColumn("_first", half_up(F.col("low") - padding)).withColumn("_last", half_up(F.col("high") + padding))
-    grid = field.join(planes, KEY).withColumn("_zt", F.explode(F.sequence(F.col("_first"), F.col("_last"))))
+    grid = field.join(small(planes), KEY).withColumn("_zt", F.explode(F.sequence(F.col("_first"), F.col("_last"))))
     sz = unflatten_z(F.col("_zt").cast("double"), F.col("hmin"), F.col("hmax"), F.col("low"), F.col("high"))
     targets = grid.select(*KEY, "y", "x", (F.col("_zt") - F.col("_first")).alias("z"), sz.alias("sz"))
     out = interpolate(targets, vox, {"z": "sz", "y": "y", "x": "x"}, ["v"])
@@ -281,7 +282,7 @@ def extend_height_field(targets: DataFrame, field: DataFrame, average: Column, p
     def plane_at(x: Column, y: Column) -> Column:
         return x * F.lit(float(a)) + y * F.lit(float(b)) + F.lit(float(c))
 
-    extent = sizes.select(*keys, F.col("nx").alias("_nx"), F.col("ny").alias("_ny"))
+    extent = small(sizes).select(*keys, F.col("nx").alias("_nx"), F.col("ny").alias("_ny"))
     spots = targets.join(extent, keys)
     spots = spots.withColumns({f"_b{d}": F.greatest(F.lit(0).cast("long"), F.least(F.col(d), F.col(f"_n{d}") - 1)) for d in ("x", "y")})
     border = field.select(*keys, F.col("y").alias("_by"), F.col("x").alias("_bx"), (F.col(value) - plane_at(F.col("x"), F.col("y"))).alias("_rest"))
@@ -342,13 +343,25 @@ def drag(targets: DataFrame, edits: DataFrame, min_sigma: float, gain: float, ke
 def transition(targets: DataFrame, top: DataFrame, bottom: DataFrame, z: Column, z_top: Column, z_bottom: Column,
                scale: float = 1.0, keys: list[str] = KEY) -> DataFrame:
     """Mix the transforms of the top and bottom face linearly along z, clipped at both faces."""
-    sizes = field_sizes(top, keys)
-    at_top = apply_field(targets, top, scale, keys=keys, out=("_ax", "_ay"), sizes=sizes)
-    both = apply_field(at_top, bottom, scale, keys=keys, out=("_bx", "_by"), sizes=sizes)
+    return mix_faces(face_positions(targets, top, bottom, scale, keys), z, z_top, z_bottom)
+
+
+def face_positions(targets: DataFrame, top: DataFrame, bottom: DataFrame, scale: float = 1.0, keys: list[str] = KEY) -> DataFrame:
+    """Positions of the targets in both faces (ax, ay and bx, by). The two fields
+    share their grid, so one look-up serves both; it does not depend on z."""
+    other = bottom.select(*keys, "iy", "ix", F.col("tx").alias("bx"), F.col("ty").alias("by"))
+    both = top.select(*keys, F.col("iy").alias("y"), F.col("ix").alias("x"), F.col("tx").alias("ax"), F.col("ty").alias("ay")).join(
+        other.withColumnsRenamed({"iy": "y", "ix": "x"}), [*keys, "y", "x"])
+    at = [F.col(a) * F.lit(float(scale)) for a in ("x", "y")]
+    read = look_up(targets, both, *at, ["ax", "ay", "bx", "by"], field_sizes(top, keys), keys)
+    return read.withColumns({c: F.col(c) / F.lit(float(scale)) for c in ("ax", "ay", "bx", "by")})
+
+
+def mix_faces(placed: DataFrame, z: Column, z_top: Column, z_bottom: Column) -> DataFrame:
     lam = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (z - z_top) / (z_bottom - z_top)))
-    return both.withColumns({
-        "sx": F.col("_ax") + lam * (F.col("_bx") - F.col("_ax")),
-        "sy": F.col("_ay") + lam * (F.col("_by") - F.col("_ay"))}).drop("_ax", "_ay", "_bx", "_by")
+    return placed.withColumns({
+        "sx": F.col("ax") + lam * (F.col("bx") - F.col("ax")),
+        "sy": F.col("ay") + lam * (F.col("by") - F.col("ay"))}).drop("ax", "ay", "bx", "by")
 
 
 # ---- pyramids and faces ---------------------------------------------------------------------
@@ -360,8 +373,8 @@ def pyramid_gauss(vox: DataFrame, levels: int, sizes: DataFrame, axes: tuple = A
     out, level, extent = [], vox.withColumn("v", F.col("v").cast("double")), sizes
     for _ in range(levels):
         smooth = stencils.gauss(level, {a: sigma for a in axes}, "mirror_single", extent)
-        extent = extent.select(*KEY, *[(F.expr(f"n{a} div 2") if a in axes else F.col(f"n{a}")).alias(f"n{a}") for a in AXES])
-        level = pixel.subsample(smooth, {a: 2 for a in axes}).join(extent, KEY)
+        extent = measured(extent.select(*KEY, *[(F.expr(f"n{a} div 2") if a in axes else F.col(f"n{a}")).alias(f"n{a}") for a in AXES]))
+        level = pixel.subsample(smooth, {a: 2 for a in axes}).join(small(extent), KEY)
         keep = F.lit(True)
         for a in AXES:
             keep = keep & (F.col(a) < F.col(f"n{a}"))

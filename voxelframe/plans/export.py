@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from voxelframe.functions.scalar import to_pixel
 from voxelframe.operators import compose, joins, stencils
 from voxelframe.operators.resample import interpolate
-from voxelframe.operators.transforms import transition
+from voxelframe.operators.transforms import face_positions, mix_faces
 from voxelframe.schema import KEY, POS
+from voxelframe.session import small
 
 
 def plan_export(blocks: DataFrame, slabs: DataFrame, cell: int) -> DataFrame:
@@ -24,23 +25,28 @@ def place_slabs(slabs: DataFrame) -> DataFrame:
 
 def export_slabs(vox: DataFrame, slabs: DataFrame, grid: DataFrame, top: DataFrame, bottom: DataFrame,
                  z_range: tuple[int, int] | None = None, normalize: tuple[int, int] | None = None,
-                 overflow: str = "saturate", scale: float = 1.0, name: str = "aligned") -> DataFrame:
+                 overflow: str | None = None, scale: float = 1.0, name: str = "aligned") -> DataFrame:
     """One aligned volume from a series of slabs.
 
     Each slab layer reads its source through the mix of the transforms of its two
-    faces, moves to its place in the series and is added to what other slabs put
-    there. ``grid`` holds the output pixels (y, x) of every slab. A z range
-    limits the layers before any pixel is read. ``normalize`` applies local
-    contrast with these radii. Background voxels are not stored."""
+    faces and moves to its place in the series. ``grid`` holds the output pixels
+    (y, x) of every slab. A z range limits the layers before any pixel is read.
+    ``normalize`` applies local contrast with these radii. Background voxels are
+    not stored.
+
+    The face positions are looked up once per pixel column, before the columns
+    are spread over their layers. Slabs placed by running offsets do not overlap;
+    give ``overflow`` to add slabs that do."""
     placed = place_slabs(slabs).select(*KEY, "top", "bot", "zoff")
-    layers = placed.withColumn("sz", F.explode(F.sequence("top", "bot"))).withColumn("z", F.col("sz") - F.col("top") + F.col("zoff"))
+    columns = face_positions(grid, top, bottom, scale).join(small(placed), KEY)
+    layers = columns.withColumn("sz", F.explode(F.sequence("top", "bot"))).withColumn("z", F.col("sz") - F.col("top") + F.col("zoff"))
     if z_range is not None:
         layers = layers.where(F.col("z").between(*z_range))
-    targets = grid.join(layers, KEY)
-    moved = transition(targets, top, bottom, F.col("sz"), F.col("top").cast("double"), F.col("bot").cast("double"), scale)
+    moved = mix_faces(layers, F.col("sz"), F.col("top").cast("double"), F.col("bot").cast("double"))
     read = interpolate(moved, vox, {"z": "sz", "y": "sy", "x": "sx"}, ["v"])
-    pixels = read.select(F.lit(name).alias("dataset"), "z", "y", "x", to_pixel(F.col("v")).alias("v"))
-    out = compose.additive([pixels], overflow)
+    out = read.select(F.lit(name).alias("dataset"), "z", "y", "x", to_pixel(F.col("v")).alias("v"))
+    if overflow is not None:
+        out = compose.additive([out], overflow)
     if normalize is not None:
         out = stencils.local_contrast(out, *normalize, limit=10.0, gamma=0.5, keep_min_max=True).select(
             *POS, to_pixel(F.col("v")).alias("v"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -28,3 +29,25 @@ def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage of a loop variable by writing it to reliable storage."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+# Fixed value: rows up to which a narrow table (sizes, models, offsets) may be broadcast.
+SMALL_ROWS = 50_000
+
+
+def measured(df: DataFrame) -> DataFrame:
+    """Materialise a table that should be small and remember its row count."""
+    if getattr(df, "_measured_rows", None) is None:
+        df = checkpoint(df)
+        df._measured_rows = df.count()
+    return df
+
+
+def small(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
+    """The side of a join that holds one narrow row per volume, layer or pair.
+
+    It is computed once and counted; up to ``limit`` rows it is broadcast, so
+    the voxels on the other side are not shuffled by a key that a third of them
+    may share. Beyond the limit the join is left to Spark."""
+    done = measured(df)
+    return F.broadcast(done) if done._measured_rows <= limit else done

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from voxelframe.operators.blocks import PIECE_ROWS, numpy_type, reblock
 from voxelframe.schema import KEY, POS, VOLUME
+from voxelframe.session import small
 
 STRUCTURAL = ["dimensions", "blockSize", "dataType", "compression"]
 
@@ -64,7 +65,7 @@ def export_slices(vox: DataFrame, sizes: DataFrame, strip: int = 4096, dtype: st
         image[rows.y - top, rows.x] = rows.v
         return pd.DataFrame([[*key, w, h, image.tobytes()]], columns=["dataset", "z", "strip", "w", "h", "data"])
 
-    keyed = vox.join(sizes, KEY).withColumn("strip", F.floor(F.col("y") / strip))
+    keyed = vox.join(small(sizes), KEY).withColumn("strip", F.floor(F.col("y") / strip))
     return keyed.groupBy("dataset", "z", "strip").applyInPandas(
         pack, "dataset string, z long, strip long, w int, h int, data binary")
 
@@ -192,7 +193,7 @@ def add_paths(catalog: DataFrame, paths: DataFrame) -> DataFrame:
 def export_transforms(fields: DataFrame, slabs: DataFrame, scale: float) -> DataFrame:
     """Top and bottom position fields of every slab with face offset and scale."""
     offset = F.when(F.col("side") == "top", F.col("top")).otherwise(F.col("bot"))
-    return fields.join(slabs, KEY).select(*KEY, "side", "iy", "ix", "tx", "ty", offset.alias("face_offset"),
+    return fields.join(small(slabs), KEY).select(*KEY, "side", "iy", "ix", "tx", "ty", offset.alias("face_offset"),
                                           F.lit(float(scale)).alias("scale"))
 
 
