@@ -42,6 +42,6 @@ FIXTURES = {
         FROM @keys GROUP BY CAST(k % 5 AS BIGINT), CAST(floor(k / 500) AS BIGINT)""",
     "slabs": """SELECT n_nationkey AS ord, concat('slab', CAST(n_nationkey AS STRING)) AS dataset, CAST(2 AS BIGINT) AS top,
         CAST(20 + n_regionkey AS BIGINT) AS bot FROM @nation""",
-    "descriptors": """SELECT vec_id AS fid, CAST(vec_id % 2 AS BIGINT) AS side, CAST(0 AS BIGINT) AS pair, embedding AS descr FROM @embeddings""",
+    "descriptors": """SELECT vec_id AS fid, CAST(vec_id % 2 AS BIGINT) AS side, vec_id % 1 AS pair, embedding AS descr FROM @embeddings""",
     "grid_orders": """SELECT o_orderkey AS id, 20 + o_orderkey % 60 AS nx, 10 + o_orderkey % 37 AS ny, 1 + o_orderkey % 23 AS nz FROM @orders""",
 }

@@ -181,9 +181,17 @@ concat('/h5/', CAST(stack AS STRING)) AS data FROM ({CATALOG}) GROUP BY stack, c
 def _(f):
     rows = f.sql(CATALOG).withColumn("affine", F.array(F.lit(1.0), F.lit(0.0), F.col("idx").cast("double"), F.lit(0.0), F.lit(1.0), F.lit(0.0)))
     paths = rows.select("stack", "channel", "cam", F.concat(F.lit("/h5/"), F.col("stack").cast("string")).alias("data")).distinct()
-    first = F.col("slices")[0]
     return volumes.add_paths(volumes.slice_catalog(rows), paths).select(
-        "stack", "channel", "cam", "n", first["path"].alias("first"), first["affine"][2].alias("tx"), "data")
+        "stack", "channel", "cam", "n", F.col("first.path").alias("first"), F.col("first.affine")[2].alias("tx"), "data")
+
+
+@query("s15_rewrite_catalog", "stack channel:s idx a:f tx:f", f"""SELECT stack, channel, idx, 2.0 AS a, idx + 2.0 * (stack % 4) AS tx FROM ({CATALOG})""")
+def _(f):
+    rows = f.sql(CATALOG).withColumn("affine", F.array(F.lit(2.0), F.lit(0.0), F.col("idx").cast("double"), F.lit(0.0), F.lit(1.0), F.lit(0.0)))
+    cams = rows.select("stack", "channel", "cam").distinct()
+    cams = cams.withColumn("cam_affine", F.array(F.lit(1.0), F.lit(0.0), (F.col("stack") % 4).cast("double"), F.lit(0.0), F.lit(1.0), F.lit(0.0)))
+    out = volumes.rewrite_catalog(rows, cams)
+    return out.select("stack", "channel", "idx", F.col("affine")[0].alias("a"), F.col("affine")[2].alias("tx"))
 
 
 @query("s16_export_transforms", "dataset:s side:s iy ix tx:f ty:f face_offset scale:f", """WITH s AS (SELECT dataset, min(z) + 1 AS top, max(z) AS bot FROM @em GROUP BY dataset)

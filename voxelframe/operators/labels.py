@@ -89,7 +89,6 @@ def distance_to_boundary(vox: DataFrame, resolution: dict[str, float], sizes: Da
     base = vox.join(small(sizes), KEY)
     for a in AXES:
         base = base.withColumn(f"_f{a}", _boundary_faces(base, a))
-    for a in AXES:
         back = line(base, a).rowsBetween(Window.unboundedPreceding, 0)
         ahead = line(base, a).rowsBetween(0, Window.unboundedFollowing)
         low = F.last(f"_f{a}.low", ignorenulls=True).over(back)

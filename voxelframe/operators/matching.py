@@ -252,30 +252,35 @@ def match_features(a: DataFrame, b: DataFrame, keys: list[str], ratio: float = 0
     def tally(df, name):
         return df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / chunk).alias(name))
 
-    sizes = tally(a, "na").join(tally(b, "nb"), keys)
+    sizes = small(tally(a, "na").join(tally(b, "nb"), keys))
     left = _tiled(a, keys, "s", sizes.select(*keys, F.col("na").alias("chunks"), F.col("nb").alias("other")), chunk)
     right = _tiled(b, keys, "t", sizes.select(*keys, F.col("nb").alias("chunks"), F.col("na").alias("other")), chunk)
 
-    @F.pandas_udf("array<struct<a:long,b:long,d:double>>")
-    def nearest(sid: pd.Series, sd: pd.Series, tid: pd.Series, td: pd.Series) -> pd.Series:
+    @F.pandas_udf("struct<a:array<long>,b:array<long>,d:array<double>>")
+    def nearest(sid: pd.Series, sd: pd.Series, tid: pd.Series, td: pd.Series) -> pd.DataFrame:
         out = []
         for i, x, j, y in zip(sid, sd, tid, td):
+            i, order = np.asarray(i), np.argsort(np.asarray(j))
             p = np.asarray(x, dtype=float).reshape(len(i), -1)
-            q = np.asarray(y, dtype=float).reshape(len(j), -1)
-            order = np.argsort(np.asarray(j))
-            j, q = np.asarray(j)[order], q[order]
-            rows = []
+            q = np.asarray(y, dtype=float).reshape(len(order), -1)[order]
+            j = np.asarray(j)[order]
+            sources, targets, gaps = [], [], []
             for start in range(0, len(p), 64):
                 part = p[start:start + 64]
-                d2 = ((part[:, None, :] - q[None, :, :]) ** 2).sum(axis=2)
-                close = np.argsort(d2, axis=1, kind="stable")[:, :2]
-                for r in range(len(part)):
-                    rows += [{"a": int(i[start + r]), "b": int(j[c]), "d": float(np.sqrt(d2[r, c]))} for c in close[r]]
-            out.append(rows)
-        return pd.Series(out)
-
-    found = left.join(right, [*keys, "s", "t"]).select(
-        *keys, F.explode(nearest("s_ids", "s_desc", "t_ids", "t_desc")).alias("c")).select(*keys, "c.a", "c.b", "c.d")
+                d2 = sum((part[:, None, c] - q[None, :, c]) ** 2 for c in range(p.shape[1]))
+                rows = np.arange(len(part))
+                for _ in range(min(2, len(q))):
+                    # targets are in id order, so the first minimum has the smallest id
+                    best = d2.argmin(axis=1)
+                    sources.append(i[start:start + 64])
+                    targets.append(j[best])
+                    gaps.append(np.sqrt(d2[rows, best]))
+                    d2[rows, best] = np.inf
+            out.append((np.concatenate(sources), np.concatenate(targets), np.concatenate(gaps)))
+        return pd.DataFrame(out, columns=["a", "b", "d"])
+
+    pairs = left.join(right, [*keys, "s", "t"]).select(*keys, nearest("s_ids", "s_desc", "t_ids", "t_desc").alias("c"))
+    found = pairs.select(*keys, F.explode(F.arrays_zip("c.a", "c.b", "c.d")).alias("c")).select(*keys, "c.a", "c.b", "c.d")
     # at most two candidates per source and target chunk
     best = found.groupBy(*keys, "a").agg(F.slice(F.sort_array(F.collect_list(F.struct("d", "b"))), 1, 2).alias("c"))
     kept = best.where((F.size("c") == 2) & (F.col("c")[0]["d"] < F.col("c")[1]["d"] * F.lit(ratio)))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from voxelframe.functions.affine import apply_affine
 from voxelframe.operators import matching
 from voxelframe.operators.joins import near_pairs, nn_join
-from voxelframe.operators.stats import histogram, ranked_histogram
+from voxelframe.operators.stats import histogram, ranked_histogram, top_per_group
 from voxelframe.session import checkpoint, small
 
 KINDS = ("mean", "median", "density", "gauss")
@@ -101,26 +101,33 @@ def renumber(points: DataFrame, keys: list[str], order: list[str], name: str = "
 # ---- neighbours and descriptors -----------------------------------------------------
 
 def nearest_k(points: DataFrame, keys: list[str], axes: list[str], k: int, radius: float, pid: str = "pid") -> DataFrame:
-    """The k nearest other points of every point, exactly. The search radius
-    doubles for the points that have found too few, until the group runs out."""
+    """The k nearest other points of every point, exactly (smallest ids on ties).
+
+    The search runs between distinct positions; of many copies at one position
+    only the k + 1 smallest ids can be an answer. The radius doubles for the
+    positions that have found too few, until the group runs out."""
     pos = [*keys, *axes]
-    totals = points.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    todo, done = points.select(pid, *pos), None
+    listed = top_per_group(points.select(pid, *pos), pos, [F.col(pid)], k + 1, [pid]).drop("rank")
+    listed = checkpoint(listed)
+    totals = small(listed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")))
+    todo, done = listed.select(*pos).distinct(), None
     neighbour = F.struct("d2", *[F.col(f"r.{c}").alias(c) for c in [pid, *axes]])
     while True:
-        near = near_pairs(todo, points.select(pid, *pos), keys, axes, radius).where(F.col(f"l.{pid}") != F.col(f"r.{pid}"))
-        salted = near.select(*[F.col(f"l.{c}").alias(c) for c in [pid, *pos]], neighbour.alias("o"),
+        near = near_pairs(todo, listed, keys, axes, radius)
+        salted = near.select(*[F.col(f"l.{c}").alias(c) for c in pos], neighbour.alias("o"),
                              F.pmod(F.xxhash64(F.col(f"r.{pid}")), F.lit(16)).alias("_s"))
-        part = salted.groupBy(pid, *pos, "_s").agg(F.slice(F.sort_array(F.collect_list("o")), 1, k).alias("o"))
-        got = part.groupBy(pid, *pos).agg(F.slice(F.sort_array(F.flatten(F.collect_list("o"))), 1, k).alias("near"))
-        state = checkpoint(todo.join(got, [pid, *pos], "left").join(totals, keys))
-        enough = F.coalesce(F.size("near"), F.lit(0)) >= F.least(F.lit(k), F.col("_n") - 1)
+        part = salted.groupBy(*pos, "_s").agg(F.slice(F.sort_array(F.collect_list("o")), 1, k + 1).alias("o"))
+        got = part.groupBy(*pos).agg(F.slice(F.sort_array(F.flatten(F.collect_list("o"))), 1, k + 1).alias("near"))
+        state = checkpoint(todo.join(got, pos, "left").join(totals, keys))
+        enough = F.size("near") >= F.least(F.lit(k + 1), F.col("_n"))
         ready = state.where(enough).drop("_n")
         done = ready if done is None else done.unionByName(ready)
-        todo = state.where(~enough).select(pid, *pos)
+        todo = state.where(~enough).select(*pos)
         if todo.isEmpty():
-            return done
+            break
         radius = radius * 2
+    found = points.select(pid, *pos).join(done, pos)
+    return found.withColumn("near", F.slice(F.filter("near", lambda n: n[pid] != F.col(pid)), 1, k))
 
 
 def geometric_descriptors(points: DataFrame, keys: list[str], axes: list[str], radius: float, k: int = 3, pid: str = "pid") -> DataFrame:
@@ -179,19 +186,23 @@ def mls_warp(points: DataFrame, matches: DataFrame, keys: list[str], radius: flo
     point maps exactly; with too few controls near, the shift of the near ones,
     and without any, the model of the whole group applies."""
     ax = list("xyz"[:dim])
-    control = matches.withColumns({a: F.col(f"p{a}") for a in ax})
-    spots = points.select(*keys, pid, *ax)
+    # controls at one position act like their mean with their count as weight
+    control = matches.groupBy(*keys, *[F.col(f"p{a}").cast("double").alias(a) for a in ax]).agg(
+        F.count(F.lit(1)).alias("copies"), F.min(F.struct(*[F.col(f"q{a}").cast("double").alias(f"q{a}") for a in ax])).alias("hit"),
+        *[F.avg(f"q{a}").alias(f"q{a}") for a in ax])
+    control = control.withColumns({f"p{a}": F.col(a) for a in ax})
+    spots = points.select(*keys, *[F.col(a).cast("double").alias(a) for a in ax]).distinct()
+    at = [*keys, *ax]
     near = near_pairs(spots, control, keys, ax, radius)
-    rows = near.select(*[F.col(f"l.{c}").alias(c) for c in [*keys, pid]], "d2", *[F.col(f"r.{s}{a}") for s in "pq" for a in ax],
-                       *[F.col(f"l.{a}").alias(a) for a in ax])
-    exact = rows.where("d2 = 0").groupBy(*keys, pid).agg(F.min(F.struct(*[f"q{a}" for a in ax])).alias("hit"))
-    weight = F.lit(1.0) / F.col("d2")
+    rows = near.select(*[F.col(f"l.{c}").alias(c) for c in at], "d2", "r.copies", "r.hit", *[F.col(f"r.{s}{a}") for s in "pq" for a in ax])
+    exact = rows.where("d2 = 0").select(*at, "hit")
+    weight = F.col("copies") / F.col("d2")
     centred = rows.where("d2 > 0").withColumns({f"{s}{a}": F.col(f"{s}{a}") - F.col(a) for s in "pq" for a in ax})
-    local = matching.moments(centred, [*keys, pid], dim, weight)
+    local = matching.moments(centred, at, dim, weight)
     local = matching.model_from_moments(local, kind, dim, "m")
     local = matching.model_from_moments(local, "translation", dim, "t")
     group = matching.fit_model(matches.withColumn("w", F.lit(1.0)), keys, kind, dim=dim).select(*keys, F.col("m").alias("g"))
-    out = spots.join(exact, [*keys, pid], "left").join(local.select(*keys, pid, "m", "t"), [*keys, pid], "left").join(group, keys, "left")
+    out = spots.join(exact, at, "left").join(local.select(*at, "m", "t"), at, "left").join(small(group), keys, "left")
     usable = F.col("m").isNotNull() & ~F.exists("m", lambda c: c.isNull())
     zero = [F.lit(0.0)] * dim
     by_local = [v + F.col(a) for v, a in zip(apply_affine(F.col("m"), zero), ax)]
@@ -200,5 +211,7 @@ def mls_warp(points: DataFrame, matches: DataFrame, keys: list[str], radius: flo
     cells = []
     for i, a in enumerate(ax):
         cells.append(F.when(F.col("hit").isNotNull(), F.col(f"hit.q{a}")).when(usable, by_local[i])
-                     .when(F.col("t").isNotNull(), by_shift[i]).otherwise(by_group[i]).alias(a))
-    return out.select(*keys, pid, *cells)
+                     .when(F.col("t").isNotNull(), by_shift[i]).otherwise(by_group[i]).alias(f"_{a}"))
+    moved = out.select(*at, *cells)
+    return points.select(*keys, pid, *[F.col(a).cast("double").alias(a) for a in ax]).join(moved, at).select(
+        *keys, pid, *[F.col(f"_{a}").alias(a) for a in ax])

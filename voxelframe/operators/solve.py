@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxelframe.operators import matching
-from voxelframe.session import checkpoint
+from voxelframe.session import SMALL_ROWS, checkpoint
 
 
 def components(edges: DataFrame, nodes: DataFrame, keys: list[str], node: str = "node") -> DataFrame:
@@ -132,9 +132,11 @@ def relax(matches: DataFrame, keys: list[str], kind: str = "affine", regularizer
         models = models.withColumn("m", identity)
     held = models.limit(0).select(*keys, "tile") if fixed is None else fixed.select(*keys, "tile")
     models = checkpoint(models.join(held.withColumn("held", F.lit(True)), [*keys, "tile"], "left").fillna({"held": False}))
-    best, quiet = None, 0
+    # the number of tiles does not change, so one count decides about the broadcast
+    spread = F.broadcast if models.count() <= SMALL_ROWS else lambda df: df
+    best = None
     for step in range(rounds):
-        neighbours = models.select(*keys, F.col("tile").alias("b"), F.col("m").alias("mb"))
+        neighbours = spread(models.select(*keys, F.col("tile").alias("b"), F.col("m").alias("mb")))
         sums = _targets(edges.join(neighbours, [*keys, "b"]), keys)
         goal = matching.model_of(sums.withColumns({f"sqq_{c}": F.lit(0.0) for c in ("xx", "xy", "yy")}), kind, regularizer, lam)
         moved = models.join(goal.select(*keys, "tile", F.col("m").alias("goal")), [*keys, "tile"], "left")

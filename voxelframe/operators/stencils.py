@@ -36,11 +36,12 @@ def half_kernel(sigma: float, normalize: bool = True) -> list[float]:
     return [k / total for k in kernel]
 
 
-def convolve_line(df: DataFrame, axis: str, kernel: list[float], border: str, sizes: DataFrame,
+def convolve_line(df: DataFrame, axis: str, kernel: list[float] | dict[str, list[float]], border: str, sizes: DataFrame,
                   values: list[str] = ("v",), keys: list[str] = KEY, outside: float = 0.0) -> DataFrame:
-    """Symmetric convolution of one axis with a half kernel; ``outside`` is the
-    value beyond the volume for the constant border."""
-    reach = len(kernel) - 1
+    """Symmetric convolution of one axis with a half kernel, or one per value;
+    ``outside`` is the value beyond the volume for the constant border."""
+    kernels = {v: kernel[v] if isinstance(kernel, dict) else kernel for v in values}
+    reach = max(len(k) for k in kernels.values()) - 1
     axes = [a for a in AXES if a in df.columns]
     spot = {a: reach if a == axis else 0 for a in axes}
     packed = df.select(*keys, *axes, F.struct(*values).alias("v"))
@@ -56,9 +57,10 @@ def convolve_line(df: DataFrame, axis: str, kernel: list[float], border: str, si
 
     sums = []
     for name in values:
-        total = F.col(f"v.{name}") * F.lit(kernel[0])
-        for i in range(1, reach + 1):
-            total = total + (tap(name, -i) + tap(name, i)) * F.lit(kernel[i])
+        weights = kernels[name]
+        total = F.col(f"v.{name}") * F.lit(weights[0])
+        for i in range(1, len(weights)):
+            total = total + (tap(name, -i) + tap(name, i)) * F.lit(weights[i])
         sums.append(total.alias(name))
     out = wide.select(*keys, *axes, *sums)
     if fill is None:

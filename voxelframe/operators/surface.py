@@ -132,14 +132,14 @@ def refine_surface(cost: DataFrame, coarse: DataFrame, factors: dict[str, int],
     within ``padding`` of it, keep the slope limit and fill masked columns."""
     grid = cost.select(*XY).distinct()
     scale = (float(factors.get("x", 1)), float(factors.get("y", 1)), float(factors.get("z", 1)))
-    start = transforms.rescale_height_field(coarse, grid, scale)
+    start = checkpoint(transforms.rescale_height_field(coarse, grid, scale))
     near = cost.join(start.select(*XY, F.col("h").alias("_h")), XY)
     # flatten: heights become offsets from the rescaled field
     offset = near.withColumn("z", F.col("z") - F.floor(F.col("_h") + 0.5)).where(F.col("z").between(-padding, padding))
     depth = F.sequence(F.lit(-padding).cast("long"), F.lit(padding).cast("long"))
     frame = start.select(*XY, F.explode(depth).alias("z"))
     dense = frame.join(offset.select(*XY, "z", "v"), [*XY, "z"], "left").fillna({"v": 255})
-    update = min_surface(dense, max_dz)
+    update = checkpoint(min_surface(dense, max_dz))
     moved = start.join(update.select(*XY, F.col("h").alias("_d")), XY).select(*XY, (F.floor(F.col("h") + 0.5) + F.col("_d")).alias("h"))
     return fill_masked(moved, stats.cost_mask(cost))
 

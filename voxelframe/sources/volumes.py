@@ -179,10 +179,20 @@ def read_positions(spark: SparkSession, path: str) -> DataFrame:
 
 
 def slice_catalog(slices: DataFrame) -> DataFrame:
-    """One row per (stack, channel, cam) with its slices in order."""
+    """One row per (stack, channel, cam): number of slices, first and last slice.
+    The slices themselves stay rows, ordered by ``idx``."""
     entry = F.struct("idx", "path", "affine")
-    return slices.groupBy("stack", "channel", "cam").agg(F.sort_array(F.collect_list(entry)).alias("slices"),
-                                                         F.count(F.lit(1)).alias("n"))
+    return slices.groupBy("stack", "channel", "cam").agg(
+        F.count(F.lit(1)).alias("n"), F.min(entry).alias("first"), F.max(entry).alias("last"))
+
+
+def rewrite_catalog(slices: DataFrame, cam_affine: DataFrame) -> DataFrame:
+    """Slice rows with the camera transform of their (stack, channel, cam) put
+    in front of their own affine."""
+    from voxelframe.functions.affine import concatenate
+
+    joined = slices.join(small(cam_affine), ["stack", "channel", "cam"])
+    return joined.withColumn("affine", concatenate(F.col("affine"), F.col("cam_affine"))).drop("cam_affine")
 
 
 def add_paths(catalog: DataFrame, paths: DataFrame) -> DataFrame:
