@@ -1,7 +1,5 @@
 """Queries over neighbourhood operators."""
 
-import math
-
 from pyspark.sql import functions as F
 
 from catalog.registry import query
@@ -10,16 +8,12 @@ from voxelframe.operators import joins, pixel, stencils
 VOX = "dataset:s z y x v:f"
 
 
-def mirror(axis: str, n: int, offset: int) -> str:
-    t = f"(a.{axis} + {offset})"
-    return f"CASE WHEN {t} < 0 THEN -{t} WHEN {t} > {n} - 1 THEN 2 * ({n} - 1) - {t} ELSE {t} END"
-
-
 def gauss_sql(source: str, axis: str, n: str, sigma: float, value: str = "v") -> str:
     k = stencils.half_kernel(sigma)
     taps = ", ".join(f"({o}, {k[abs(o)]!r}::DOUBLE)" for o in range(-len(k) + 1, len(k)))
-    t = f"(a.{axis} + t.o)"
-    src = f"CASE WHEN {t} < 0 THEN -{t} WHEN {t} > {n} - 1 THEN 2 * ({n} - 1) - {t} ELSE {t} END"
+    period = f"(2 * ({n} - 1))"
+    t = f"((((a.{axis} + t.o) % {period}) + {period}) % {period})"
+    src = f"CASE WHEN {t} < {n} THEN {t} ELSE {period} - {t} END"
     same = " AND ".join(f"b.{c} = a.{c}" for c in ("dataset", "z", "y", "x") if c != axis)
     return (f"SELECT a.dataset, a.z, a.y, a.x, sum(t.w * b.{value}) AS {value} FROM {source} a, (VALUES {taps}) AS t(o, w), {source} b "
             f"WHERE {same} AND b.{axis} = {src} GROUP BY a.dataset, a.z, a.y, a.x")

@@ -6,17 +6,20 @@ import __spark_entry__ as entry
 import check
 
 SF = "/root/testdata/sf0.001"
+# three layers are too few for the planted surfaces
+DEEP = {name: "/root/testdata/sf0.01" for name in ("c6_min_surface", "c6_surface_pair", "c7_refine_surface", "c8_initial_surfaces")}
 
 
 @pytest.fixture(scope="module")
 def con():
-    return check.database(SF)
+    return {sf: check.database(sf) for sf in {SF, *DEEP.values()}}
 
 
 @pytest.mark.parametrize("name", list(entry.oracle_sql()))
 def test_query_matches_sql(spark, con, name):
-    got = entry.queries()[name](spark, SF).toPandas()
-    assert check.same(got, con.execute(entry.oracle_sql()[name]).df()) == ""
+    sf = DEEP.get(name, SF)
+    got = entry.queries()[name](spark, sf).toPandas()
+    assert check.same(got, con[sf].execute(entry.oracle_sql()[name]).df()) == ""
 
 
 def test_entry_has_rows_and_stable_schema(spark):
