@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from catalog.registry import query
-from voxelframe.operators import matching, solve
+from voxelframe.operators import matching, solve, stats
 
 MODEL = "a b n m0:f m1:f m2:f m3:f m4:f m5:f"
 
@@ -60,6 +60,23 @@ def _(f):
     return fit.select("stack", "n", *[F.col("m")[i].alias(f"m{i}") for i in (3, 7, 11)])
 
 
+@query("x3_similarity_model", MODEL, CENTRED + """, k AS (SELECT *, (qxx + qyy) / (xx + yy) AS c, (qyx - qxy) / (xx + yy) AS sn FROM s)
+SELECT a, b, n, c AS m0, -sn AS m1, mqx - c * mpx + sn * mpy AS m2, sn AS m3, c AS m4, mqy - sn * mpx - c * mpy AS m5 FROM k""")
+def _(f):
+    return cells(matching.fit_model(f.matches, ["a", "b"], "similarity"))
+
+
+@query("x4_match_filters", "a n", "SELECT a, least(20, count(*)) AS n FROM @matches WHERE planted = 1 GROUP BY a")
+def _(f):
+    def consensus(rows):
+        return matching.ransac(rows, ["a", "b"], "affine", iterations=200, epsilon=1.0)
+
+    def thinned(rows):
+        return stats.sample_per_group(rows, ["a", "b"], ["mid"], 20, 5)
+
+    return f.matches.transform(consensus).transform(thinned).groupBy("a").agg(F.count("*").alias("n"))
+
+
 @query("m6_ransac", "a b mid", "SELECT a, b, mid FROM @matches WHERE planted = 1")
 def _(f):
     return matching.ransac(f.matches, ["a", "b"], "affine", iterations=200, epsilon=1.0, min_ratio=0.1, min_inliers=7)

@@ -27,6 +27,13 @@ w19("gauss_weights", "gauss", "sum(v * exp(-d2 / 50.0::DOUBLE)) / sum(exp(-d2 /
 w19("gauss_samples", "gauss", "sum(v * exp(-d2 / 50.0::DOUBLE)) / count(*)", -1, sigma=5.0, normalize="samples")
 w19("gauss_plain", "gauss", "sum(v * exp(-d2 / 50.0::DOUBLE))", -1, sigma=5.0, normalize=None)
 
+@query("x5_custom_filter", "stack pid v:f", f"""{NEAR}, f AS (SELECT stack, x, y, z, sum(v / (1 + d2)) AS v FROM r GROUP BY ALL)
+SELECT q.stack, pid, coalesce(f.v, 0) AS v FROM ({TARGETS}) q LEFT JOIN f USING (stack, x, y, z)""")
+def _(f):
+    rows = f.points.select("stack", "pid", *AX, F.col("intensity").alias("v"))
+    return points.radius_filter(rows, f.sql(TARGETS), ["stack"], AX, 12.0, lambda n, s, d2: F.sum(s / (F.lit(1.0) + d2)))
+
+
 RASTER = """WITH b AS (SELECT stack, min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM @points GROUP BY stack),
 g AS (SELECT stack, ix, iy, x0 + ix * 8.0::DOUBLE AS x, y0 + iy * 8.0::DOUBLE AS y FROM b, unnest(range(0, 100)) AS a(ix), unnest(range(0, 100)) AS c(iy) WHERE x0 + ix * 8 <= x1 AND y0 + iy * 8 <= y1),
 n AS (SELECT g.stack, ix, iy, pid, intensity, (g.x - p.x) ** 2 + (g.y - p.y) ** 2 AS d2 FROM g JOIN @points p ON p.stack = g.stack AND abs(p.x - g.x) <= 2 AND abs(p.y - g.y) <= 2)"""
@@ -61,18 +68,22 @@ def _(f):
     return points.renumber(f.points, ["stack"], ["z", "y", "x", "pid"])
 
 
-@query("m10_geometric_descriptors", "stack fid d1:f d2:f d3:f e12:f e13:f e23:f", """WITH n AS (SELECT a.stack, a.pid AS fid, b.pid AS nid, b.x, b.y, b.z, (a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2 AS dd FROM @points a JOIN @points b
+DESCRIPTORS = """WITH n AS (SELECT a.stack, a.pid AS fid, b.pid AS nid, b.x, b.y, b.z, (a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2 AS dd FROM @points a JOIN @points b
 ON a.stack = b.stack AND a.pid <> b.pid AND abs(a.x - b.x) <= 40 AND abs(a.y - b.y) <= 40 AND abs(a.z - b.z) <= 40 WHERE (a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2 <= 1600),
-k AS (SELECT stack, fid, min({'d': dd, 'p': nid, 'x': x, 'y': y, 'z': z}, 3) AS l FROM n GROUP BY stack, fid)
-SELECT stack, fid, sqrt(l[1].d) AS d1, sqrt(l[2].d) AS d2, sqrt(l[3].d) AS d3, sqrt((l[1].x - l[2].x) ** 2 + (l[1].y - l[2].y) ** 2 + (l[1].z - l[2].z) ** 2) AS e12,
-sqrt((l[1].x - l[3].x) ** 2 + (l[1].y - l[3].y) ** 2 + (l[1].z - l[3].z) ** 2) AS e13, sqrt((l[2].x - l[3].x) ** 2 + (l[2].y - l[3].y) ** 2 + (l[2].z - l[3].z) ** 2) AS e23 FROM k""")
+k AS (SELECT stack, fid, min({'d': dd, 'p': nid, 'x': x, 'y': y, 'z': z}, 3) AS l FROM n GROUP BY stack, fid),
+d AS (SELECT stack, fid, sqrt(l[1].d) AS d1, sqrt(l[2].d) AS d2, sqrt(l[3].d) AS d3, sqrt((l[1].x - l[2].x) ** 2 + (l[1].y - l[2].y) ** 2 + (l[1].z - l[2].z) ** 2) AS e12,
+sqrt((l[1].x - l[3].x) ** 2 + (l[1].y - l[3].y) ** 2 + (l[1].z - l[3].z) ** 2) AS e13, sqrt((l[2].x - l[3].x) ** 2 + (l[2].y - l[3].y) ** 2 + (l[2].z - l[3].z) ** 2) AS e23 FROM k)"""
+
+
+@query("m10_geometric_descriptors", "stack fid d1:f d2:f d3:f e12:f e13:f e23:f", DESCRIPTORS + " SELECT * FROM d")
 def _(f):
     found = points.geometric_descriptors(f.points, ["stack"], AX, 10.0)
     names = ["d1", "d2", "d3", "e12", "e13", "e23"]
     return found.select("stack", "fid", *[F.col("desc")[i].alias(n) for i, n in enumerate(names)])
 
 
-@query("m4_match_geometric", "stack a b")
+@query("m4_match_geometric", "stack a b", DESCRIPTORS + """, u AS (SELECT *, count(*) OVER (PARTITION BY stack, d1, d2, d3, e12, e13, e23) AS n FROM d)
+SELECT stack, fid AS a, -fid AS b FROM u WHERE n = 1""")
 def _(f):
     here = points.geometric_descriptors(f.points, ["stack"], AX, 10.0)
     there = here.withColumn("fid", -F.col("fid"))

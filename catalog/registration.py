@@ -120,10 +120,12 @@ def unit(f, sql=None):
     return rows.select("stack", "pid", *[F.col(c).cast("double").alias(c) for c in "xyz"])
 
 
-@query("m11_match_blocks", "stack n same tx:f ty:f tz:f")
+@query("m11_match_blocks", "stack same:b tx:f ty:f tz:f", "SELECT DISTINCT stack, true AS same, 3 AS tx, -2 AS ty, 1 AS tz FROM @points")
 def _(f):
     found = registration.match_blocks(unit(f), unit(f, MOVED), ["stack"], 10.0, epsilon=0.5, icp_distance=2.0, icp_epsilon=0.5, iterations=50, rounds=3)
-    return found.groupBy("stack").agg(F.count("*").alias("n"), F.count_if(F.col("a") == F.col("b")).alias("same"),
+    # points that share a position share their matches
+    twin = (F.col("qx") == F.col("px") + 3) & (F.col("qy") == F.col("py") - 2) & (F.col("qz") == F.col("pz") + 1)
+    return found.groupBy("stack").agg(F.bool_and(twin).alias("same"),
         F.avg(F.col("qx") - F.col("px")).alias("tx"), F.avg(F.col("qy") - F.col("py")).alias("ty"), F.avg(F.col("qz") - F.col("pz")).alias("tz"))
 
 

@@ -130,7 +130,24 @@ def _(f):
     return stencils.gradient_magnitude(f.em)
 
 
-@query("w11_tubeness", VOX)
+def central(axis: str, value: str) -> str:
+    rest = ", ".join(["dataset", *[a for a in "zyx" if a != axis]])
+    over = f"OVER (PARTITION BY {rest} ORDER BY {axis})"
+    return f"(coalesce(lead({value}) {over}, {value}) - coalesce(lag({value}) {over}, {value}))"
+
+
+SIGMA = {"x": 1.0, "y": 1.0, "z": 2.0}
+
+
+@query("w11_tubeness", VOX, f"""WITH g AS (SELECT *, {', '.join(f"{central(a, 'v')} * {2 / SIGMA[a]}::DOUBLE AS g{a}" for a in 'xyz')} FROM @em),
+h AS (SELECT *, {', '.join(f"{central(d, 'g' + e)} * {SIGMA[e] / 2}::DOUBLE AS h{d}{e}" for d, e in ('xx', 'xy', 'xz', 'yy', 'yz', 'zz'))} FROM g),
+q AS (SELECT *, (hxx + hyy + hzz) / 3 AS q FROM h),
+p AS (SELECT *, sqrt(((hxx - q) ** 2 + (hyy - q) ** 2 + (hzz - q) ** 2 + 2 * (hxy ** 2 + hxz ** 2 + hyz ** 2)) / 6) AS p,
+ (hxx - q) * ((hyy - q) * (hzz - q) - hyz * hyz) - hxy * (hxy * (hzz - q) - hyz * hxz) + hxz * (hxy * hyz - (hyy - q) * hxz) AS det FROM q),
+t AS (SELECT *, acos(greatest(-1, least(1, CASE WHEN p = 0 THEN 1 ELSE det / (2 * p * p * p) END))) / 3 AS t FROM p),
+e AS (SELECT dataset, z, y, x, q + 2 * p * cos(t) AS e1, q + 2 * p * cos(t + 2 * pi() / 3) AS e3, q FROM t),
+s AS (SELECT *, list_sort([{{'m': abs(e1), 'x': e1}}, {{'m': abs(3 * q - e1 - e3), 'x': 3 * q - e1 - e3}}, {{'m': abs(e3), 'x': e3}}]) AS l FROM e)
+SELECT dataset, z, y, x, CASE WHEN (l[3].x < 0 AND l[2].x < 0) OR (l[3].x > 0 AND l[2].x > 0) THEN sqrt(greatest(l[3].m * (l[2].m - l[1].m), 0)) / -l[3].x ELSE 0 END AS v FROM s""")
 def _(f):
     return stencils.tubeness(f.em, {"x": 1.0, "y": 1.0, "z": 2.0})
 

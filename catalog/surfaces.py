@@ -120,7 +120,10 @@ def _(f):
     return surface.smooth_under(f.heightfield.withColumnRenamed("hmax", "h"), f.sql(BRUSH), 1.0, pixel.extents(f.em))
 
 
-@query("c10_weighted_smooth_under_brush", "dataset:s y x h:f")
+@query("c10_weighted_smooth_under_brush", "dataset:s y x h:f", HIT + f""", s AS (SELECT dataset, y, x, max(w) AS m FROM h GROUP BY ALL),
+f0 AS (SELECT dataset, 0 AS z, y, x, hmax * greatest(0, least(1, 1 - abs(hmin - 0.75))) AS a, greatest(0, least(1, 1 - abs(hmin - 0.75))) AS b FROM @heightfield),
+a1 AS ({gauss_sql('f0', 'x', '25', 1.0, 'a')}), a2 AS ({gauss_sql('a1', 'y', '20', 1.0, 'a')}), b1 AS ({gauss_sql('f0', 'x', '25', 1.0, 'b')}), b2 AS ({gauss_sql('b1', 'y', '20', 1.0, 'b')})
+SELECT dataset, y, x, hmax + coalesce(s.m, 0) * (a2.a / b2.b - hmax) AS h FROM @heightfield JOIN a2 USING (dataset, y, x) JOIN b2 USING (dataset, y, x) LEFT JOIN s USING (dataset, y, x)""")
 def _(f):
     gradient = f.heightfield.select("dataset", "y", "x", F.abs(F.col("hmin") - 0.75).alias("g"))
     return surface.smooth_under(f.heightfield.withColumnRenamed("hmax", "h"), f.sql(BRUSH), 1.0, pixel.extents(f.em), gradient)

@@ -263,7 +263,10 @@ def _(f):
     return tf.pyramid_gauss(f.em, 1, pixel.extents(f.em))[0]
 
 
-@query("t21_pyramid_gauss_levels", "dataset:s level n total:f")
+@query("t21_pyramid_gauss_levels", "dataset:s level n total:f", f"""WITH a1 AS ({gauss_sql('@em', 'y', '20', G3)}), a2 AS ({gauss_sql('a1', 'x', '25', G3)}),
+l1 AS (SELECT dataset, z, y // 2 AS y, x // 2 AS x, v FROM a2 WHERE y % 2 = 0 AND x % 2 = 0 AND x // 2 < 12), b1 AS ({gauss_sql('l1', 'y', '10', G3)}), b2 AS ({gauss_sql('b1', 'x', '12', G3)}),
+l2 AS (SELECT dataset, z, y // 2 AS y, x // 2 AS x, v FROM b2 WHERE y % 2 = 0 AND x % 2 = 0 AND x // 2 < 6)
+SELECT dataset, 1 AS level, count(*) AS n, sum(v) AS total FROM l1 GROUP BY dataset UNION ALL SELECT dataset, 2, count(*), sum(v) FROM l2 GROUP BY dataset""")
 def _(f):
     out = None
     for i, level in enumerate(tf.pyramid_gauss(f.em, 2, pixel.extents(f.em), ("y", "x"))):

@@ -224,8 +224,12 @@ def multi_consensus(matches: DataFrame, keys: list[str], max_sets: int = 16, ide
         if inside.isEmpty():
             break
         found = inside if found is None else found.unionByName(inside)
+        if number == max_sets - 1:
+            break
         rest = checkpoint(rest.join(inside.select(*keys, identity), [*keys, identity], "left_anti")
                           .join(inside.select(*keys).distinct(), keys, "left_semi"))
+        if rest.isEmpty():
+            break
     return matches.withColumn("consensus", F.lit(0)).where(F.lit(False)) if found is None else found
 
 

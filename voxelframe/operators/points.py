@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,14 +16,16 @@ from voxelframe.session import checkpoint, small
 KINDS = ("mean", "median", "density", "gauss")
 
 
-def radius_filter(points: DataFrame, targets: DataFrame, keys: list[str], axes: list[str], radius: float, kind: str,
+def radius_filter(points: DataFrame, targets: DataFrame, keys: list[str], axes: list[str], radius: float, kind: str | Callable,
                   value: str = "v", sigma: float = 1.0, normalize: str | None = "weights", fill: float = 0.0) -> DataFrame:
-    """Value at every target position from the points within ``radius``.
+    """Value at every target position from the points within ``radius``. ``kind``
+    is a name or a function of (count, sum, squared distance) columns that
+    returns an aggregation.
 
     Points at one position are counted and summed first, so copies cost one row.
     ``normalize`` (gauss) divides by the sum of weights, the number of samples
     or nothing; positions without neighbours take ``fill`` (density: 0)."""
-    if kind not in KINDS:
+    if not callable(kind) and kind not in KINDS:
         raise ValueError(f"unknown filter {kind}")
     spots = targets.select(*keys, *axes).distinct()
     at = [F.col(f"l.{c}").alias(c) for c in [*keys, *axes]]
@@ -39,7 +43,7 @@ def radius_filter(points: DataFrame, targets: DataFrame, keys: list[str], axes:
         near = near_pairs(spots, heaps, keys, axes, radius)
         w = F.exp(-F.col("d2") / F.lit(2.0 * sigma * sigma))
         n, s = F.col("r.n"), F.col("r.s")
-        result = {
+        result = kind(n, s, F.col("d2")) if callable(kind) else {
             "mean": F.sum(s) / F.sum(n),
             "density": F.sum(n).cast("double"),
             "gauss": {"weights": F.sum(w * s) / F.sum(w * n), "samples": F.sum(w * s) / F.sum(n), None: F.sum(w * s)}[normalize],
