@@ -149,14 +149,14 @@ def map_blocks(vox: DataFrame, fn: Callable[[np.ndarray], np.ndarray], block: di
 
 
 def map_slices(vox: DataFrame, fn: Callable[[np.ndarray], np.ndarray], block: dict[str, int], padding: int,
-               sizes: DataFrame, low: float | None = None, high: float | None = None) -> DataFrame:
+               sizes: DataFrame, low: float | None = None, high: float | None = None, mode: str = "reflect") -> DataFrame:
     """Apply a 2-D filter to every z slice, block by block, with padding, an
     optional value range and a short cut for empty blocks."""
     def per_slice(cube):
         return np.stack([fn(s) for s in cube])
 
     out = map_blocks(vox, per_slice, {"z": 1, **{a: block[a] for a in ("y", "x")}}, {"y": padding, "x": padding},
-                     sizes, skip_empty=True)
+                     sizes, mode, skip_empty=True)
     if low is not None:
         out = out.withColumn("v", F.greatest(F.lit(float(low)), F.least(F.lit(float(high)), F.col("v"))))
     return out

@@ -115,8 +115,8 @@ def column_slopes(columns: DataFrame, group: list[str], along: str, size: int, r
     # sum of depth * (v - median), with the median outside the loop
     out = out.withColumns({"_dv": total(lambda s: depth(s) * s["v"]), "_d": total(depth), "_dd": total(lambda s: depth(s) * depth(s))})
     rise = (F.col("_dv") - F.col("_med") * F.col("_d")) / F.nullif(F.col("_dd"), F.lit(0.0))
-    slope = F.when(F.size("_flat") == 0, F.lit(0.0)).otherwise(
-        F.coalesce(F.greatest(F.lit(float(low)), F.least(F.lit(float(high)), rise)), F.lit(0.0)))
+    # least and greatest skip nulls, so a missing slope is decided first
+    slope = F.when(rise.isNull(), F.lit(0.0)).otherwise(F.greatest(F.lit(float(low)), F.least(F.lit(float(high)), rise)))
     return out.withColumn("slope", slope).drop("_last", "_near", "_stop", "_rows", "_flat", "_c", "_med", "_dv", "_d", "_dd")
 
 

@@ -284,7 +284,7 @@ def prefilter(vox: DataFrame, sizes: DataFrame, radius: int = 10, reach: int = 3
     ranged = vox.join(columns, [*KEY, "z", "x"], "left")
     inside = F.col("y").between(F.col("first"), F.col("last"))
     spread = classic_contrast(ranged.where(inside).select(*POS, "v"), 0, reach, factor, keys=KEY)
-    merged = vox.join(spread.withColumnRenamed("v", "w"), POS, "left").select(*POS, F.coalesce(to_pixel(F.col("w")), F.col("v")).alias("v"))
+    merged = vox.join(spread.withColumnRenamed("v", "w"), POS, "left").select(*POS, F.when(F.col("w").isNotNull(), to_pixel(F.col("w"))).otherwise(F.col("v")).alias("v"))
 
     def disc_median(image: np.ndarray) -> np.ndarray:
         dy, dx = np.mgrid[-radius:radius + 1, -radius:radius + 1]
@@ -296,7 +296,7 @@ def prefilter(vox: DataFrame, sizes: DataFrame, radius: int = 10, reach: int = 3
             out[y] = np.median(band, axis=0)
         return out
 
-    smooth = blocks.map_slices(merged, disc_median, block or {"y": 256, "x": 256}, radius, sizes)
+    smooth = blocks.map_slices(merged, disc_median, block or {"y": 256, "x": 256}, radius, sizes, mode="edge")
     span = columns.groupBy(*KEY, "z").agg(F.min("first").alias("first"), F.max("last").alias("last"))
     return smooth.join(span, [*KEY, "z"])
 

@@ -58,7 +58,7 @@ def require(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def clamp(value: Column, dtype: str) -> Column:
-    """Limit a value to the range of an integer pixel type."""
+    """Limit a value (not null) to the range of an integer pixel type."""
     _, low, high = PIXEL_TYPES[dtype]
     if low is None:
         return value

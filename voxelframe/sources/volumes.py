@@ -99,17 +99,21 @@ def octree_coordinates(paths: DataFrame, path: str = "path") -> DataFrame:
 def write_volume(df: DataFrame, path: str, background: float | None = 0, block_z: int = 64, mode: str = "error") -> None:
     """Write voxels as Parquet, partitioned by volume and z slab and sorted by
     position, leaving out background. Existing output is refused unless ``mode``
-    is "overwrite". A slab spreads over several tasks by its rows."""
+    is "overwrite". The rebalance splits slabs that are much larger than others."""
     kept = df if background is None else df.where(F.col("v") != background)
     keyed = kept.withColumn("gz", F.expr(f"z div {block_z}"))
-    laid = keyed.repartition("dataset", "gz", F.expr("y div 1024")).sortWithinPartitions("dataset", "gz", "z", "y", "x")
+    laid = keyed.hint("rebalance", "dataset", "gz").sortWithinPartitions("dataset", "gz", "z", "y", "x")
     laid.write.mode(mode).partitionBy("dataset", "gz").parquet(path)
 
 
-def read_volume(spark: SparkSession, path: str, roi: dict[str, tuple[int, int]] | None = None, block_z: int = 64) -> DataFrame:
-    """Read a volume; a region [low, high) prunes slab partitions and is pushed
-    to the file scan through the plain coordinate columns."""
-    out = spark.read.parquet(path).withColumn("dataset", F.col("dataset").cast("string"))
+def read_volume(spark: SparkSession, path: str, roi: dict[str, tuple[int, int]] | None = None, block_z: int = 64,
+                datasets: list[str] | None = None, value: str = "long") -> DataFrame:
+    """Read volumes; names and a region [low, high) prune partitions, and the
+    region is pushed to the file scan through the plain coordinate columns."""
+    schema = f"z long, y long, x long, v {value}, dataset string, gz long"
+    out = spark.read.schema(schema).parquet(path)
+    if datasets:
+        out = out.where(F.col("dataset").isin(datasets))
     for a, (low, high) in (roi or {}).items():
         if a == "z":
             out = out.where((F.col("gz") >= low // block_z) & (F.col("gz") <= (high - 1) // block_z))
@@ -208,8 +212,9 @@ def export_transforms(fields: DataFrame, slabs: DataFrame, scale: float) -> Data
 
 
 def save_rows(df: DataFrame, path: str, keys: list[str], mode: str = "error") -> None:
-    """Store features or matches as typed rows, one folder per key."""
-    df.repartition(*keys).write.mode(mode).partitionBy(*keys).parquet(path)
+    """Store features or matches as typed rows, one folder per key; the rebalance
+    lets several tasks write a large key."""
+    df.hint("rebalance", *keys).write.mode(mode).partitionBy(*keys).parquet(path)
 
 
 def save_matches(matches: DataFrame, path: str, mode: str = "error", minimum: int = 4) -> None:
