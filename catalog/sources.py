@@ -50,6 +50,23 @@ def _(f):
     return volumes.decode_slices(slices(f, "u16", "big"), "u16", "big", low={"y": 2, "x": 5}, size={"y": 10, "x": 10})
 
 
+@query("s1_slices_to_blocks", VOX, """WITH e AS (SELECT dataset, z, y - 2 AS y, x - 5 AS x, CASE WHEN z % 5 = 3 THEN 0 ELSE v END AS v FROM @em WHERE y >= 2 AND x >= 5),
+b AS (SELECT DISTINCT dataset, z // 4 AS gz FROM e WHERE z % 5 <> 3) SELECT dataset, z, y, x, v FROM e WHERE (dataset, z // 4) IN (SELECT (dataset, gz) FROM b)""")
+def _(f):
+    from voxelframe.plans.ingest import slices_to_blocks
+    sizes = pixel.extents(f.em).selectExpr("dataset", "nz", "ny - 2 AS ny", "nx - 5 AS nx")
+    present = slices(f).where("z % 5 <> 3")
+    return blocks.to_voxels(slices_to_blocks(present, 20, 25, BLOCK, sizes, low={"y": 2, "x": 5}), BLOCK)
+
+
+@query("s5_tiles_to_volume", VOX, EM + " WHERE v <> 0")
+def _(f):
+    from voxelframe.plans.ingest import tiles_to_volume
+    path = folder(f, "assembled")
+    tiles_to_volume(tiles(f), {"y": 8, "x": 8}, BLOCK, pixel.extents(f.em), path)
+    return volumes.read_volume(f.spark, path)
+
+
 def tiles(f, size=8):
     keyed = blocks.to_blocks(f.em, {"z": 1, "y": size, "x": size}, pixel.extents(f.em).select(
         "dataset", "nz", (F.ceil(F.col("ny") / size) * size).alias("ny"), (F.ceil(F.col("nx") / size) * size).alias("nx")))

@@ -146,10 +146,10 @@ def classic_contrast(vox: DataFrame, rx: int, ry: int, factor: float = 3.0, low:
 def clahe(vox: DataFrame, block: int, bins: int = 256, slope: float = 10.0, mask: DataFrame | None = None) -> DataFrame:
     """Contrast-limited histogram equalisation of every layer (u8).
 
-    Blocks are counted with map-side combine; a block's transfer function is one
-    row of ``bins`` numbers. Each voxel joins one row that holds the transfer
-    functions of the four nearest block centres, and blends them bilinearly.
-    Masked voxels (mask 0) neither count nor change."""
+    Blocks are counted with map-side combine and turned into transfer functions.
+    For every cell between four block centres and every bin there is one narrow
+    row with the four transferred values; a voxel joins the row of its cell and
+    bin and blends them bilinearly. Masked voxels (mask 0) neither count nor change."""
     data = vox if mask is None else vox.join(mask.select(*POS, F.col("v").alias("_m")), POS, "left").fillna({"_m": 0})
     seen = data if mask is None else data.where("_m <> 0")
     cell = [F.floor(F.col(a) / block).alias(f"g{a}") for a in ("y", "x")]
@@ -173,7 +173,8 @@ def clahe(vox: DataFrame, block: int, bins: int = 256, slope: float = 10.0, mask
     span = F.nullif(F.col("last") - F.col("first"), F.lit(0).cast("long"))
     table = F.transform("cdf", lambda c, i: F.coalesce(
         F.greatest(F.lit(0.0), (c - F.col("first")) / span.cast("double")) * 255.0, i * 256.0 / bins))
-    tables = packed.select(*KEY, "z", "gy", "gx", table.alias("t"))
+    # written once: one short row per block, so later steps read plain arrays
+    tables = checkpoint(packed.select(*KEY, "z", "gy", "gx", table.alias("t")))
     # one row per cell between four block centres
     grown = tables.groupBy(*KEY, "z").agg(F.max("gy").alias("my"), F.max("gx").alias("mx"))
     quads = grown.withColumn("qy", F.explode(F.sequence(F.lit(-1).cast("long"), F.col("my"))))
@@ -182,18 +183,19 @@ def clahe(vox: DataFrame, block: int, bins: int = 256, slope: float = 10.0, mask
     corners = corners.select(*KEY, "z", "qy", "qx", "c",
                              F.greatest(F.lit(0), F.least("my", F.col("qy") + F.floor(F.col("c") / 2))).alias("gy"),
                              F.greatest(F.lit(0), F.least("mx", F.col("qx") + F.col("c") % 2)).alias("gx"))
-    four = corners.join(tables, [*KEY, "z", "gy", "gx"]).groupBy(*KEY, "z", "qy", "qx").agg(
-        F.map_from_entries(F.collect_list(F.struct("c", "t"))).alias("four"))
+    four = corners.join(tables, [*KEY, "z", "gy", "gx"]).select(*KEY, "z", "qy", "qx", "c", F.posexplode("t").alias("bin", "t"))
+    four = four.groupBy(*KEY, "z", "qy", "qx", F.col("bin").cast("long").alias("bin")).agg(
+        *[F.max(F.when(F.col("c") == c, F.col("t"))).alias(f"_t{c}") for c in range(4)])
     place = {a: (F.col(a) + F.lit(0.5)) / block - F.lit(0.5) for a in ("y", "x")}
-    spots = data.withColumns({"qy": F.floor(place["y"]), "qx": F.floor(place["x"])})
-    joined = spots.join(four, [*KEY, "z", "qy", "qx"], "left")
+    spots = data.withColumns({"qy": F.floor(place["y"]), "qx": F.floor(place["x"]), "bin": level.cast("long")})
+    joined = spots.join(four, [*KEY, "z", "qy", "qx", "bin"], "left")
     fy, fx = place["y"] - F.col("qy"), place["x"] - F.col("qx")
     value = F.lit(0.0)
     identity = F.col("v").cast("double")
     for c in range(4):
         wy = fy if c // 2 else F.lit(1.0) - fy
         wx = fx if c % 2 else F.lit(1.0) - fx
-        value = value + wy * wx * F.coalesce(F.col("four")[c][level.cast("int")], identity)
+        value = value + wy * wx * F.coalesce(F.col(f"_t{c}"), identity)
     result = to_pixel(value)
     if mask is not None:
         result = F.when(F.col("_m") == 0, F.col("v")).otherwise(result)
