@@ -159,22 +159,19 @@ def clahe(vox: DataFrame, block: int, bins: int = 256, slope: float = 10.0, mask
         F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("h"), F.sum("n").alias("total"))
     cap = F.floor(F.col("total") * F.lit(slope) / bins + 0.5)
     counts = F.transform(F.sequence(F.lit(0).cast("long"), F.lit(bins - 1).cast("long")), lambda i: F.coalesce(F.col("h")[i], F.lit(0).cast("long")))
-    packed = packed.withColumn("counts", counts).withColumn("cap", cap)
-    packed = packed.withColumn("cut", F.transform("counts", lambda c: F.least(c, F.col("cap"))))
-    excess = F.col("total") - F.aggregate("cut", F.lit(0).cast("long"), lambda acc, c: acc + c)
-    packed = packed.withColumn("excess", excess)
+    # every block as one row per bin; the windows below span the bins of one block
+    listed = packed.select(*KEY, "z", "gy", "gx", "total", cap.alias("cap"), F.posexplode(counts).alias("bin", "n"))
+    listed = listed.withColumn("cut", F.least("n", "cap"))
+    whole = Window.partitionBy(*KEY, "z", "gy", "gx")
+    upto = whole.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
     # exact integers: bins * (cut + excess / bins)
-    packed = packed.withColumn("flat", F.transform("cut", lambda c: c * bins + F.col("excess")))
-    start = F.struct(F.lit(0).cast("long").alias("sum"), F.array().cast("array<long>").alias("list"))
-    packed = packed.withColumn("cdf", F.aggregate("flat", start, lambda acc, c: F.struct(
-        (acc["sum"] + c).alias("sum"), F.array_append(acc["list"], acc["sum"] + c).alias("list")))["list"])
-    first = F.element_at(F.filter("cdf", lambda c: c > 0), 1)
-    packed = packed.withColumn("first", first).withColumn("last", F.element_at("cdf", -1))
+    listed = listed.withColumn("flat", F.col("cut") * bins + F.col("total") - F.sum("cut").over(whole))
+    listed = listed.withColumn("c", F.sum("flat").over(upto))
+    listed = listed.withColumn("first", F.min(F.when(F.col("c") > 0, F.col("c"))).over(whole)).withColumn("last", F.max("c").over(whole))
     span = F.nullif(F.col("last") - F.col("first"), F.lit(0).cast("long"))
-    table = F.transform("cdf", lambda c, i: F.coalesce(
-        F.greatest(F.lit(0.0), (c - F.col("first")) / span.cast("double")) * 255.0, i * 256.0 / bins))
-    # written once: one short row per block, so later steps read plain arrays
-    tables = checkpoint(packed.select(*KEY, "z", "gy", "gx", table.alias("t")))
+    moved = F.greatest(F.lit(0.0), (F.col("c") - F.col("first")) / span.cast("double")) * 255.0
+    table = F.when(F.col("last") == F.col("first"), F.col("bin") * 256.0 / bins).otherwise(moved)
+    tables = checkpoint(listed.select(*KEY, "z", "gy", "gx", F.col("bin").cast("long").alias("bin"), table.alias("t")))
     # one row per cell between four block centres
     grown = tables.groupBy(*KEY, "z").agg(F.max("gy").alias("my"), F.max("gx").alias("mx"))
     quads = grown.withColumn("qy", F.explode(F.sequence(F.lit(-1).cast("long"), F.col("my"))))
@@ -183,8 +180,7 @@ def clahe(vox: DataFrame, block: int, bins: int = 256, slope: float = 10.0, mask
     corners = corners.select(*KEY, "z", "qy", "qx", "c",
                              F.greatest(F.lit(0), F.least("my", F.col("qy") + F.floor(F.col("c") / 2))).alias("gy"),
                              F.greatest(F.lit(0), F.least("mx", F.col("qx") + F.col("c") % 2)).alias("gx"))
-    four = corners.join(tables, [*KEY, "z", "gy", "gx"]).select(*KEY, "z", "qy", "qx", "c", F.posexplode("t").alias("bin", "t"))
-    four = four.groupBy(*KEY, "z", "qy", "qx", F.col("bin").cast("long").alias("bin")).agg(
+    four = corners.join(tables, [*KEY, "z", "gy", "gx"]).groupBy(*KEY, "z", "qy", "qx", "bin").agg(
         *[F.max(F.when(F.col("c") == c, F.col("t"))).alias(f"_t{c}") for c in range(4)])
     place = {a: (F.col(a) + F.lit(0.5)) / block - F.lit(0.5) for a in ("y", "x")}
     spots = data.withColumns({"qy": F.floor(place["y"]), "qx": F.floor(place["x"]), "bin": level.cast("long")})
