@@ -40,3 +40,10 @@ def row_key(id_col: str, text_col: str) -> list[Column]:
     """128 bits that tell rows apart by id and text (rows equal in both share it)."""
     i, t = F.col(id_col), F.col(text_col)
     return [F.xxhash64(i.isNull(), i, t.isNull(), t).alias("__k1"), F.xxhash64(F.lit(7), t, i).alias("__k2")]
+
+
+def sized(df: DataFrame, name: str, limit: int = 100_000) -> DataFrame:
+    """Write a narrow table and count it: up to ``limit`` rows it may be broadcast,
+    beyond that joins with it are left to Spark's shuffles."""
+    done = written(df, name)
+    return F.broadcast(done) if done.count() <= limit else done

@@ -6,7 +6,7 @@ import importlib
 
 QUERIES: dict = {}
 ORACLES: dict = {}
-MODULES = ["simhash"]
+MODULES = ["simhash", "decontaminate"]
 
 
 def query(name: str, sql: str | None = None):
