@@ -6,7 +6,7 @@ import importlib
 
 QUERIES: dict = {}
 ORACLES: dict = {}
-MODULES = ["simhash", "decontaminate"]
+MODULES = ["simhash", "decontaminate", "secrets"]
 
 
 def query(name: str, sql: str | None = None):
