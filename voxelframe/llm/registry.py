@@ -6,7 +6,7 @@ import importlib
 
 QUERIES: dict = {}
 ORACLES: dict = {}
-MODULES = ["simhash", "decontaminate", "secrets"]
+MODULES = ["simhash", "decontaminate", "secrets", "packing"]
 
 
 def query(name: str, sql: str | None = None):

@@ -89,11 +89,12 @@ def close_pairs(nodes: DataFrame, bits: int = BITS, block: int = BLOCK) -> DataF
 
     With ``bits`` = 2 the blocks are pairs of four parts. ``nodes`` must hold each fingerprint once."""
     spark = nodes.sparkSession
-    pairs, rows = None, nodes.select("fp", F.lit(0).cast("long").alias("parent"))
+    pairs, rows = None, nodes.select("fp")
     levels = _levels(bits)
     for depth, masks in enumerate(levels):
         cut = F.broadcast(spark.createDataFrame(masks, "parent long, mask long"))  # 6 rows for each parent, 216 at most
-        rows = rows.join(cut, "parent").select("fp", "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("part"))
+        split = rows.join(cut, "parent") if depth else rows.withColumn("mask", F.explode(F.array(*[F.lit(m) for _, m in masks])))
+        rows = split.select("fp", "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("part"))
         if depth + 1 < len(levels):
             large = written(rows.groupBy("mask", "part").count().where(F.col("count") > block).select("mask", "part"), "blocks")
             whole = rows.join(large, ["mask", "part"], "left_anti")
