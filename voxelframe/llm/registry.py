@@ -6,7 +6,7 @@ import importlib
 
 QUERIES: dict = {}
 ORACLES: dict = {}
-MODULES = ["simhash", "decontaminate", "secrets", "packing"]
+MODULES = ["simhash", "langid", "sharding", "secrets", "packing", "decontaminate"]
 
 
 def query(name: str, sql: str | None = None):
