@@ -6,7 +6,7 @@ import importlib
 
 QUERIES: dict = {}
 ORACLES: dict = {}
-MODULES = ["simhash", "langid", "sharding", "secrets", "packing", "decontaminate", "maxent"]
+MODULES = ["simhash", "langid", "sharding", "secrets", "packing", "decontaminate", "maxent", "neighbours"]
 
 
 def query(name: str, sql: str | None = None):
