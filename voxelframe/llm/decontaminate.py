@@ -143,10 +143,12 @@ def contaminated() -> Column:
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
     """``docs`` without the contaminated rows, all columns kept."""
-    keyed = docs.select(F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("h")).alias("__id"), F.col(text_col).alias("__text"))
-    bad = contamination(keyed, benchmark, "__id", "__text", item_col).where(contaminated()).select("id.id", "id.h").distinct()
-    bad = sized(bad, "bad", 1_000_000)
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("id")) & F.xxhash64(F.col(text_col)).eqNullSafe(F.col("h")), "left_anti")
+    key = [F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("h")]
+    found = contamination(docs.select(F.struct(*key).alias("id"), F.col(text_col).alias("text")), benchmark, "id", "text", item_col)
+    bad = sized(found.where(contaminated()).select("id.id", "id.h").distinct(), "bad", 1_000_000)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *key)
+    same = rows["id"].eqNullSafe(bad["id"]) & (rows["h"] == bad["h"])
+    return rows.join(bad, same, "left_anti").select("row.*")
 
 
 SQL = rf"""

@@ -213,7 +213,7 @@ def train(rows: DataFrame, vocab: Vocabulary, text_col: str = "text", part: str
 
 
 def score(docs: DataFrame, words: DataFrame, vocab: Vocabulary, weights: np.ndarray, keep: list[str], text_col: str = "text") -> DataFrame:
-    """Columns ``keep`` of every row with n_tokens, n_known, base_score and score."""
+    """Columns ``keep`` of every row with n_tokens, n_known, base_score and score; ``keep`` must not name these."""
     shared = docs.sparkSession.sparkContext.broadcast((vocab, weights))
 
     @F.pandas_udf("n_tokens long, n_known long, near double, model double, rare string")
@@ -239,10 +239,10 @@ def score(docs: DataFrame, words: DataFrame, vocab: Vocabulary, weights: np.ndar
     rare = rows.where(F.col("s.rare") != "").select("uid", F.explode(F.split("s.rare", " ")).alias("word")).where(F.col("word") != "")
     # an unknown end is the empty word, which is counted below
     met = rare.join(words, "word", "left").groupBy("uid").agg(F.count("n").alias("known"), F.sum(F.log10(F.coalesce("n", F.lit(0)) + SMOOTH)).alias("far"), F.count(F.lit(1)).alias("met"))
-    done = rows.join(met, "uid", "left").select("row.*", "s.*", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("known", "far", "met")])
+    done = rows.join(met, "uid", "left").select("row", "s.*", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("known", "far", "met")])
     lost = (F.col("n_tokens") - F.col("n_known") - F.col("met")) * F.lit(log10(SMOOTH))
     total = F.col("near") + F.col("far") + lost
-    return done.select(*keep, "n_tokens", (F.col("n_known") + F.col("known")).alias("n_known"),
+    return done.select("row.*", "n_tokens", (F.col("n_known") + F.col("known")).alias("n_known"),
                        (total - F.col("n_tokens") * F.lit(vocab.base_rest())).alias("base_score"), (total + F.col("model")).alias("score"))
 
 
