@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxelframe.llm.common import crc_mod, table
+from voxelframe.llm.common import crc_mod, table, written
 from voxelframe.llm.registry import query
 
 ORDER, BITS, SMOOTH, MATRIX_MB = 3, 15, 0.1, 256
@@ -117,7 +117,7 @@ class Model:
 
 def train(rows: DataFrame, lang_col: str = "lang", text_col: str = "text", bits: int = BITS, smooth: float = SMOOTH) -> Model:
     """Naive Bayes model from all ``rows``; languages times cells come to the driver."""
-    found = counts(rows, lang_col, text_col, ORDER, bits)
+    found = written(counts(rows, lang_col, text_col, ORDER, bits), "cells")
     langs = sorted(r["lang"] for r in found.where("cell = -1").select("lang").limit(1 + (MATRIX_MB << 20) // (4 << bits)).collect())
     if len(langs) << (bits + 2) > MATRIX_MB << 20:
         raise ValueError(f"more languages than a matrix of {MATRIX_MB} MB holds; lower bits")

@@ -5,8 +5,9 @@ characters or more, an access key id of 20 or more, a run of 24 or more lower-ca
 digits. Markov spans: other runs of 16 or more characters of ``ALPHABET`` whose letters
 follow each other as in random strings rather than as in ordinary identifiers. Both
 models are first-order, with a start state; the random one learns from the values of base
-spans with a uniform prior, the ordinary one from other runs of ten characters or more,
-both from a sample of about ``SAMPLE`` documents. Only ``(len(ALPHABET) + 1) ** 2`` log
+spans with a uniform prior, the ordinary one from other runs of ten characters or more and
+from names made of the first ``WORDS`` words of a text (joined by a sign, or capitalised), both
+from a sample of about ``SAMPLE`` documents. Only ``(len(ALPHABET) + 1) ** 2`` log
 ratios leave the cluster.
 
 Offsets count code points, ends excluded. They are running sums over the pieces between
@@ -35,7 +36,7 @@ VALUE = 6
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 RUN = r"[A-Za-z0-9+/_-]{%d,}"
-LEAST, LEARN, SAMPLE = 16, 10, 20_000
+LEAST, LEARN, WORDS, SAMPLE = 16, 10, 12, 20_000
 TOTAL, MEAN = 20.0, 1.5  # nats: of a whole run, and of one of its characters, from which it counts as random
 KINDS = ["assign", "access", "hex", "markov"]
 _NONE = "array<string>"
@@ -83,17 +84,24 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
                       _found(text, ACCESS, may["access"]), _found(text, HEX, may["hex"]))
     random = _transitions(drawn.select(F.explode(values).alias("s")))
     rest = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, ASSIGN, " "), ACCESS, " "), HEX, " ")
-    ordinary = _transitions(drawn.select(F.explode(F.regexp_extract_all(rest, F.lit(RUN % LEARN), F.lit(0))).alias("s")))
+    runs = F.regexp_extract_all(rest, F.lit(RUN % LEARN), F.lit(0))
+    words = F.slice(F.filter(F.split(rest, "[^A-Za-z]+"), lambda w: F.length(w) > 1), 1, WORDS)
+    named = [F.array_join(words, mark) for mark in ("_", "-", "/")] + [F.array_join(F.transform(words, F.initcap), "")]
+    ordinary = _transitions(drawn.select(F.explode(F.concat(runs, F.array(*named))).alias("s")))
     return ratios(random, ordinary)
 
 
-def ratios(random: dict, ordinary: dict, prior: float = 1.0, smooth: float = 0.5) -> list[float]:
+def ratios(random: dict, ordinary: dict, weight: float = 10.0) -> list[float]:
+    """Log ratios of the two models. A state's counts are mixed with ``weight`` of a prior: uniform for the
+    random model, the smoothed frequencies of characters for the ordinary one."""
     size = len(ALPHABET)
+    single = [0.5 + sum(n for (_, c), n in ordinary.items() if c == i) for i in range(1, size + 1)]
+    common = [x / sum(single) for x in single]
     out = []
     for p in range(size + 1):
-        seen, common = (sum(m.get((p, n), 0) for n in range(1, size + 1)) for m in (random, ordinary))
-        out += [0.0] + [math.log((random.get((p, n), 0) + prior) / (seen + prior * size)) - math.log(
-            (ordinary.get((p, n), 0) + smooth) / (common + smooth * size)) for n in range(1, size + 1)]
+        seen, usual = (sum(m.get((p, n), 0) for n in range(1, size + 1)) for m in (random, ordinary))
+        out += [0.0] + [math.log((random.get((p, n), 0) + weight / size) / (seen + weight)) - math.log(
+            (ordinary.get((p, n), 0) + weight * common[n - 1]) / (usual + weight)) for n in range(1, size + 1)]
     return out
 
 
