@@ -10,7 +10,7 @@ VOX = "dataset:s z y x v"
 
 @query("u1_additive_saturate", VOX, "SELECT dataset, z, y, x, least(255, sum(v)) AS v FROM (SELECT * FROM @em UNION ALL SELECT * FROM @em_b) GROUP BY ALL")
 def _(f):
-    return compose.additive([f.em, f.em_b])
+    return compose.additive([f.em, f.em_b], overflow="saturate")
 
 
 @query("u1_additive_wrap", VOX, "SELECT dataset, z, y, x, sum(v) % 256 AS v FROM (SELECT * FROM @em UNION ALL SELECT * FROM @em_b) GROUP BY ALL")

@@ -108,15 +108,23 @@ def _(f):
     return joins.with_flipped(f.sql(ORIENTED))
 
 
-BLOCKED = "SELECT o_custkey AS a, o_orderkey % 700 AS b, o_orderkey % 50 AS block FROM @orders"
+BLOCKED = "SELECT o_orderkey % 3 AS pair, o_custkey % 400 AS a, o_custkey % 400 + o_orderkey % 2 AS b, o_orderkey % 50 AS block FROM @orders"
+# block by block, as lists of the matches kept so far
+MERGED = f"""WITH every AS (SELECT DISTINCT pair, a, b, block FROM ({BLOCKED})), sets AS (SELECT pair, block, list({{'a': a, 'b': b, 'block': block}}) AS l FROM every GROUP BY pair, block),
+k AS (SELECT pair, CAST(-1 AS BIGINT) AS t, CAST([] AS STRUCT(a BIGINT, b BIGINT, block BIGINT)[]) AS kept FROM (SELECT DISTINCT pair FROM every)
+ UNION ALL SELECT k.pair, k.t + 1, CASE WHEN l IS NULL THEN kept ELSE list_concat(kept, list_filter(l, lambda m: NOT list_contains(list_transform(kept, lambda x: x.a), m.a)
+ AND NOT list_contains(list_transform(kept, lambda x: x.b), m.b))) END FROM k LEFT JOIN sets ON sets.pair = k.pair AND sets.block = k.t + 1 WHERE k.t < 49),
+merged AS (SELECT pair, unnest(kept, recursive := true) FROM k WHERE t = 49)"""
 
 
-@query("j12_merge_matches", "a b block")
+@query("j12_merge_matches", "pair a b block", MERGED + " SELECT pair, a, b, block FROM merged")
 def _(f):
-    return joins.merge_matches(f.sql(BLOCKED))
+    return joins.merge_matches(f.sql(BLOCKED), ["pair"])
 
 
-@query("j12_merge_counts", "n seen different")
+@query("j12_merge_counts", "pair n added same different", MERGED + """, first AS (SELECT pair, a, b, min(block) AS kept FROM merged GROUP BY pair, a, b)
+SELECT pair, count(*) AS n, count(*) FILTER (WHERE kept = block) AS added, count(*) FILTER (WHERE kept < block) AS same, count(*) FILTER (WHERE kept IS NULL) AS different
+FROM every LEFT JOIN first USING (pair, a, b) GROUP BY pair""")
 def _(f):
     rows = f.sql(BLOCKED)
-    return joins.merge_counts(rows, joins.merge_matches(rows))
+    return joins.merge_counts(rows, joins.merge_matches(rows, ["pair"]), ["pair"])

@@ -124,11 +124,12 @@ def _(f):
     return grid.points_in_box(f.points, {"x": (100, 300), "y": (50, 250), "z": (10, 40)})
 
 
-@query("p15_points_in_blocks", "stack pid", """SELECT stack, pid FROM @points WHERE EXISTS (SELECT 1 FROM @tiles WHERE tile % 7 = 3
-AND x BETWEEN ox AND ox + sx - 1 AND y BETWEEN oy AND oy + sy - 1 AND z BETWEEN oz AND oz + sz - 1)""")
+@query("p15_points_in_blocks", "stack pid", """SELECT stack, pid FROM @points WHERE EXISTS (SELECT 1 FROM @tiles
+WHERE x BETWEEN ox + 10 AND ox + 60 AND y BETWEEN oy + 10 AND oy + 60 AND z BETWEEN oz + 10 AND oz + 60)""")
 def _(f):
-    blocks = f.tiles.where("tile % 7 = 3")
-    return grid.points_in_blocks(f.points, blocks, 100, ["stack", "pid"])
+    # the cores of all tiles, so that many points lie in none
+    cores = f.tiles.selectExpr("tile", *[f"o{a} + 10 AS o{a}" for a in "xyz"], *[f"51 AS s{a}" for a in "xyz"])
+    return grid.points_in_blocks(f.points, cores, 100, ["stack", "pid"])
 
 
 @query("p16_exclusions", "stack pid", "SELECT stack, pid FROM @points WHERE stack NOT IN (2, 5)")

@@ -6,9 +6,13 @@ from catalog.registry import query
 from voxelframe.operators import grid, matching, points, stats
 
 AX = ["x", "y", "z"]
-TARGETS = "SELECT stack, pid, x + 1 AS x, y, z FROM @points WHERE stack = 3"
-NEAR = f"""WITH t AS (SELECT DISTINCT stack, x, y, z FROM ({TARGETS})), n AS (SELECT t.stack, t.x, t.y, t.z, p.intensity AS v,
-(t.x - p.x) ** 2 + (t.y - p.y) ** 2 + (t.z - p.z) ** 2 AS d2 FROM t JOIN @points p ON p.stack = t.stack AND abs(p.x - t.x) <= 12 AND abs(p.y - t.y) <= 12 AND abs(p.z - t.z) <= 12),
+TARGETS = "SELECT stack, pid, x + 1 AS x, y, z FROM @points"
+# targets go to the cells of 25 that their surroundings touch, points to their own
+NEAR = f"""WITH t AS (SELECT DISTINCT stack, x, y, z FROM ({TARGETS})),
+tx AS (SELECT *, unnest(range(CAST(floor((x - 12) / 25) AS BIGINT), CAST(floor((x + 12) / 25) AS BIGINT) + 1)) AS cx FROM t),
+ty AS (SELECT *, unnest(range(CAST(floor((y - 12) / 25) AS BIGINT), CAST(floor((y + 12) / 25) AS BIGINT) + 1)) AS cy FROM tx),
+p AS (SELECT stack, x, y, z, intensity, CAST(floor(x / 25) AS BIGINT) AS cx, CAST(floor(y / 25) AS BIGINT) AS cy FROM @points),
+n AS (SELECT t.stack, t.x, t.y, t.z, p.intensity AS v, (t.x - p.x) ** 2 + (t.y - p.y) ** 2 + (t.z - p.z) ** 2 AS d2 FROM ty t JOIN p ON p.stack = t.stack AND p.cx = t.cx AND p.cy = t.cy),
 r AS (SELECT * FROM n WHERE d2 <= 144)"""
 
 
@@ -36,7 +40,9 @@ def _(f):
 
 RASTER = """WITH b AS (SELECT stack, min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM @points GROUP BY stack),
 g AS (SELECT stack, ix, iy, x0 + ix * 8.0::DOUBLE AS x, y0 + iy * 8.0::DOUBLE AS y FROM b, unnest(range(0, 100)) AS a(ix), unnest(range(0, 100)) AS c(iy) WHERE x0 + ix * 8 <= x1 AND y0 + iy * 8 <= y1),
-n AS (SELECT g.stack, ix, iy, pid, intensity, (g.x - p.x) ** 2 + (g.y - p.y) ** 2 AS d2 FROM g JOIN @points p ON p.stack = g.stack AND abs(p.x - g.x) <= 2 AND abs(p.y - g.y) <= 2)"""
+q AS (SELECT p.*, x0, y0, unnest(range(CAST(ceil((x - x0 - 2) / 8) AS BIGINT), CAST(floor((x - x0 + 2) / 8) AS BIGINT) + 1)) AS ix FROM @points p JOIN b USING (stack)),
+q2 AS (SELECT *, unnest(range(CAST(ceil((y - y0 - 2) / 8) AS BIGINT), CAST(floor((y - y0 + 2) / 8) AS BIGINT) + 1)) AS iy FROM q),
+n AS (SELECT g.stack, g.ix, g.iy, pid, intensity, (g.x - p.x) ** 2 + (g.y - p.y) ** 2 AS d2 FROM g JOIN q2 p ON p.stack = g.stack AND p.ix = g.ix AND p.iy = g.iy)"""
 
 
 def plane(f):

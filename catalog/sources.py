@@ -50,6 +50,19 @@ def _(f):
     return volumes.decode_slices(slices(f, "u16", "big"), "u16", "big", low={"y": 2, "x": 5}, size={"y": 10, "x": 10})
 
 
+@query("s3_real_windows", "dataset:s z y x v:f", "SELECT dataset, z, y - 2 AS y, x - 5 AS x, v / 4.0::DOUBLE - 20.5::DOUBLE AS v FROM @em WHERE y >= 2 AND y < 12 AND x >= 5 AND x < 15")
+def _(f):
+    real = f.em.withColumn("v", F.col("v") / 4 - 20.5)
+    packed = volumes.export_slices(real, pixel.extents(f.em), dtype="f32", byteorder="big")
+    return volumes.decode_slices(packed, "f32", "big", low={"y": 2, "x": 5}, size={"y": 10, "x": 10})
+
+
+@query("s7_real_blocks", "dataset:s z y x v:f", "SELECT dataset, z, y, x, v / 4.0::DOUBLE - 20.5::DOUBLE AS v FROM @em")
+def _(f):
+    sizes = pixel.extents(f.em)
+    return blocks.to_voxels(blocks.to_blocks(f.em.withColumn("v", F.col("v") / 4 - 20.5), BLOCK, sizes, "f32"), BLOCK, "f32")
+
+
 @query("s1_slices_to_blocks", VOX, """WITH e AS (SELECT dataset, z, y - 2 AS y, x - 5 AS x, CASE WHEN z % 5 = 3 THEN 0 ELSE v END AS v FROM @em WHERE y >= 2 AND x >= 5),
 b AS (SELECT DISTINCT dataset, z // 4 AS gz FROM e WHERE z % 5 <> 3) SELECT dataset, z, y, x, v FROM e WHERE (dataset, z // 4) IN (SELECT (dataset, gz) FROM b)""")
 def _(f):
@@ -115,17 +128,17 @@ def _(f):
     return blocks.reblock(blocks.to_blocks(f.em, BLOCK, sizes), BLOCK, {"z": 3, "y": 7, "x": 16}, sizes)
 
 
-@query("s8_read_window", VOX, EM + " WHERE z >= 2 AND z < 7 AND y >= 5 AND y < 15 AND x >= 3 AND x < 9 AND v <> 0")
+@query("s8_read_window", VOX, EM + " WHERE z >= 2 AND z < 7 AND y >= 1 AND y < 15 AND x >= 1 AND x < 9")
 def _(f):
     path = folder(f, "volume")
-    volumes.write_volume(f.em, path, block_z=4)
-    return volumes.read_volume(f.spark, path, {"z": (2, 7), "y": (5, 15), "x": (3, 9)}, block_z=4)
+    volumes.write_volume(f.em, path, background=0, block_z=4)
+    return volumes.read_volume(f.spark, path, {"z": (2, 7), "y": (1, 15), "x": (1, 9)}, sizes=pixel.extents(f.em))
 
 
 @query("s9_write_nonempty", VOX, EM + " WHERE v <> 0")
 def _(f):
     path = folder(f, "volume")
-    volumes.write_volume(f.em, path)
+    volumes.write_volume(f.em, path, background=0)
     return volumes.read_volume(f.spark, path)
 
 
@@ -134,13 +147,21 @@ def _(f):
     return blocks.nonempty_blocks(f.em, {"z": 4, "y": 2, "x": 2})
 
 
+@query("s10_resume", VOX, "SELECT dataset, z, y, x, CASE WHEN z < 4 THEN v + 1 ELSE v END AS v FROM @em")
+def _(f):
+    path = folder(f, "volume")
+    volumes.write_volume(f.em.where("z < 4").withColumn("v", F.col("v") + 1), path, block_z=4)
+    volumes.resume_volume(f.em, path, block_z=4)
+    return volumes.read_volume(f.spark, path)
+
+
 @query("s10_overwrite_and_consistency", VOX, EM + " WHERE v > 100")
 def _(f):
     path = folder(f, "volume")
     volumes.write_volume(f.em, path)
     volumes.write_volume(f.em.where("v > 100"), path, mode="overwrite")
     meta = pixel.extents(f.em).select("dataset", F.array("nx", "ny", "nz").alias("dims"), F.array(F.lit(10), F.lit(8), F.lit(4)).alias("block"),
-                                      F.lit("u8").alias("dtype"))
+                                      F.lit("u8").alias("dtype"), F.create_map(F.lit("compression"), F.lit("gzip")).alias("attrs"))
     return volumes.read_volume(f.spark, path).join(volumes.check_consistent(meta, meta), "dataset")
 
 
@@ -169,13 +190,24 @@ def _(f):
 JOBS = "SELECT concat('/raw/s', CAST(o_orderkey AS STRING)) AS source, concat('/field/', CAST(o_custkey AS STRING)) AS field, concat('/flat/s', CAST(o_orderkey AS STRING)) AS target FROM @orders"
 
 
-@query("s13_read_jobs", "source:s field:s target:s form:s", f"SELECT *, 'csv' AS form FROM ({JOBS}) UNION ALL SELECT *, 'json' FROM ({JOBS})")
+@query("s13_read_jobs", "source:s field:s target:s form:s", f"SELECT *, 'csv' AS form FROM ({JOBS}) UNION ALL SELECT *, 'json' FROM ({JOBS}) UNION ALL SELECT source, '', target, 'array' FROM ({JOBS})")
 def _(f):
     path = folder(f, "jobs")
     f.sql(JOBS).write.csv(path + "/csv")
     f.sql(JOBS).write.json(path + "/json")
+    pairs = f.sql(JOBS).select(F.expr("concat('{\"from\": \"', source, '\",\\n  \"to\": \"', target, '\"}')").alias("r"))
+    # one array, written by one task as it is one file
+    array_file(pairs, path + "/array")
     return volumes.read_jobs(f.spark, path + "/csv").withColumn("form", F.lit("csv")).unionByName(
-        volumes.read_jobs(f.spark, path + "/json", "json").withColumn("form", F.lit("json")))
+        volumes.read_jobs(f.spark, path + "/json", "json").withColumn("form", F.lit("json"))).unionByName(
+        volumes.read_jobs(f.spark, path + "/array", "array").withColumn("form", F.lit("array")))
+
+
+def array_file(rows, path, part=1000):
+    """Arrays of JSON objects (column r), pretty-printed, one of at most about ``part`` in a line-separated file."""
+    salt = F.pmod(F.xxhash64("r"), F.lit(64))
+    one = rows.groupBy(salt.alias("s")).agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("r"), ",\n"), F.lit("\n]")).alias("value"))
+    one.repartition("s").write.partitionBy("s").text(path)
 
 
 POSITIONS = """SELECT 'tile' AS type, concat('Stack_Pos0', CAST(s_suppkey AS STRING), '_a.h5') AS file, array(s_suppkey * 10, s_suppkey * 20, CAST(0 AS BIGINT)) AS position,
@@ -186,7 +218,9 @@ array(CAST(100 AS BIGINT), CAST(200 AS BIGINT), CAST(50 AS BIGINT)) AS size, arr
 def _(f):
     path = folder(f, "positions")
     f.sql(POSITIONS).write.json(path)
-    return volumes.read_positions(f.spark, path).select("position_id", F.col("position")[0].alias("px"), F.col("position")[1].alias("py"), "index")
+    array_file(f.sql(POSITIONS).where("index % 2 = 1").select(F.to_json(F.struct("*")).alias("r")), path + "-array")
+    both = volumes.read_positions(f.spark, path).where("index % 2 = 0").unionByName(volumes.read_positions(f.spark, path + "-array", array=True).drop("s"))
+    return both.select("position_id", F.col("position")[0].alias("px"), F.col("position")[1].alias("py"), "index")
 
 
 CATALOG = """SELECT o_custkey AS stack, concat('Ch', CAST(o_orderkey % 3 AS STRING)) AS channel, 'cam1' AS cam, o_orderkey AS idx,
@@ -249,11 +283,16 @@ def _(f):
 
 # ---- block functions ---------------------------------------------------------
 
-@query("x1_map_slices", "dataset:s z y x v:f", """WITH p AS (SELECT dataset, z, y, x, v, max(y) OVER (PARTITION BY dataset) AS my, max(x) OVER (PARTITION BY dataset) AS mx FROM @em)
+# black right parts of some layers, so that blocks are black with and without black borders
+DARK = "SELECT dataset, z, y, x, CASE WHEN z % 3 = 1 OR z % 3 = 2 AND x >= 18 OR z % 3 = 0 AND x >= 8 THEN 0 ELSE v END AS v FROM @em"
+
+
+@query("x1_map_slices", "dataset:s z y x v:f", f"""WITH p AS (SELECT dataset, z, y, x, v, max(y) OVER (PARTITION BY dataset) AS my, max(x) OVER (PARTITION BY dataset) AS mx FROM ({DARK}))
 SELECT a.dataset, a.z, a.y, a.x, CASE WHEN NOT e.full_block THEN 0 ELSE least(150, greatest(10, (l.v + r.v) / 2.0::DOUBLE)) END AS v FROM p a
 JOIN p l ON l.dataset = a.dataset AND l.z = a.z AND l.y = a.y AND l.x = CASE WHEN a.x = 0 THEN 1 ELSE a.x - 1 END
 JOIN p r ON r.dataset = a.dataset AND r.z = a.z AND r.y = a.y AND r.x = CASE WHEN a.x = a.mx THEN a.mx - 1 ELSE a.x + 1 END
-JOIN (SELECT dataset, z, y // 8 AS gy, x // 10 AS gx, max(v) >= 0 AS full_block FROM @em GROUP BY dataset, z, y // 8, x // 10) e
+JOIN (SELECT dataset, z, gy, gx, max(v) > 0 AS full_block FROM ({DARK}), (VALUES (0), (1), (2)) AS b(gy), (VALUES (0), (1), (2)) AS c(gx)
+ WHERE y BETWEEN gy * 8 - 2 AND gy * 8 + 9 AND x BETWEEN gx * 10 - 2 AND gx * 10 + 11 GROUP BY dataset, z, gy, gx) e
 ON e.dataset = a.dataset AND e.z = a.z AND e.gy = a.y // 8 AND e.gx = a.x // 10""")
 def _(f):
     def neighbours(s):
@@ -261,7 +300,7 @@ def _(f):
         p = np.pad(s, 1, mode="edge")
         return (p[1:-1, :-2] + p[1:-1, 2:]) / 2
 
-    return blocks.map_slices(f.em, neighbours, BLOCK, 2, pixel.extents(f.em), 10, 150)
+    return blocks.map_slices(f.sql(DARK), neighbours, BLOCK, 2, pixel.extents(f.em), 10, 150)
 
 
 @query("x2_map_blocks", "dataset:s z y x v:f", """SELECT a.dataset, a.z, a.y, a.x, a.v - (coalesce(b.v, c.v) + coalesce(c.v, b.v)) / 2.0::DOUBLE AS v FROM @em a

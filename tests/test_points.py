@@ -55,16 +55,38 @@ def test_match_features_brute_force(spark):
 
 def test_merge_matches_like_a_sequence(spark):
     rng = np.random.default_rng(3)
-    rows = [(int(a), int(b), int(k)) for a, b, k in zip(rng.integers(0, 40, 300), rng.integers(0, 40, 300), rng.integers(0, 9, 300))]
-    got = {(r.a, r.b) for r in joins.merge_matches(spark.createDataFrame(rows, "a long, b long, block long")).collect()}
-    used_a, used_b, want = set(), set(), set()
-    first = {}
-    for a, b, k in rows:
-        first[a, b] = min(k, first.get((a, b), 99))
-    for k, a, b in sorted((k, a, b) for (a, b), k in first.items()):
-        if a not in used_a and b not in used_b:
-            used_a.add(a), used_b.add(b), want.add((a, b))
+    rows = [(int(p), int(a), int(b), int(k)) for p, a, b, k in zip(rng.integers(0, 2, 400), rng.integers(0, 60, 400), rng.integers(0, 60, 400), rng.integers(0, 9, 400))]
+    rows += [(0, 100, 10, 0), (0, 100, 11, 0), (0, 101, 90, 0), (0, 101, 90, 1)]
+    df = spark.createDataFrame(rows, "pair long, a long, b long, block long")
+    merged = joins.merge_matches(df, ["pair"])
+    got = {tuple(r) for r in merged.select("pair", "a", "b", "block").collect()}
+    want, count = set(), {p: [0, 0, 0] for p in (0, 1)}
+    for block in range(9):
+        now = {r for r in rows if r[3] == block}
+        ends_a, ends_b, pairs = {(p, a) for p, a, _, _ in want}, {(p, b) for p, _, b, _ in want}, {r[:3] for r in want}
+        new = {r for r in now if (r[0], r[1]) not in ends_a and (r[0], r[2]) not in ends_b}
+        for r in now:
+            count[r[0]][0 if r in new else 1 if r[:3] in pairs else 2] += 1
+        want |= new
     assert got == want
+    counts = {r["pair"]: [r["added"], r["same"], r["different"]] for r in joins.merge_counts(df, merged, ["pair"]).collect()}
+    assert counts == count
+
+
+def test_seeds_come_from_all_matches(spark):
+    """A model that few of very many matches follow, and more sets than a fixed number of rounds would find."""
+    n = 6000
+    rows = pd.DataFrame({"g": 0, "mid": range(n), "w": 1.0, "px": np.arange(n) * 7.0, "py": 0.0})
+    rng = np.random.default_rng(8)
+    rows["qx"], rows["qy"] = rows.px + rng.permutation(n) * 100.0, rng.permutation(n) * 100.0 + 50
+    chosen = rng.choice(n, size=9, replace=False)
+    rows.loc[chosen, "qx"] = rows.px[chosen] - 1e7
+    rows.loc[chosen, "qy"] = rows.py[chosen] - 1e7
+    got = matching.ransac(spark.createDataFrame(rows), ["g"], "translation", iterations=n, epsilon=1.0, min_inliers=7)
+    assert {r["mid"] for r in got.collect()} == set(chosen.tolist())
+    rows = pd.DataFrame([{"g": 0, "mid": 10 * s + i, "w": 1.0, "px": float(i), "py": 0.0, "qx": i + 1000.0 * s, "qy": 0.0} for s in range(18) for i in range(8)])
+    sets = matching.multi_consensus(spark.createDataFrame(rows), ["g"], kind="translation", iterations=400, epsilon=1.0, min_inliers=7)
+    assert sets.select("consensus").distinct().count() == 18 and sets.count() == len(rows)
 
 
 def test_consensus_recovers_planted_models(spark):

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxelframe.operators.grid import with_block, with_halo
-from voxelframe.schema import BLOCKS, KEY, PIXEL_TYPES, POS, VOLUME
+from voxelframe.schema import BLOCKS, KEY, PIXEL_TYPES, POS, volume_type
 from voxelframe.session import measured, small
 
 PIECE_ROWS = 1 << 18
@@ -24,6 +24,11 @@ def numpy_type(dtype: str, byteorder: str = "little") -> str:
     return ("<" if byteorder == "little" else ">") + PIXEL_TYPES[dtype][0]
 
 
+def value_type(dtype: str) -> str:
+    """numpy type of the value column of voxel rows."""
+    return "float64" if PIXEL_TYPES[dtype][1] is None else "int64"
+
+
 def to_blocks(vox: DataFrame, block: dict[str, int], sizes: DataFrame, dtype: str = "u8",
               background: float = 0) -> DataFrame:
     """Pack voxels into blocks. Blocks without a voxel have no row; missing
@@ -47,6 +52,7 @@ def to_blocks(vox: DataFrame, block: dict[str, int], sizes: DataFrame, dtype: st
 def to_voxels(blocks: DataFrame, block: dict[str, int], dtype: str = "u8", skip_background: bool = False) -> DataFrame:
     """Unpack blocks into voxel rows, one slab of a block at a time."""
     kind, bz, by, bx = numpy_type(dtype), block["z"], block["y"], block["x"]
+    whole = value_type(dtype)
 
     def unpack(frames):
         for frame in frames:
@@ -57,9 +63,9 @@ def to_voxels(blocks: DataFrame, block: dict[str, int], dtype: str = "u8", skip_
                     part = cube[start:start + step]
                     z, y, x = np.nonzero(part) if skip_background else [i.ravel() for i in np.indices(part.shape)]
                     yield pd.DataFrame({"dataset": r.dataset, "z": z + start + r.gz * bz, "y": y + r.gy * by,
-                                        "x": x + r.gx * bx, "v": part[z, y, x].astype("int64")})
+                                        "x": x + r.gx * bx, "v": part[z, y, x].astype(whole)})
 
-    return blocks.mapInPandas(unpack, VOLUME)
+    return blocks.mapInPandas(unpack, volume_type(dtype))
 
 
 def reblock(blocks: DataFrame, block: dict[str, int], target: dict[str, int], sizes: DataFrame, dtype: str = "u8",
@@ -116,8 +122,8 @@ def map_blocks(vox: DataFrame, fn: Callable[[np.ndarray], np.ndarray], block: di
     """Apply a function on arrays to every block with a border of ``halo`` voxels.
 
     The border comes from the neighbouring blocks; beyond the volume it is
-    filled by the numpy pad ``mode``. ``skip_empty`` leaves blocks whose voxels
-    are all zero as they are."""
+    filled by the numpy pad ``mode``. With ``skip_empty`` a block that is zero
+    with its border stays zero."""
     axes = ("z", "y", "x")
     halos = [halo.get(a, 0) for a in axes]
     sides = [block[a] for a in axes]
@@ -134,7 +140,7 @@ def map_blocks(vox: DataFrame, fn: Callable[[np.ndarray], np.ndarray], block: di
         cube[tuple(rows[a].to_numpy() - l for a, l in zip(axes, low))] = rows.v
         missing = [(h - (il - l), h - (u - iu)) for h, il, l, u, iu in zip(halos, inner_low, low, high, inner_high)]
         inner = tuple(slice(il - l, iu - l) for il, l, iu in zip(inner_low, low, inner_high))
-        if skip_empty and not cube[inner].any():
+        if skip_empty and not cube.any():
             out = cube[inner]
         else:
             full = np.pad(cube, missing, mode=mode)
@@ -151,15 +157,14 @@ def map_blocks(vox: DataFrame, fn: Callable[[np.ndarray], np.ndarray], block: di
 def map_slices(vox: DataFrame, fn: Callable[[np.ndarray], np.ndarray], block: dict[str, int], padding: int,
                sizes: DataFrame, low: float | None = None, high: float | None = None, mode: str = "reflect") -> DataFrame:
     """Apply a 2-D filter to every z slice, block by block, with padding, an
-    optional value range and a short cut for empty blocks."""
+    optional value range. A block that is black with its padding stays black,
+    whatever the range."""
     def per_slice(cube):
-        return np.stack([fn(s) for s in cube])
+        out = np.stack([fn(s) for s in cube])
+        return out if low is None else np.clip(out, low, high)
 
-    out = map_blocks(vox, per_slice, {"z": 1, **{a: block[a] for a in ("y", "x")}}, {"y": padding, "x": padding},
-                     sizes, mode, skip_empty=True)
-    if low is not None:
-        out = out.withColumn("v", F.greatest(F.lit(float(low)), F.least(F.lit(float(high)), F.col("v"))))
-    return out
+    return map_blocks(vox, per_slice, {"z": 1, **{a: block[a] for a in ("y", "x")}}, {"y": padding, "x": padding},
+                      sizes, mode, skip_empty=True)
 
 
 def nonempty_blocks(vox: DataFrame, block: dict[str, int], background: float = 0) -> DataFrame:

@@ -16,8 +16,8 @@ def _united(volumes: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [v.select(*POS, "v") for v in volumes])
 
 
-def additive(volumes: list[DataFrame], overflow: str = "saturate", dtype: str = "u8") -> DataFrame:
-    """Sum of overlapping volumes; u8 overflow saturates or wraps."""
+def additive(volumes: list[DataFrame], overflow: str = "wrap", dtype: str = "u8") -> DataFrame:
+    """Sum of overlapping volumes; u8 overflow wraps or saturates."""
     total = F.sum("v")
     limits = {"saturate": clamp(total, dtype), "wrap": total % 256}
     return _united(volumes).groupBy(*POS).agg(limits[overflow].alias("v"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from voxelframe.functions.scalar import half_up
 from voxelframe.schema import KEY
-from voxelframe.session import small
+from voxelframe.session import checkpoint, small
 
 
 def slice_pairs(slices: DataFrame, keys: list[str], distance: int, inclusive: bool = False, index: str = "z") -> DataFrame:
@@ -115,13 +115,13 @@ def sites(points: DataFrame, keys: list[str], axes: list[str], pid: str) -> Data
 
 def near_pairs(a: DataFrame, b: DataFrame, keys: list[str], axes: list[str], radius: float) -> DataFrame:
     """All (a, b) rows of one key with distance <= radius and the squared distance d2.
-    ``a`` is copied to the neighbouring cells, ``b`` keeps its own cell."""
-    cell = F.lit(float(radius))
+    Cells are two radii wide, so ``a`` is copied to two per axis (three if it lies
+    in the middle of one, up to rounding); ``b`` keeps its own cell."""
+    cell, reach = F.lit(2.0 * radius), F.lit(float(radius) * (1 + 1e-9))
     left, right = a, b
     for c in axes:
-        home = F.floor(F.col(c) / cell)
-        left = left.withColumn(f"_c{c}", F.explode(F.array(home - 1, home, home + 1)))
-        right = right.withColumn(f"_c{c}", home)
+        left = left.withColumn(f"_c{c}", F.explode(F.sequence(F.floor((F.col(c) - reach) / cell), F.floor((F.col(c) + reach) / cell))))
+        right = right.withColumn(f"_c{c}", F.floor(F.col(c) / cell))
     l, r = left.alias("l"), right.alias("r")
     same = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in [*keys, *[f"_c{c}" for c in axes]]]
     d2 = sum(((F.col(f"l.{c}") - F.col(f"r.{c}")) * (F.col(f"l.{c}") - F.col(f"r.{c}")) for c in axes), F.lit(0.0))
@@ -160,34 +160,40 @@ def with_flipped(matches: DataFrame) -> DataFrame:
     return matches.unionByName(flip(matches).join(known, ["a", "b"], "left_anti"))
 
 
-def merge_matches(matches: DataFrame, order: str = "block") -> DataFrame:
-    """Merge match sets of overlapping blocks in block order: a match enters when
-    neither end was used by an earlier block. Copies of one pair are counted first.
+def merge_matches(matches: DataFrame, keys: list[str], order: str = "block") -> DataFrame:
+    """Merge the match sets of overlapping blocks of every pair of point sets, in
+    block order: a match enters unless one of its ends is in a match of an
+    earlier block. Matches of one block do not exclude each other.
 
-    A match is decided by the earliest decided matches at its two ends, so the
-    set is settled in rounds: in every round the matches that are first at both
-    ends enter, and everything else at these ends leaves."""
-    from voxelframe.session import checkpoint
-
-    todo = checkpoint(matches.groupBy("a", "b").agg(F.min(order).alias(order)))
-    taken = None
+    Which match enters depends on the earliest matches at its two ends only, so
+    the set is settled in rounds: matches of the first block at both ends enter,
+    and those of later blocks at these ends leave."""
+    row = [*keys, "a", "b", order]
+    todo, taken = checkpoint(matches.select(*row).distinct()), None
     while True:
-        def first(end):
-            return todo.groupBy(end).agg(F.min(F.struct(order, "a", "b")).alias(f"first_{end}"))
+        def first(rows: DataFrame, end: str) -> DataFrame:
+            return rows.groupBy(*keys, end).agg(F.min(order).alias(f"first_{end}"))
 
-        me = F.struct(order, "a", "b")
-        winners = todo.join(first("a"), "a").join(first("b"), "b").where((me == F.col("first_a")) & (me == F.col("first_b")))
-        winners = checkpoint(winners.select("a", "b", order))
+        marked = todo.join(first(todo, "a"), [*keys, "a"]).join(first(todo, "b"), [*keys, "b"])
+        winners = checkpoint(marked.where((F.col(order) == F.col("first_a")) & (F.col(order) == F.col("first_b"))).select(*row))
         taken = winners if taken is None else taken.unionByName(winners)
-        todo = checkpoint(todo.join(winners.select("a"), "a", "left_anti").join(winners.select("b"), "b", "left_anti"))
+        rest = todo.join(winners, row, "left_anti")
+        for end in ("a", "b"):
+            rest = rest.join(first(winners, end), [*keys, end], "left").where(F.col(f"first_{end}").isNull() | (F.col(order) <= F.col(f"first_{end}")))
+        todo = checkpoint(rest.select(*row))
         if todo.isEmpty():
             return taken
 
 
-def merge_counts(matches: DataFrame, merged: DataFrame) -> DataFrame:
-    """Same pairs seen again and pairs refused because an end was used."""
-    return (matches.join(merged.select("a", "b", F.lit(1).alias("kept")), ["a", "b"], "left")
-            .agg(F.count(F.lit(1)).alias("n"), F.count("kept").alias("seen"), F.count_if(F.col("kept").isNull()).alias("different")))
+def merge_counts(matches: DataFrame, merged: DataFrame, keys: list[str], order: str = "block") -> DataFrame:
+    """Per pair the matches of all blocks, those added, those that an earlier block
+    had added already (same) and those refused for an end in another match."""
+    found = matches.select(*keys, "a", "b", order).distinct()
+    kept = merged.groupBy(*keys, "a", "b").agg(F.min(order).alias("kept"))
+    state = found.join(kept, [*keys, "a", "b"], "left")
+    return state.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("kept") == F.col(order)).alias("added"),
+        F.count_if(F.col("kept") < F.col(order)).alias("same"), F.count_if(F.col("kept").isNull()).alias("different"))
 
 
 def nearest_layer(index: DataFrame, transforms: DataFrame, column: str = "z") -> DataFrame:

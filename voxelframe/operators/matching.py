@@ -1,8 +1,8 @@
 """Model fitting and match filtering on match rows (px, py, qx, qy[, pz, qz], w).
 
 Fits come from sums, so they combine on the map side. Consensus search keeps
-matches distributed: a bounded random pool per pair yields the hypotheses, all
-matches vote in bounded chunks.
+matches distributed: seeds drawn from all matches of a pair yield the hypotheses,
+all matches vote in bounded chunks.
 """
 
 from __future__ import annotations
@@ -162,15 +162,18 @@ def _solve_seed(p: np.ndarray, q: np.ndarray, kind: str) -> np.ndarray:
     return np.stack([c, -s, tx, s, c, ty], axis=1)
 
 
-def ransac(matches: DataFrame, keys: list[str], kind: str = "affine", iterations: int = 1000, epsilon: float = 10.0,
+def ransac(matches: DataFrame, keys: list[str], kind: str = "affine", iterations: int = 10000, epsilon: float = 10.0,
            min_ratio: float = 0.0, min_inliers: int = 7, seed: int = 1, identity: str = "mid", refine: int = 2, dim: int = 2) -> DataFrame:
     """Inliers of the model with the largest consensus of every group.
 
-    All matches vote. Returns the match rows of groups that reach the minimum
-    consensus."""
+    The seeds of ``iterations`` hypotheses are drawn from all matches of a group:
+    without repetition where there are enough, so the rows that leave a group are
+    as many as the hypotheses can use. All matches vote. Returns the match rows of
+    groups that reach the minimum consensus."""
+    matches = checkpoint(matches)
     k, size = _seeds(kind, dim), dim * (dim + 1)
     point = F.array(*[F.col(f"{s}{a}").cast("double") for s in "pq" for a in _axes(dim)])
-    pool = top_per_group(matches, keys, [F.xxhash64(identity, F.lit(seed)), F.col(identity)], CHUNK, [identity])
+    pool = top_per_group(matches, keys, [F.xxhash64(identity, F.lit(seed)), F.col(identity)], max(CHUNK, iterations * k), [identity])
     pool = pool.groupBy(*keys).agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("rank", point.alias("p")))),
                                                          lambda s: s["p"])).alias("pool"))
 
@@ -180,7 +183,10 @@ def ransac(matches: DataFrame, keys: list[str], kind: str = "affine", iterations
         for flat in pools:
             rows = np.asarray(flat, dtype=float).reshape(-1, 2 * dim)
             rng = np.random.default_rng(seed)
-            picks = rng.integers(0, len(rows), size=(iterations, k))
+            if len(rows) > CHUNK and len(rows) >= iterations * k:
+                picks = rng.permutation(len(rows))[:iterations * k].reshape(iterations, k)
+            else:
+                picks = rng.integers(0, len(rows), size=(iterations, k))
             out.append(_solve_seed(rows[picks, :dim], rows[picks, dim:], kind).ravel())
         return pd.Series(out)
 
@@ -190,9 +196,13 @@ def ransac(matches: DataFrame, keys: list[str], kind: str = "affine", iterations
         for flat, model in zip(chunks, models):
             rows = np.asarray(flat, dtype=float).reshape(-1, 2 * dim)
             m = np.asarray(model, dtype=float).reshape(-1, dim, dim + 1)
-            gap = sum((m[:, r, :dim] @ rows[:, :dim].T + m[:, r, dim:] - rows[:, dim + r]) ** 2 for r in range(dim))
-            with np.errstate(invalid="ignore"):
-                out.append((gap < epsilon * epsilon).sum(axis=1))
+            part = []
+            for at in range(0, len(m), 512):
+                h = m[at:at + 512]
+                gap = sum((h[:, r, :dim] @ rows[:, :dim].T + h[:, r, dim:] - rows[:, dim + r]) ** 2 for r in range(dim))
+                with np.errstate(invalid="ignore"):
+                    part.append((gap < epsilon * epsilon).sum(axis=1))
+            out.append(np.concatenate(part))
         return pd.Series(out)
 
     models = pool.select(*keys, hypotheses("pool").alias("models"))
@@ -215,21 +225,20 @@ def ransac(matches: DataFrame, keys: list[str], kind: str = "affine", iterations
     return inside.join(kept.select(*keys), keys, "left_semi")
 
 
-def multi_consensus(matches: DataFrame, keys: list[str], max_sets: int = 16, identity: str = "mid", **options) -> DataFrame:
+def multi_consensus(matches: DataFrame, keys: list[str], identity: str = "mid", **options) -> DataFrame:
     """Repeat the consensus search on what is left until no group yields a set;
     all groups advance together. Adds the set number."""
-    rest, found = matches, None
-    for number in range(max_sets):
+    rest, found, number = matches, None, 0
+    while True:
         inside = checkpoint(ransac(rest, keys, identity=identity, **options).withColumn("consensus", F.lit(number)))
         if inside.isEmpty():
             break
         found = inside if found is None else found.unionByName(inside)
-        if number == max_sets - 1:
-            break
         rest = checkpoint(rest.join(inside.select(*keys, identity), [*keys, identity], "left_anti")
                           .join(inside.select(*keys).distinct(), keys, "left_semi"))
         if rest.isEmpty():
             break
+        number += 1
     return matches.withColumn("consensus", F.lit(0)).where(F.lit(False)) if found is None else found
 
 

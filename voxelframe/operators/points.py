@@ -118,10 +118,10 @@ def nearest_k(points: DataFrame, keys: list[str], axes: list[str], k: int, radiu
     neighbour = F.struct("d2", *[F.col(f"r.{c}").alias(c) for c in [pid, *axes]])
     while True:
         near = near_pairs(todo, listed, keys, axes, radius)
-        salted = near.select(*[F.col(f"l.{c}").alias(c) for c in pos], neighbour.alias("o"),
-                             F.pmod(F.xxhash64(F.col(f"r.{pid}")), F.lit(16)).alias("_s"))
-        part = salted.groupBy(*pos, "_s").agg(F.slice(F.sort_array(F.collect_list("o")), 1, k + 1).alias("o"))
-        got = part.groupBy(*pos).agg(F.slice(F.sort_array(F.flatten(F.collect_list("o"))), 1, k + 1).alias("near"))
+        rows = near.select(*[F.col(f"l.{c}").alias(c) for c in pos], F.col(f"r.{pid}").alias("_id"), neighbour.alias("o"))
+        # the rank limit is applied before the rows are collected, and in every task before they move
+        first = top_per_group(rows, pos, [F.col("o")], k + 1, ["_id"])
+        got = first.groupBy(*pos).agg(F.sort_array(F.collect_list("o")).alias("near"))
         state = checkpoint(todo.join(got, pos, "left").join(totals, keys))
         enough = F.size("near") >= F.least(F.lit(k + 1), F.col("_n"))
         ready = state.where(enough).drop("_n")

@@ -336,7 +336,7 @@ def drag(targets: DataFrame, edits: DataFrame, min_sigma: float, gain: float, ke
         return F.struct((p["x"] + w * (e["sx"] - e["ex"])).alias("x"), (p["y"] + w * (e["sy"] - e["ey"])).alias("y"))
 
     start = F.struct(F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
-    moved = targets.join(lists, keys, "left").withColumn("_p", F.coalesce(F.aggregate("_edits", start, step), start))
+    moved = targets.join(small(lists), keys, "left").withColumn("_p", F.coalesce(F.aggregate("_edits", start, step), start))
     return moved.withColumns({"tx": F.col("_p.x"), "ty": F.col("_p.y")}).drop("_p", "_edits")
 
 

@@ -49,6 +49,13 @@ PIXEL_TYPES = {
 }
 
 
+def volume_type(dtype: str) -> T.StructType:
+    """Voxel rows of a pixel type: real types keep their fractions."""
+    if PIXEL_TYPES[dtype][1] is not None:
+        return VOLUME
+    return T.StructType([*VOLUME.fields[:-1], T.StructField("v", T.DoubleType(), False)])
+
+
 def require(df: DataFrame, *columns: str) -> DataFrame:
     """Fail at the API edge when a column is missing."""
     missing = [c for c in columns if c not in df.columns]

@@ -7,8 +7,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxelframe.operators.blocks import PIECE_ROWS, numpy_type, reblock
-from voxelframe.schema import KEY, POS, VOLUME
+from voxelframe.operators.blocks import PIECE_ROWS, numpy_type, reblock, value_type
+from voxelframe.schema import KEY, POS, volume_type
 from voxelframe.session import small
 
 STRUCTURAL = ["dimensions", "blockSize", "dataType", "compression"]
@@ -31,7 +31,7 @@ def decode_slices(slices: DataFrame, dtype: str = "u8", byteorder: str = "little
     """Decode slice rows to voxels, with an optional window. Slice number
     ``first_slice`` becomes z = 0. Rows leave the task in bounded strips."""
     low, size = low or {}, size or {}
-    kind = numpy_type(dtype, byteorder)
+    kind, whole = numpy_type(dtype, byteorder), value_type(dtype)
     y0, x0 = low.get("y", 0), low.get("x", 0)
     out_z = slices.withColumn("z", F.col("z") - first_slice - low.get("z", 0)).where("z >= 0")
     if "z" in size:
@@ -41,15 +41,19 @@ def decode_slices(slices: DataFrame, dtype: str = "u8", byteorder: str = "little
         for frame in frames:
             for r in frame.itertuples(index=False):
                 image = np.frombuffer(r.data, dtype=kind).reshape(r.h, r.w)
-                part = image[y0:y0 + size.get("y", r.h), x0:x0 + size.get("x", r.w)]
+                part = image[:, x0:x0 + size.get("x", r.w)]
                 step = max(1, PIECE_ROWS // max(1, part.shape[1]))
                 for start in range(0, part.shape[0], step):
                     strip = part[start:start + step]
                     y, x = [i.ravel() for i in np.indices(strip.shape)]
                     yield pd.DataFrame({"dataset": r.dataset, "z": r.z, "y": y + start, "x": x,
-                                        "v": strip.ravel().astype("int64")})
+                                        "v": strip.ravel().astype(whole)})
 
-    return out_z.select("dataset", "z", "w", "h", "data").mapInPandas(decode, VOLUME)
+    # only the wanted rows of an image reach Python
+    row = F.col("w") * np.dtype(kind).itemsize
+    rows = F.greatest(F.lit(0), F.least(F.col("h") - y0, F.lit(size["y"]) if "y" in size else F.col("h")))
+    window = F.substring("data", (row * y0 + 1).cast("int"), (row * rows).cast("int"))
+    return out_z.select("dataset", "z", "w", rows.alias("h"), window.alias("data")).mapInPandas(decode, volume_type(dtype))
 
 
 def export_slices(vox: DataFrame, sizes: DataFrame, strip: int = 4096, dtype: str = "u8",
@@ -96,37 +100,77 @@ def octree_coordinates(paths: DataFrame, path: str = "path") -> DataFrame:
 
 # ---- volume tables ---------------------------------------------------------------
 
-def write_volume(df: DataFrame, path: str, background: float | None = 0, block_z: int = 64, mode: str = "error") -> None:
+def write_volume(df: DataFrame, path: str, background: float | None = None, block_z: int = 64, mode: str = "error") -> None:
     """Write voxels as Parquet, partitioned by volume and z slab and sorted by
-    position, leaving out background. Existing output is refused unless ``mode``
-    is "overwrite". The rebalance splits slabs that are much larger than others."""
+    position. Existing output is refused unless ``mode`` is "overwrite". The
+    rebalance splits slabs that are much larger than others.
+
+    A slab is named by its first and last z, so readers need not know
+    ``block_z``. Voxels of a given ``background`` are left out; who reads such
+    a volume for an operator on neighbours passes its sizes to ``read_volume``."""
     kept = df if background is None else df.where(F.col("v") != background)
-    keyed = kept.withColumn("gz", F.expr(f"z div {block_z}"))
-    laid = keyed.hint("rebalance", "dataset", "gz").sortWithinPartitions("dataset", "gz", "z", "y", "x")
-    laid.write.mode(mode).partitionBy("dataset", "gz").parquet(path)
+    laid = _slabs(kept, block_z).hint("rebalance", "dataset", "z0").sortWithinPartitions("dataset", "z0", "z", "y", "x")
+    laid.write.mode(mode).partitionBy("dataset", "z0", "z1").parquet(path)
+
+
+def _slabs(df: DataFrame, block_z: int) -> DataFrame:
+    first = F.expr(f"(z div {block_z}) * {block_z}")
+    return df.withColumn("z0", first).withColumn("z1", first + block_z - 1)
+
 
+def resume_volume(df: DataFrame, path: str, background: float | None = None, block_z: int = 64) -> None:
+    """Write the slabs that a broken run left out. A slab is there as a whole or
+    not at all, as files appear when their job commits."""
+    spark = df.sparkSession
+    there = spark.read.schema("dataset string, z0 long, z1 long").parquet(path).select("dataset", "z0").distinct()
+    rest = _slabs(df, block_z).join(there, ["dataset", "z0"], "left_anti").drop("z0", "z1")
+    write_volume(rest, path, background, block_z, "append")
 
-def read_volume(spark: SparkSession, path: str, roi: dict[str, tuple[int, int]] | None = None, block_z: int = 64,
-                datasets: list[str] | None = None, value: str = "long") -> DataFrame:
+
+def read_volume(spark: SparkSession, path: str, roi: dict[str, tuple[int, int]] | None = None, datasets: list[str] | None = None,
+                value: str = "long", sizes: DataFrame | None = None, background: float = 0) -> DataFrame:
     """Read volumes; names and a region [low, high) prune partitions, and the
-    region is pushed to the file scan through the plain coordinate columns."""
-    schema = f"z long, y long, x long, v {value}, dataset string, gz long"
+    region is pushed to the file scan through the plain coordinate columns.
+    With ``sizes`` (dataset, nz, ny, nx) voxels that are not stored are added as
+    ``background``."""
+    schema = f"z long, y long, x long, v {value}, dataset string, z0 long, z1 long"
     out = spark.read.schema(schema).parquet(path)
     if datasets:
         out = out.where(F.col("dataset").isin(datasets))
     for a, (low, high) in (roi or {}).items():
         if a == "z":
-            out = out.where((F.col("gz") >= low // block_z) & (F.col("gz") <= (high - 1) // block_z))
+            out = out.where((F.col("z0") < high) & (F.col("z1") >= low))
         out = out.where((F.col(a) >= low) & (F.col(a) < high))
-    return out.select(*POS, "v")
+    out = out.select(*POS, "v")
+    if sizes is None:
+        return out
+    if datasets:
+        sizes = sizes.where(F.col("dataset").isin(datasets))
+    return densify(out, sizes, background, roi)
+
+
+def densify(vox: DataFrame, sizes: DataFrame, background: float = 0, roi: dict[str, tuple[int, int]] | None = None) -> DataFrame:
+    """All voxels of the volumes in ``sizes`` (or of a region), those without a
+    row as background: the input of operators that look at neighbours."""
+    grid = sizes.select(*KEY, "nz", "ny", "nx")
+    for a in ("z", "y", "x"):
+        low, high = (roi or {}).get(a, (0, None))
+        end = F.col(f"n{a}") if high is None else F.least(F.col(f"n{a}"), F.lit(high))
+        grid = grid.withColumn(a, F.explode(F.when(end > low, F.sequence(F.lit(low).cast("long"), end.cast("long") - 1))))
+        if a == "z":  # one row per volume and layer so far
+            grid = grid.repartition("dataset", "z")
+    return grid.select(*POS).join(vox, POS, "left").select(*POS, F.coalesce("v", F.lit(background).cast(vox.schema["v"].dataType)).alias("v"))
 
 
 def check_consistent(existing: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Fail when a data set to be resumed has other dims, block or pixel type."""
-    joined = existing.alias("e").join(wanted.alias("w"), "dataset")
+    """Fail when a data set to be resumed is not there, or has other dims, block,
+    pixel type or compression (an attribute)."""
+    joined = wanted.alias("w").join(existing.alias("e"), "dataset", "left")
     same = F.lit(True)
     for c in ("dims", "block", "dtype"):
-        same = same & (F.col(f"e.{c}") == F.col(f"w.{c}"))
+        same = same & F.col(f"e.{c}").eqNullSafe(F.col(f"w.{c}"))
+    packing = [F.element_at(F.col(f"{side}.attrs"), "compression") for side in ("e", "w")]
+    same = same & packing[0].eqNullSafe(packing[1])
     checked = F.when(same, F.col("dataset")).otherwise(
         F.raise_error(F.concat(F.lit("data set differs from its existing output: "), F.col("dataset"))))
     return joined.select(checked.alias("dataset"))
@@ -165,20 +209,28 @@ def resolve_datasets(names: DataFrame, in_pattern: str, out_pattern: str, scales
 
 
 def read_jobs(spark: SparkSession, path: str, form: str = "csv") -> DataFrame:
-    """Job list of (source, field, target) rows from CSV without header or JSON
-    lines; a row with a missing value fails."""
+    """Job list of (source, field, target) rows from CSV without header, from
+    JSON lines, or (``form`` "array") from a JSON array of from/to records with
+    an optional field; any other missing value fails."""
     schema = "source string, field string, target string"
-    rows = spark.read.schema(schema).csv(path, mode="FAILFAST") if form == "csv" else spark.read.schema(schema).json(path)
+    if form == "csv":
+        rows = spark.read.schema(schema).csv(path, mode="FAILFAST")
+    elif form == "array":
+        found = spark.read.schema("`from` string, `to` string, field string").json(path, multiLine=True, mode="FAILFAST")
+        rows = found.select(F.col("from").alias("source"), F.coalesce("field", F.lit("")).alias("field"), F.col("to").alias("target"))
+    else:
+        rows = spark.read.schema(schema).json(path)
     complete = F.col("source").isNotNull() & F.col("field").isNotNull() & F.col("target").isNotNull()
     checked = F.when(complete, F.trim("source")).otherwise(F.raise_error(F.lit("a job needs three values")))
     return rows.select(checked.alias("source"), F.trim("field").alias("field"), F.trim("target").alias("target"))
 
 
-def read_positions(spark: SparkSession, path: str) -> DataFrame:
-    """Tile position records; the position id is parsed from the file name."""
+def read_positions(spark: SparkSession, path: str, array: bool = False) -> DataFrame:
+    """Tile position records, one per line or (``array``) as one JSON array; the
+    position id is parsed from the file name."""
     schema = ("type string, file string, position array<long>, size array<long>, "
               "pixelResolution array<double>, index long")
-    rows = spark.read.schema(schema).json(path)
+    rows = spark.read.schema(schema).json(path, multiLine=array)
     return rows.withColumn("position_id", F.regexp_extract(F.lower("file"), r"pos(0\d+)", 1))
 
 
