@@ -102,7 +102,7 @@ def _(f):
 
 ROUND = """t{n} AS (SELECT tile, CASE WHEN tile = 0 THEN x ELSE x * 0.5::DOUBLE + 0.5::DOUBLE * gx END AS x, CASE WHEN tile = 0 THEN y ELSE y * 0.5::DOUBLE + 0.5::DOUBLE * gy END AS y FROM
 (SELECT c.tile, c.x, c.y, sum(e.sx + e.n * o.x) / sum(e.n) AS gx, sum(e.sy + e.n * o.y) / sum(e.n) AS gy FROM t{p} c JOIN e ON e.a = c.tile JOIN t{p} o ON o.tile = e.b GROUP BY c.tile, c.x, c.y))"""
-RELAX = """WITH e0 AS (SELECT a, b, count(*) AS n, sum(qx - px) AS sx, sum(qy - py) AS sy FROM @matches WHERE planted = 1 GROUP BY a, b),
+RELAX = """WITH e0 AS (SELECT a, b, count(*) AS n, sum(qx - px) AS sx, sum(qy - py) AS sy FROM @matches GROUP BY a, b),
 e AS (SELECT * FROM e0 UNION ALL SELECT b, a, n, -sx, -sy FROM e0), t0 AS (SELECT DISTINCT a AS tile, 0.0::DOUBLE AS x, 0.0::DOUBLE AS y FROM e), """ + ", ".join(ROUND.format(n=i + 1, p=i) for i in range(3))
 
 
@@ -111,7 +111,7 @@ def fixed_tile(f):
 
 
 def keyed(f):
-    return f.matches.where("planted = 1").withColumn("g", F.lit(0).cast("long"))
+    return f.matches.withColumn("g", F.lit(0).cast("long"))
 
 
 @query("i1_relax_translation", "tile x:f y:f", RELAX + " SELECT * FROM t3")
@@ -120,15 +120,33 @@ def _(f):
     return out.select("tile", F.col("m")[2].alias("x"), F.col("m")[5].alias("y"))
 
 
+# the y of the plane again as z, so that the third axis has the same answer
+DEEP = "SELECT CAST(0 AS BIGINT) AS g, a, b, mid, px, py, py AS pz, qx, qy, qy AS qz, w FROM @matches"
+
+
+@query("i1_relax_translation_3d", "tile x:f y:f z:f", RELAX + " SELECT tile, x, y, y AS z FROM t3")
+def _(f):
+    out = solve.relax(f.sql(DEEP), ["g"], "translation", fixed=fixed_tile(f), rounds=3, patience=10, dim=3)
+    return out.select("tile", *[F.col("m")[i].alias(n) for i, n in ((3, "x"), (7, "y"), (11, "z"))])
+
+
+@query("i1_pre_align", "tile x:f y:f z:f", """WITH steps AS (SELECT a, avg(px - qx) AS dx, avg(py - qy) AS dy FROM @matches GROUP BY a)
+SELECT CAST(t AS BIGINT) AS tile, coalesce(sum(dx) FILTER (WHERE a < t), 0) AS x, coalesce(sum(dy) FILTER (WHERE a < t), 0) AS y, coalesce(sum(dy) FILTER (WHERE a < t), 0) AS z
+FROM steps, (SELECT DISTINCT a AS t FROM @matches UNION SELECT DISTINCT b FROM @matches) GROUP BY t""")
+def _(f):
+    out = solve.pre_align(f.sql(DEEP), ["g"], fixed_tile(f), dim=3)
+    return out.select("tile", *[F.col("m")[i].alias(n) for i, n in ((3, "x"), (7, "y"), (11, "z"))])
+
+
 @query("i1_relax_staged_affine", "tile x:f y:f")
 def _(f):
     out = solve.relax_staged(keyed(f), ["g"], "affine", "rigid", [1.0, 0.1], [6, 6], fixed=fixed_tile(f))
     return out.select("tile", F.col("m")[2].alias("x"), F.col("m")[5].alias("y"))
 
 
-@query("i4_local_versus_global", "a b local_error:f global_error:f flagged:b", RELAX + """, l AS (SELECT a, b, avg(qx - px) AS sx, avg(qy - py) AS sy FROM @matches WHERE planted = 1 GROUP BY a, b)
+@query("i4_local_versus_global", "a b local_error:f global_error:f flagged:b", RELAX + """, l AS (SELECT a, b, avg(qx - px) AS sx, avg(qy - py) AS sy FROM @matches GROUP BY a, b)
 SELECT m.a, m.b, avg(sqrt((px + sx - qx) ** 2 + (py + sy - qy) ** 2)) AS local_error, avg(sqrt((px + p.x - qx - q.x) ** 2 + (py + p.y - qy - q.y) ** 2)) AS global_error,
-avg(sqrt((px + p.x - qx - q.x) ** 2 + (py + p.y - qy - q.y) ** 2)) > 6 AS flagged FROM @matches m JOIN l USING (a, b) JOIN t3 p ON p.tile = m.a JOIN t3 q ON q.tile = m.b WHERE planted = 1 GROUP BY m.a, m.b""")
+avg(sqrt((px + p.x - qx - q.x) ** 2 + (py + p.y - qy - q.y) ** 2)) > 6 AS flagged FROM @matches m JOIN l USING (a, b) JOIN t3 p ON p.tile = m.a JOIN t3 q ON q.tile = m.b GROUP BY m.a, m.b""")
 def _(f):
     models = solve.relax(keyed(f), ["g"], "translation", fixed=fixed_tile(f), rounds=3, patience=10)
     return solve.local_versus_global(keyed(f), models, ["g"], "translation")

@@ -178,3 +178,34 @@ def test_block_matching_recovers_a_shift(spark):
                                       icp_distance=2.0, icp_epsilon=0.5, iterations=30, rounds=3).toPandas()
     assert len(found) >= 190 and (found.a == found.b).all()
     assert np.allclose((found.qx - found.px).mean(), 4.0)
+
+
+def test_volume_solve_finds_planted_models(spark):
+    """Tiles in a row and one across, with affine truth near a translation; from pre-alignment to the softest stage."""
+    rng = np.random.default_rng(31)
+    truth = {t: np.hstack([np.eye(3) + (t > 0) * rng.normal(0, 0.004, (3, 3)), rng.uniform(-40, 40, (3, 1)) * (t > 0)]) for t in range(5)}
+    rows = []
+    for a, b in ((0, 1), (1, 2), (2, 3), (1, 4), (0, 4)):
+        for i in range(60):
+            world = rng.uniform(0, 100, 3)
+            p, q = (np.linalg.solve(truth[t][:, :3], world - truth[t][:, 3]) for t in (a, b))
+            rows.append((0, a, b, i, 1.0, *map(float, p), *map(float, q)))
+    df = spark.createDataFrame(rows, "g long, a long, b long, mid long, w double, px double, py double, pz double, qx double, qy double, qz double")
+    fixed = spark.createDataFrame([(0, 0)], "g long, tile long")
+    start = {r.tile: np.array(r.m).reshape(3, 4) for r in solve.pre_align(df, ["g"], fixed, dim=3).collect()}
+    assert set(start) == set(truth) and all(np.abs(start[t][:, 3] - truth[t][:, 3]).max() < 3 for t in truth)
+    models = solve.solve_volume(df, ["g"], fixed, stages=[(1.0, 2, 2), (0.0, 10, 5)], damp=1.0)
+    got = {r.tile: np.array(r.m).reshape(3, 4) for r in models.collect()}
+    points = rng.uniform(0, 100, (50, 3))
+    for t in truth:
+        assert np.abs(points @ got[t][:, :3].T + got[t][:, 3] - points @ truth[t][:, :3].T - truth[t][:, 3]).max() < 1.0
+
+
+def test_worst_matches_go_one_by_one(spark):
+    rng = np.random.default_rng(32)
+    p = rng.uniform(0, 50, (40, 3))
+    q = p + [5, -2, 1]
+    q[:4] += rng.uniform(20, 60, (4, 3))
+    rows = [(0, 0, 1, i, 1.0, *map(float, p[i]), *map(float, q[i])) for i in range(40)]
+    df = spark.createDataFrame(rows, "g long, a long, b long, mid long, w double, px double, py double, pz double, qx double, qy double, qz double")
+    assert {r.mid for r in solve.drop_worst(df, ["g"], 0.5).collect()} == set(range(4, 40))

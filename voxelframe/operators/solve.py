@@ -52,79 +52,114 @@ def connect_isolated(edges: DataFrame, tiles: DataFrame, keys: list[str], shift:
 
 # ---- relaxation ---------------------------------------------------------------------------
 
-def edge_moments(matches: DataFrame, keys: list[str]) -> DataFrame:
+def edge_moments(matches: DataFrame, keys: list[str], dim: int = 2) -> DataFrame:
     """Sums per tile pair that replace the matches for the rest of the solve;
     both directions, tile ``a`` being the one that moves."""
-    forward = matching.moments(matches, [*keys, "a", "b"])
-    names = forward.columns
+    forward = matching.moments(matches, [*keys, "a", "b"], dim)
 
     def turned(name: str) -> Column:
         if name in ("a", "b"):
             return F.col({"a": "b", "b": "a"}[name]).alias(name)
-        if name.startswith("spp_"):
-            return F.col("sqq_" + name[4:]).alias(name)
-        if name.startswith("sqq_"):
-            return F.col("spp_" + name[4:]).alias(name)
         if name.startswith("sqp_"):
-            return F.col("sqp_" + name[5] + name[4]).alias(name)
-        if name in ("spx", "spy", "sqx", "sqy"):
-            return F.col("s" + {"p": "q", "q": "p"}[name[1]] + name[2]).alias(name)
+            return F.col("sqp_" + name[:3:-1]).alias(name)
+        if name[:2] in ("sp", "sq"):  # squares and plain sums of either end
+            return F.col(name.translate(str.maketrans("pq", "qp"))).alias(name)
         return F.col(name)
 
-    return forward.unionByName(forward.select(*[turned(c) for c in names]))
+    return forward.unionByName(forward.select(*[turned(c) for c in forward.columns]))
 
 
-def _targets(edges: DataFrame, keys: list[str]) -> DataFrame:
+def _pairs(dim: int) -> list[str]:
+    ax = "xyz"[:dim]
+    return [u + v for i, u in enumerate(ax) for v in ax[i:]]
+
+
+def _targets(edges: DataFrame, keys: list[str], dim: int = 2) -> DataFrame:
     """Sums of every moving tile against its neighbours' current positions."""
-    m = F.col("mb")
+    m, ax = F.col("mb"), "xyz"[:dim]
     mapped = {}
-    for r, a in enumerate("xy"):
-        lx, ly, t = m[r * 3], m[r * 3 + 1], m[r * 3 + 2]
-        mapped[f"sq{a}"] = lx * F.col("sqx") + ly * F.col("sqy") + t * F.col("sw")
-        for c in "xy":
-            mapped[f"sqp_{a}{c}"] = lx * F.col(f"sqp_x{c}") + ly * F.col(f"sqp_y{c}") + t * F.col(f"sp{c}")
-    kept = ["n", "sw", "spx", "spy", "spp_xx", "spp_xy", "spp_yy"]
+    for r, a in enumerate(ax):
+        row, t = [m[r * (dim + 1) + c] for c in range(dim)], m[r * (dim + 1) + dim]
+        mapped[f"sq{a}"] = sum((k * F.col(f"sq{u}") for k, u in zip(row, ax)), t * F.col("sw"))
+        for c in ax:
+            mapped[f"sqp_{a}{c}"] = sum((k * F.col(f"sqp_{u}{c}") for k, u in zip(row, ax)), t * F.col(f"sp{c}"))
+    kept = ["n", "sw", *[f"sp{a}" for a in ax], *[f"spp_{c}" for c in _pairs(dim)]]
     return edges.groupBy(*keys, F.col("a").alias("tile")).agg(
         *[F.sum(c).alias(c) for c in kept], *[F.sum(v).alias(k) for k, v in mapped.items()])
 
 
-def _edge_error(a: Column, b: Column) -> Column:
+def _edge_error(a: Column, b: Column, dim: int = 2) -> Column:
     """Weighted sum of squared distances A p - B q of an edge, from its sums."""
-    p = {("x", "x"): "spp_xx", ("x", "y"): "spp_xy", ("y", "x"): "spp_xy", ("y", "y"): "spp_yy",
-         ("x", "1"): "spx", ("1", "x"): "spx", ("y", "1"): "spy", ("1", "y"): "spy", ("1", "1"): "sw"}
-    q = {k: ("sw" if v == "sw" else "sqq_" + v[4:] if v.startswith("spp") else "sq" + v[2]) for k, v in p.items()}
-    qp = {("x", "x"): "sqp_xx", ("x", "y"): "sqp_xy", ("y", "x"): "sqp_yx", ("y", "y"): "sqp_yy",
-          ("x", "1"): "sqx", ("y", "1"): "sqy", ("1", "x"): "spx", ("1", "y"): "spy", ("1", "1"): "sw"}
-    ax = ("x", "y", "1")
+    ax = [*"xyz"[:dim], "1"]
+
+    def square(end: str, u: str, v: str) -> Column:
+        plain = "".join(sorted((u + v).replace("1", "")))
+        return F.col("sw" if not plain else f"s{end}{plain}" if len(plain) == 1 else f"s{end}{end}_{plain}")
+
+    def mixed(u: str, v: str) -> Column:
+        return F.col(f"sqp_{u}{v}") if "1" not in u + v else F.col("sw" if u == v else f"sq{u}" if v == "1" else f"sp{v}")
+
     total = F.lit(0.0)
-    for r in range(2):
+    for r in range(dim):
         for i, u in enumerate(ax):
             for j, v in enumerate(ax):
-                total = total + a[r * 3 + i] * a[r * 3 + j] * F.col(p[u, v])
-                total = total + b[r * 3 + i] * b[r * 3 + j] * F.col(q[u, v])
-                total = total - F.lit(2.0) * b[r * 3 + i] * a[r * 3 + j] * F.col(qp[u, v])
+                at, to = r * (dim + 1) + i, r * (dim + 1) + j
+                total = total + a[at] * a[to] * square("p", u, v) + b[at] * b[to] * square("q", u, v)
+                total = total - F.lit(2.0) * b[at] * a[to] * mixed(u, v)
     return total
 
 
-def edge_errors(edges: DataFrame, models: DataFrame, keys: list[str]) -> DataFrame:
+def edge_errors(edges: DataFrame, models: DataFrame, keys: list[str], dim: int = 2) -> DataFrame:
     """Root mean square distance of every pair under the tile models."""
     joined = edges.join(models.select(*keys, F.col("tile").alias("a"), F.col("m").alias("ma")), [*keys, "a"])
     joined = joined.join(models.select(*keys, F.col("tile").alias("b"), F.col("m").alias("mb")), [*keys, "b"])
-    square = F.greatest(_edge_error(F.col("ma"), F.col("mb")) / F.col("sw"), F.lit(0.0))
+    square = F.greatest(_edge_error(F.col("ma"), F.col("mb"), dim) / F.col("sw"), F.lit(0.0))
     return joined.select(*keys, "a", "b", "n", "sw", F.sqrt(square).alias("error"))
 
 
+def _identity(dim: int) -> Column:
+    return F.array(*[F.lit(1.0 if r == c else 0.0) for r in range(dim) for c in range(dim + 1)])
+
+
+def _fit_to(edges: DataFrame, placed: DataFrame, keys: list[str], kind: str, regularizer: str | None, lam: float, dim: int) -> DataFrame:
+    """Model (goal) of every tile with a placed neighbour (tile, m); null entries where it has no solution."""
+    neighbours = placed.select(*keys, F.col("tile").alias("b"), F.col("m").alias("mb"))
+    sums = _targets(edges.join(neighbours, [*keys, "b"]), keys, dim)
+    goal = matching.model_of(sums.withColumns({f"sqq_{c}": F.lit(0.0) for c in _pairs(dim)}), kind, regularizer, lam, dim)
+    return goal.select(*keys, "tile", F.col("m").alias("goal"))
+
+
+def _solved(goal: str = "goal") -> Column:
+    return F.col(goal).isNotNull() & ~F.exists(goal, lambda c: c.isNull())
+
+
+def pre_align(matches: DataFrame, keys: list[str], fixed: DataFrame, kind: str = "translation", dim: int = 2) -> DataFrame:
+    """Start models (tile, m): tiles next to placed ones are fitted to them, from
+    the fixed tiles outwards, until no tile is reached any more."""
+    edges = checkpoint(edge_moments(matches, keys, dim))
+    placed = checkpoint(fixed.select(*keys, "tile").distinct().withColumn("m", _identity(dim)))
+    while True:
+        ahead = edges.join(placed.select(*keys, F.col("tile").alias("a")), [*keys, "a"], "left_anti")
+        # written before it is filtered: a filter would be copied into the formulas of the fit
+        new = checkpoint(_fit_to(ahead, placed, keys, kind, None, 0.0, dim)).where(_solved()).withColumnRenamed("goal", "m")
+        if new.isEmpty():
+            return placed
+        placed = checkpoint(placed.unionByName(new))
+
+
 def relax(matches: DataFrame, keys: list[str], kind: str = "affine", regularizer: str | None = None, lam: float = 0.0,
-          fixed: DataFrame | None = None, start: DataFrame | None = None, rounds: int = 200, damp: float = 0.5,
-          plateau: float = 1e-4, patience: int = 5) -> DataFrame:
+          fixed: DataFrame | None = None, start: DataFrame | None = None, rounds: int = 1000, damp: float = 0.5,
+          plateau: float = 1e-4, patience: int = 5, max_error: float | None = None, dim: int = 2) -> DataFrame:
     """Move every tile towards the current positions of its neighbours until the
-    error stops falling.
+    error stops falling, over ``patience`` rounds, by ``plateau`` of itself; with
+    ``max_error`` it must also lie below that. ``rounds`` ends a solve that never
+    settles.
 
     Matches are summed to one row per tile pair once; every round then joins
     these few rows to the tile models. All tiles of a round move together, by
     the fraction ``damp``. Fixed tiles keep their start model."""
-    edges = checkpoint(edge_moments(matches, keys))
-    identity = F.array(*[F.lit(c) for c in (1.0, 0.0, 0.0, 0.0, 1.0, 0.0)])
+    edges = checkpoint(edge_moments(matches, keys, dim))
+    identity = _identity(dim)
     models = edges.select(*keys, F.col("a").alias("tile")).distinct()
     if start is not None:
         models = models.join(start.select(*keys, "tile", "m"), [*keys, "tile"], "left").withColumn("m", F.coalesce("m", identity))
@@ -136,21 +171,23 @@ def relax(matches: DataFrame, keys: list[str], kind: str = "affine", regularizer
     spread = F.broadcast if models.count() <= SMALL_ROWS else lambda df: df
     best = None
     for step in range(rounds):
-        neighbours = spread(models.select(*keys, F.col("tile").alias("b"), F.col("m").alias("mb")))
-        sums = _targets(edges.join(neighbours, [*keys, "b"]), keys)
-        goal = matching.model_of(sums.withColumns({f"sqq_{c}": F.lit(0.0) for c in ("xx", "xy", "yy")}), kind, regularizer, lam)
-        moved = models.join(goal.select(*keys, "tile", F.col("m").alias("goal")), [*keys, "tile"], "left")
-        solvable = ~F.col("held") & F.col("goal").isNotNull() & ~F.exists("goal", lambda c: c.isNull())
+        goal = checkpoint(_fit_to(edges, spread(models), keys, kind, regularizer, lam, dim))
+        moved = models.join(goal, [*keys, "tile"], "left")
+        solvable = ~F.col("held") & F.coalesce(_solved(), F.lit(False))
         models = moved.select(*keys, "tile", F.when(solvable, matching.blend(F.col("m"), F.col("goal"), damp)).otherwise(F.col("m")).alias("m"), "held")
         models = checkpoint(models)
         if (step + 1) % patience == 0:
-            error = edge_errors(edges, models, keys).agg(F.sqrt(F.sum(F.col("error") ** 2 * F.col("sw")) / F.sum("sw"))).first()[0]
-            if best is not None and best - error < plateau * max(best, 1e-12):
+            error = edge_errors(edges, models, keys, dim).agg(F.sqrt(F.sum(F.col("error") ** 2 * F.col("sw")) / F.sum("sw"))).first()[0]
+            if best is not None and best - error < plateau * max(best, 1e-12) and (max_error is None or error <= max_error):
                 break
             best = error
     return models.drop("held")
 
 
+# Stiffness, most rounds and plateau width of the stages of a volume solve.
+STAGES_3D = [(1.0, 1000, 250), (0.5, 500, 100), (0.1, 200, 75), (0.01, 100, 25)]
+
+
 def relax_staged(matches: DataFrame, keys: list[str], kind: str, regularizer: str, lambdas: list[float],
                  rounds: list[int], **options) -> DataFrame:
     """Relax with a stiff model first, then with ever softer ones."""
@@ -160,6 +197,29 @@ def relax_staged(matches: DataFrame, keys: list[str], kind: str, regularizer: st
     return models
 
 
+def solve_volume(matches: DataFrame, keys: list[str], fixed: DataFrame, max_error: float = 5.0, stages: list[tuple] = STAGES_3D, **options) -> DataFrame:
+    """Affine 3-D models of tiles, stiffened by translations: pre-aligned from the
+    fixed tiles, then relaxed stage by stage."""
+    models = pre_align(matches, keys, fixed, dim=3)
+    for lam, rounds, width in stages:
+        models = relax(matches, keys, "affine", "translation", lam, fixed, models, rounds, patience=width, max_error=max_error, dim=3, **options)
+    return models
+
+
+def drop_worst(matches: DataFrame, keys: list[str], limit: float, kind: str = "translation", dim: int = 3, least: int = 4) -> DataFrame:
+    """Take the worst match from every pair whose mean error under its own model
+    exceeds ``limit``, one at a time, until none does or ``least`` are left."""
+    group, kept = [*keys, "a", "b"], checkpoint(matches)
+    while True:
+        fit = matching.fit_model(kept, group, kind, dim=dim)
+        scored = kept.join(fit, group).withColumn("_e", matching.residual("m", dim))
+        mean = scored.groupBy(*group).agg(F.avg("_e").alias("mean"), F.count(F.lit(1)).alias("_k"), F.max(F.struct("_e", "mid"))["mid"].alias("mid"))
+        worst = checkpoint(mean.where((F.col("mean") > limit) & (F.col("_k") > least)).select(*group, "mid"))
+        if worst.isEmpty():
+            return kept
+        kept = checkpoint(kept.join(worst, [*group, "mid"], "left_anti"))
+
+
 def local_versus_global(matches: DataFrame, models: DataFrame, keys: list[str], kind: str = "affine", limit: float = 6.0) -> DataFrame:
     """Error of each pair under its own best model and under the global models;
     pairs whose global error exceeds ``limit`` are flagged."""
