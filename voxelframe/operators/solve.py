@@ -171,7 +171,9 @@ def relax(matches: DataFrame, keys: list[str], kind: str = "affine", regularizer
     spread = F.broadcast if models.count() <= SMALL_ROWS else lambda df: df
     best = None
     for step in range(rounds):
-        goal = checkpoint(_fit_to(edges, spread(models), keys, kind, regularizer, lam, dim))
+        goal = _fit_to(edges, spread(models), keys, kind, regularizer, lam, dim)
+        if dim == 3:  # the formulas of a 3-D fit are long, and are named several times below
+            goal = checkpoint(goal)
         moved = models.join(goal, [*keys, "tile"], "left")
         solvable = ~F.col("held") & F.coalesce(_solved(), F.lit(False))
         models = moved.select(*keys, "tile", F.when(solvable, matching.blend(F.col("m"), F.col("goal"), damp)).otherwise(F.col("m")).alias("m"), "held")
