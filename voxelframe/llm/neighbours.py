@@ -15,7 +15,8 @@ been seen with probability ``SURE``. So each true neighbour is missed with proba
 1 - SURE at most, whatever the data.
 
 Vectors that are null, zero, of no id, hold null or non-finite components, or are not of the
-commonest length take no part. A query's own row is any row of its id. Ties go to the smaller
+commonest length take no part. Repeated rows are one, and an id with several vectors is one
+neighbour, by its best score. A query's own row is any row of its id. Ties go to the smaller
 id. Fewer candidates than k give all of them; no vectors give no rows. Queries are never
 broadcast: they move in packs to the blocks they have to visit.
 """
@@ -113,8 +114,12 @@ def gaps(points: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
 
 
 def best(owner: np.ndarray, score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Places of each owner's k largest scores, ties by smaller id."""
-    order = np.lexsort((ids, -score, owner))
+    """Places of each owner's k largest scores over different ids, each by its best; ties by smaller id."""
+    order = np.lexsort((-score, ids, owner))
+    at, one = owner[order], ids[order]
+    if len(at):
+        order = order[np.r_[True, (at[1:] != at[:-1]) | (one[1:] != one[:-1])]]
+    order = order[np.lexsort((ids[order], -score[order], owner[order]))]
     at = owner[order]
     first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else np.zeros(0, dtype=np.int64)
     rank = np.arange(len(at)) - np.repeat(first, np.diff(np.r_[first, len(at)]))
@@ -175,11 +180,13 @@ def neighbours(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "
     """query_id, rank (from 1), vec_id and score of the k nearest found for every row of which ``is_query`` holds."""
     spark = vectors.sparkSession
     good = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks")).where(usable(F.col("v")) & F.col("id").isNotNull())
-    sizes = good.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n"), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)).alias("m"))
+    # repeated rows are one vector; how often each occurs only decides the commonest length
+    good = written(good.groupBy("id", "v").agg(F.bool_or("asks").alias("asks"), F.count(F.lit(1)).alias("copies")), "vectors")
+    sizes = good.groupBy(F.size("v").alias("d")).agg(F.sum("copies").alias("n"), F.count(F.lit(1)).alias("rows"), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)).alias("m"))
     common = sizes.orderBy(F.desc("n"), F.desc("d")).first()
     if common is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    dim, total = common["d"], common["n"]
+    dim, total = common["d"], common["rows"]
     size = max(BLOCK, ceil(total / BLOCKS))
     good = good.where(F.size("v") == dim)
     axes = np.random.default_rng(SEED).standard_normal((dim + 1, DIMS))
@@ -228,7 +235,7 @@ def neighbours(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "
     first = asking.groupBy("block").applyInPandas(home, _PACK).withColumnRenamed("block", "cell").join(blocks.select("cell", "ids", "vecs"), "cell")
     near = written(first.select(*asked).mapInPandas(verify, _FOUND), "near")
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    kth = near.withColumn("rank", rank).where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("kth"))
+    kth = near.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", rank).where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("kth"))
     boxes = blocks.select("block", "cell", "low", "high").toPandas()
     box = spark.sparkContext.broadcast((boxes["block"].to_numpy(), boxes["cell"].to_numpy(), np.array([np.frombuffer(b) for b in boxes["low"]]), np.array([np.frombuffer(b) for b in boxes["high"]])))
 
