@@ -6,7 +6,7 @@ import importlib
 
 QUERIES: dict = {}
 ORACLES: dict = {}
-MODULES = ["simhash", "langid", "sharding", "secrets", "packing", "decontaminate", "maxent", "neighbours", "warc", "quality"]
+MODULES = ["simhash", "langid", "sharding", "secrets", "packing", "decontaminate", "maxent", "neighbours", "warc", "quality", "repair", "chat", "trie"]
 
 
 def query(name: str, sql: str | None = None):
