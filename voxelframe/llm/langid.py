@@ -131,7 +131,7 @@ def train(rows: DataFrame, lang_col: str = "lang", text_col: str = "text", bits:
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text") -> Column:
-    """Struct (lang, score) of a text column."""
+    """Struct (lang, score) of a text column. It is told to be non-deterministic, so that a filter on it is not computed apart from its use."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang string, score double")
@@ -139,7 +139,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> Column:
         lang, score = shared.value.score(texts.tolist())
         return pd.DataFrame({"lang": lang, "score": score})
 
-    return guess(F.col(text_col).cast("string"))
+    return guess.asNondeterministic()(F.col(text_col).cast("string"))
 
 
 def learnt(docs: DataFrame) -> Model:
