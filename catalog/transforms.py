@@ -27,24 +27,26 @@ MATRIX = [0.875, 0.125, 0.0, 0.5, -0.125, 1.0, 0.0, 1.25, 0.0625, 0.0, 1.0, -0.7
 def affine_case(f):
     sizes = pixel.extents(f.em)
     models = sizes.select("dataset", F.array(*[F.lit(c) for c in MATRIX]).alias("m"))
-    return tf.affine_targets(tf.output_grid(sizes), models, ["dataset"]), sizes
+    return tf.affine_targets(tf.output_grid(sizes), models, ["dataset"]), sizes, models
 
 
 @query("t1_resample_affine", VOX, f"WITH t AS (SELECT dataset, z, y, x, {AFF} FROM @em) {trilinear('t', background='7')}")
 def _(f):
-    return tf.resample(f.em, affine_case(f)[0], 7.0)
+    _, sizes, models = affine_case(f)
+    return tf.resample_affine(f.em, models, sizes, 7.0)
 
 
 @query("t1_resample_nearest", VOX, f"""WITH t AS (SELECT dataset, z, y, x, {AFF} FROM @em) SELECT t.dataset, t.z, t.y, t.x, coalesce(e.v, 7) AS v FROM t LEFT JOIN @em e
 ON e.dataset = t.dataset AND e.x = floor(sx + 0.5) AND e.y = floor(sy + 0.5) AND e.z = floor(sz + 0.5)""")
 def _(f):
-    return tf.resample(f.em, affine_case(f)[0], 7.0, linear=False)
+    _, sizes, models = affine_case(f)
+    return tf.resample_affine(f.em, models, sizes, 7.0, linear=False)
 
 
 @query("t2_coverage_mask", "dataset:s z y x mask", f"""WITH t AS (SELECT dataset, z, y, x, {AFF}, max(z) OVER (PARTITION BY dataset) AS mz FROM @em)
 SELECT dataset, z, y, x, CASE WHEN floor(sx + 0.5) BETWEEN 0 AND 24 AND floor(sy + 0.5) BETWEEN 0 AND 19 AND floor(sz + 0.5) BETWEEN 0 AND mz THEN 1 ELSE 0 END AS mask FROM t""")
 def _(f):
-    targets, sizes = affine_case(f)
+    targets, sizes, _ = affine_case(f)
     return tf.coverage_mask(targets, sizes)
 
 

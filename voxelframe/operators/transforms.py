@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from voxelframe.functions.affine import apply_affine
 from voxelframe.functions.scalar import distance_to_interval, fade, half_up, to_pixel
-from voxelframe.operators import pixel, stencils
+from voxelframe.operators import blocks, gather, pixel, stencils
 from voxelframe.operators.resample import interpolate, look_up, nearest
 from voxelframe.schema import KEY, POS
 from voxelframe.session import measured, small
@@ -46,6 +46,14 @@ def resample(vox: DataFrame, targets: DataFrame, background: float = 0.0, linear
     return read(targets, vox, at, ["v"], keys, background)
 
 
+def resample_affine(vox: DataFrame, models: DataFrame, sizes: DataFrame, background: float = 0.0, linear: bool = True,
+                    block: dict[str, int] | None = None, dtype: str = "u8") -> DataFrame:
+    """Volumes under affine models on their own extents, block by block."""
+    block = block or gather.DEFAULT
+    packed = blocks.to_blocks(vox, block, sizes, dtype, background)
+    return gather.placed_voxels(gather.affine_blocks(packed, block, models, sizes, block, background, linear, dtype))
+
+
 def coverage_mask(targets: DataFrame, sizes: DataFrame, axes: tuple = AXES, keys: list[str] = KEY) -> DataFrame:
     """1 where the nearest source voxel exists."""
     inside = F.lit(True)
@@ -261,17 +269,21 @@ def rescale_height_field(field: DataFrame, targets: DataFrame, scale: tuple, val
     return look_up(targets.select(*keys, "y", "x"), ready, at[0], at[1], [value], sizes, keys)
 
 
-def flatten_volume(vox: DataFrame, field: DataFrame, averages: DataFrame, padding: float) -> DataFrame:
-    """Volume between two surfaces made flat. ``averages`` (low, high) are the
-    target planes; the output covers round(low - padding) .. round(high + padding).
-    Only the z axis is interpolated, so a target reads one cell of two voxels."""
+def flatten_volume(vox: DataFrame, field: DataFrame, averages: DataFrame, padding: float, sizes: DataFrame | None = None,
+                   block: dict[str, int] | None = None) -> DataFrame:
+    """Volume between two surfaces made flat. ``averages`` (low, high) are the target planes; the output covers
+    round(low - padding) .. round(high + padding). Voxels are packed into blocks first; volumes that are stored as
+    blocks go to ``gather.flattened_blocks`` as they are."""
+    block = block or gather.DEFAULT
+    sizes = pixel.extents(vox) if sizes is None else measured(sizes)
+    placed = gather.flattened_blocks(blocks.to_blocks(vox, block, sizes), block, field, flat_planes(averages, padding), sizes, block)
+    return gather.placed_voxels(placed, "u8")
+
+
+def flat_planes(averages: DataFrame, padding: float) -> DataFrame:
+    """Target planes with the first and last layer of the output."""
     checked = averages.withColumn("low", F.when(F.col("low") >= F.col("high"), F.raise_error(F.lit("lower surface must lie below the upper one")).cast("double")).otherwise(F.col("low")))
-    planes = checked.withColumn("_first", half_up(F.col("low") - padding)).withColumn("_last", half_up(F.col("high") + padding))
-    grid = field.join(small(planes), KEY).withColumn("_zt", F.explode(F.sequence(F.col("_first"), F.col("_last"))))
-    sz = unflatten_z(F.col("_zt").cast("double"), F.col("hmin"), F.col("hmax"), F.col("low"), F.col("high"))
-    targets = grid.select(*KEY, "y", "x", (F.col("_zt") - F.col("_first")).alias("z"), sz.alias("sz"))
-    out = interpolate(targets, vox, {"z": "sz", "y": "y", "x": "x"}, ["v"])
-    return out.select(*POS, to_pixel(F.col("v")).alias("v"))
+    return checked.withColumn("first", half_up(F.col("low") - padding)).withColumn("last", half_up(F.col("high") + padding))
 
 
 def extend_height_field(targets: DataFrame, field: DataFrame, average: Column, plane: tuple, fade_to_plane: float,

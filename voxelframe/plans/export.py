@@ -6,11 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxelframe.functions.scalar import to_pixel
-from voxelframe.operators import compose, joins, stencils
-from voxelframe.operators.resample import interpolate
-from voxelframe.operators.transforms import face_positions, mix_faces
+from voxelframe.operators import blocks, compose, gather, joins, pixel, stencils
+from voxelframe.operators.transforms import face_positions
 from voxelframe.schema import KEY, POS
-from voxelframe.session import small
+from voxelframe.session import measured
 
 
 def plan_export(blocks: DataFrame, slabs: DataFrame, cell: int) -> DataFrame:
@@ -25,29 +24,29 @@ def place_slabs(slabs: DataFrame) -> DataFrame:
 
 def export_slabs(vox: DataFrame, slabs: DataFrame, grid: DataFrame, top: DataFrame, bottom: DataFrame,
                  z_range: tuple[int, int] | None = None, normalize: tuple[int, int] | None = None,
-                 overflow: str | None = None, scale: float = 1.0, name: str = "aligned") -> DataFrame:
-    """One aligned volume from a series of slabs.
-
-    Each slab layer reads its source through the mix of the transforms of its two
-    faces and moves to its place in the series. ``grid`` holds the output pixels
-    (y, x) of every slab. A z range limits the layers before any pixel is read.
-    ``normalize`` applies local contrast with these radii. Background voxels are
-    not stored.
-
-    The face positions are looked up once per pixel column, before the columns
-    are spread over their layers. Slabs placed by running offsets do not overlap;
-    give ``overflow`` to add slabs that do."""
-    placed = place_slabs(slabs).select(*KEY, "top", "bot", "zoff")
-    columns = face_positions(grid, top, bottom, scale).join(small(placed), KEY)
-    layers = columns.withColumn("sz", F.explode(F.sequence("top", "bot"))).withColumn("z", F.col("sz") - F.col("top") + F.col("zoff"))
-    if z_range is not None:
-        layers = layers.where(F.col("z").between(*z_range))
-    moved = mix_faces(layers, F.col("sz"), F.col("top").cast("double"), F.col("bot").cast("double"))
-    read = interpolate(moved, vox, {"z": "sz", "y": "sy", "x": "sx"}, ["v"])
-    out = read.select(F.lit(name).alias("dataset"), "z", "y", "x", to_pixel(F.col("v")).alias("v"))
+                 overflow: str | None = None, scale: float = 1.0, name: str = "aligned", sizes: DataFrame | None = None,
+                 block: dict[str, int] | None = None) -> DataFrame:
+    """One aligned volume from a series of slabs, as voxels.
+
+    Voxels are packed into blocks first; slabs that are stored as blocks go to ``export_blocks`` as they are.
+    ``normalize`` applies local contrast with these radii. Background voxels are not stored. Slabs placed by
+    running offsets do not overlap; give ``overflow`` to add slabs that do."""
+    block = block or gather.DEFAULT
+    sizes = pixel.extents(vox) if sizes is None else measured(sizes)
+    out = gather.placed_voxels(export_blocks(blocks.to_blocks(vox, block, sizes), block, slabs, grid, top, bottom, sizes, z_range, scale, name), "u8", 0)
     if overflow is not None:
         out = compose.additive([out], overflow)
     if normalize is not None:
         out = stencils.local_contrast(out, *normalize, limit=10.0, gamma=0.5, keep_min_max=True).select(
             *POS, to_pixel(F.col("v")).alias("v"))
     return out.where(F.col("v") != 0)
+
+
+def export_blocks(source: DataFrame, block: dict[str, int], slabs: DataFrame, grid: DataFrame, top: DataFrame, bottom: DataFrame,
+                  sizes: DataFrame, z_range: tuple[int, int] | None = None, scale: float = 1.0, name: str = "aligned",
+                  out_block: dict[str, int] | None = None) -> DataFrame:
+    """Blocks of one aligned volume from blocks of slabs. Each slab layer reads its source through the mix of the
+    transforms of its two faces and moves to its place in the series. ``grid`` holds the output pixels (y, x) of every
+    slab; face positions are looked up once per pixel column. A z range limits the blocks before any pixel is read."""
+    placed = place_slabs(slabs).select(*KEY, "top", "bot", "zoff")
+    return gather.mixed_faces_blocks(source, block, face_positions(grid, top, bottom, scale), placed, sizes, out_block or block, z_range, name=name)
