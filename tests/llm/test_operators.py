@@ -375,17 +375,37 @@ def test_decontamination_matches_brute_force(spark, docs, texts):
         assert got[i]["items"] == sorted(str(items[n][0]) for n in found)
 
 
+def _near(text, item, slack=4, size=13):
+    """Whether four in five of some window's words stand within an offset range of the text."""
+    words, spoken = words_of(text), words_of(item)
+    size = min(size, len(spoken))
+    need = -(-4 * size // 5)
+    places = defaultdict(list)
+    for pos, w in enumerate(words):
+        places[w].append(pos)
+    deltas = [{p - i for p in places[w]} for i, w in enumerate(spoken)]
+    return need > 1 and any(sum(any(low <= d <= low + slack for d in deltas[i]) for i in range(s, s + size)) >= need
+                            for s in range(len(spoken) - size + 1) for low in {d - k for ds in deltas for d in ds for k in range(slack + 1)})
+
+
 def test_proximity(spark):
-    item = " ".join(f"w{i}" for i in range(13))
-    loose = item.replace("w5", "w5 a b c")
-    rows = spark.createDataFrame([(1, item), (2, loose), (3, " ".join(reversed(item.split()))), (4, "w0 " + "x " * 40 + "w1")], "doc_id long, text string")
-    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
-    _, spoken = decontaminate.test_items(bench)
-    index = decontaminate.build_index(rows, spoken)
-    ids = {r["uid"]: r["id"] for r in index.postings.where("term = -1").collect()}
-    near = {ids[r["uid"]] for r in decontaminate.proximity_matches(index, spoken).collect()}
-    exact = {ids[r["uid"]] for r in decontaminate.phrase_matches(index, spoken).collect()}
-    assert exact == {1} and {1, 2} <= near and 4 not in near
+    """Against all windows and offsets: words lost, moved, replaced by unknown ones, repeated; short items."""
+    rng = random.Random(9)
+    item = [f"w{i}" for i in range(20)]
+    items = [" ".join(item), "w1 w2 w3 w4 w5", "alone", "a a a b a a c", " ".join(f"z{i}" for i in range(40)) + " w0 w1"]
+    texts = {1: items[0], 2: items[0].replace("w5", "w5 a b c"), 3: " ".join(reversed(item)), 4: "w0 " + "x " * 40 + "w1", 5: items[0].replace("w3", "n1").replace("w9", "n2"),
+             6: "alone", 7: "a b a a c a", 8: None, 9: ""}
+    for n in range(120):
+        w = [x if rng.random() > 0.15 else rng.choice(["new", "w7", x + " more", ""]) for x in rng.choice([item, item[4:], [f"z{i}" for i in range(12, 40)], ["w1", "w2", "w3", "w4", "w5"]])]
+        texts[100 + n] = " ".join(rng.choice([["pad"], ["w2", "a"], []]) + w + ["tail"])
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["id"]: r for r in decontaminate.contamination(rows, bench, near=True).collect()}
+    assert set(got) == set(texts) and "1" not in got[3]["near_items"]
+    assert {"0"} <= set(got[5]["near_items"]) and got[5]["items"] == [] and got[6]["near_items"] == []
+    want = {i: [str(n) for n, x in enumerate(items) if _near(t, x)] for i, t in texts.items()}
+    assert {i: r["near_items"] for i, r in got.items()} == want and sum(map(bool, want.values())) > 60
+    assert all(set(r["items"]) - {"2"} <= set(r["near_items"]) for r in got.values())
 
 
 def test_words():

@@ -11,6 +11,7 @@ words, by their postings in the corpus, are looked up first: a posting at ``pos`
 the item's word at ``ipos`` says that the item may lie at offset ``pos - ipos``, and
 both lists must name that offset. The offsets left are intersected with the lists of
 all other words of the item; runs of a window's length or more are exact matches.
+Proximity matches let words be missing or moved: see ``proximity_matches``.
 
 Null and wordless texts have no words and no hits; equal items are looked up once and
 all their ids reported; a null item id is written as empty text; repeated rows of
@@ -106,34 +107,68 @@ def phrase_matches(index: Index, spoken: DataFrame, window: int = WINDOW) -> Dat
     return runs.where(F.col("hi") - F.col("lo") + 1 >= F.least(F.lit(window), F.col("length"))).select("uid", "item", "lo", "hi")
 
 
-def proximity_matches(index: Index, spoken: DataFrame, window: int = WINDOW, slack: int = SLACK) -> DataFrame:
-    """(uid, item): items of which some window's two rarest words lie at most ``slack`` places from their distance.
+def needed(length: Column) -> Column:
+    """Words of a window that a proximity match must hold: four in five."""
+    return F.ceil(length * 4 / 5)
 
-    Offsets are put into cells of slack + 1; two that are close lie in the same cell or in neighbours."""
-    pairs = written(_anchors(spoken, index.terms, window), "anchors")
-    one = index.postings.select("uid", "pos", F.col("term").alias("t1")).join(sized(pairs, "near"), "t1")
-    one = one.select("uid", "item", "ip2", (F.col("pos") - F.col("ip1")).alias("delta"))
-    one = one.withColumn("cell", F.explode(F.array(*[F.floor(F.col("delta") / (slack + 1)) + i for i in (-1, 0, 1)])))
-    two = index.postings.select("uid", "pos", F.col("term").alias("t2")).join(sized(pairs.select("item", "ip2", "t2").distinct(), "far"), "t2")
-    two = two.select("uid", "item", "ip2", (F.col("pos") - F.col("ip2")).alias("delta2"))
-    two = two.withColumn("cell", F.floor(F.col("delta2") / (slack + 1)))
-    met = one.join(two, ["uid", "item", "ip2", "cell"]).where(F.abs(F.col("delta") - F.col("delta2")) <= slack)
-    return met.select("uid", "item").distinct()
+
+def _near_anchors(spoken: DataFrame, terms: DataFrame, window: int) -> DataFrame:
+    """(item, ipos, term): the rarest words of each window that the corpus has, two more than may still be missing. Words that
+    the corpus lacks are missing from the start; a window that lacks too many, or asks for one word only, is left out."""
+    known = spoken.join(terms.select("word", "term", "n"), "word")
+    length = F.least(F.lit(window), F.col("length"))
+    mine = W.partitionBy("item").orderBy("ipos").rangeBetween(0, window - 1)
+    near = known.withColumn("span", F.collect_list(F.struct("n", "ipos", "term")).over(mine)).withColumn("size", length)
+    there = F.array_sort(F.filter("span", lambda w: w["n"] > 0))
+    near = near.where((F.size("span") == F.col("size")) & (needed(F.col("size")) > 1)).withColumn("there", there)
+    spare = F.size("there") - needed(F.col("size"))
+    near = near.where(spare >= 0).select("item", F.explode(F.slice("there", F.lit(1), (spare + 2).cast("int"))).alias("w"))
+    return near.select("item", "w.ipos", "w.term").distinct()
+
+
+def proximity_matches(index: Index, spoken: DataFrame, window: int = WINDOW, slack: int = SLACK) -> DataFrame:
+    """(uid, item): items of which some window lies in the document within ``slack``: there is an offset ``low`` so that four
+    in five of the window's words, or more, stand at offsets low to low + slack (offset: place in the text less place in the item).
+
+    Of the rarest words looked up first, two at least are in any such match, so their lists must agree in an offset range;
+    the ranges left are intersected with the lists of all words of the item. Items of one word have exact matches only."""
+    lows = F.explode(F.sequence(F.col("delta") - slack, F.col("delta")))
+    places = written(_near_anchors(spoken, index.terms, window), "near-anchors")
+    at = index.postings.select("term", "uid", "pos").join(sized(places, "near-places"), "term")
+    at = at.select("uid", "item", "ipos", (F.col("pos") - F.col("ipos")).alias("delta"))
+    agree = at.select("uid", "item", "ipos", lows.alias("low")).groupBy("uid", "item", "low").agg(F.min("ipos").alias("a"), F.max("ipos").alias("b")).where("a < b")
+    agree = written(agree.select("uid", "item", "low"), "near-ranges")
+    asked = agree.select("uid", "item").distinct().join(sized(spoken.join(index.terms, "word").select("item", "length", "ipos", "term"), "spoken"), "item")
+    there = index.postings.select("term", "uid", "pos").join(sized(agree.select("uid").distinct(), "near-uids", 1_000_000), "uid", "left_semi")
+    same = asked.join(there, ["uid", "term"]).select("uid", "item", "length", "ipos", (F.col("pos") - F.col("ipos")).alias("delta"))
+    held = same.select("uid", "item", "length", "ipos", lows.alias("low")).distinct().join(agree, ["uid", "item", "low"], "left_semi")
+    size = F.least(F.lit(window), F.col("length"))
+    starts = F.explode(F.sequence(F.greatest(F.lit(0), F.col("ipos") - size + 1), F.least(F.col("ipos"), F.col("length") - size)))
+    full = held.select("uid", "item", "low", size.alias("size"), starts.alias("start")).groupBy("uid", "item", "low", "start").agg(F.count(F.lit(1)).alias("n"), F.first("size").alias("size"))
+    return full.where(F.col("n") >= needed(F.col("size"))).select("uid", "item").distinct()
+
+
+def _named(matches: DataFrame, ids: DataFrame, out: str) -> DataFrame:
+    """Ids of the items matched in each document, sorted as strings."""
+    one = matches.select("uid", "item").distinct().join(sized(ids, "ids"), "item").select("uid", F.explode("ids").alias("one")).distinct()
+    return one.groupBy("uid").agg(F.array_sort(F.collect_list("one")).alias(out))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-                  item_text: str = "text", window: int = WINDOW) -> DataFrame:
-    """(uid, id, n_words, n_hit, items): one row per document; items are the ids found, sorted as strings."""
+                  item_text: str = "text", window: int = WINDOW, near: bool = False, slack: int = SLACK) -> DataFrame:
+    """(uid, id, n_words, n_hit, items): one row per document; items are the ids found, sorted as strings. With ``near``
+    also ``near_items``, the ids of proximity matches (an exact match of two words or more is one)."""
     ids, spoken = test_items(benchmark, item_col, item_text)
     index = build_index(docs, spoken, id_col, text_col)
     runs = written(phrase_matches(index, spoken, window), "runs")
     hits = runs.select("uid", F.explode(F.sequence("lo", "hi")).alias("pos")).distinct().groupBy("uid").agg(F.count(F.lit(1)).alias("n_hit"))
-    named = runs.select("uid", "item").distinct().join(sized(ids, "ids"), "item").select("uid", F.explode("ids").alias("one")).distinct()
-    named = named.groupBy("uid").agg(F.array_sort(F.collect_list("one")).alias("items"))
+    named = _named(runs, ids, "items")
     lengths = index.postings.where("term = -1").select("uid", "id", F.col("pos").cast("long").alias("n_words"))
-    return lengths.join(hits, "uid", "left").join(named, "uid", "left").select(
-        "uid", "id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-        F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    nothing, out = F.array().cast("array<string>"), lengths.join(hits, "uid", "left").join(named, "uid", "left")
+    if near:
+        out = out.join(_named(proximity_matches(index, spoken, window, slack), ids, "near_items"), "uid", "left")
+    return out.select("uid", "id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", nothing).alias("items"),
+                      *([F.coalesce("near_items", nothing).alias("near_items")] if near else []))
 
 
 def contaminated() -> Column:
@@ -160,15 +195,25 @@ grams AS (SELECT doc_id, i, size, array_to_string(w[i:i + size - 1], ' ') AS gra
           FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM docs, (SELECT DISTINCT size FROM windows))),
 found AS (SELECT doc_id, item_id, i, size FROM grams JOIN windows USING (size, gram)),
 hits AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM found) GROUP BY doc_id),
-named AS (SELECT doc_id, count(*) AS n, string_agg(one, ',' ORDER BY one) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS one FROM found) GROUP BY doc_id)
+named AS (SELECT doc_id, count(*) AS n, string_agg(one, ',' ORDER BY one) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS one FROM found) GROUP BY doc_id),
+spots AS (SELECT item_id, len(w) AS length, size, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS ipos FROM items),
+posts AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS pos FROM docs),
+deltas AS (SELECT DISTINCT doc_id, item_id, length, size, ipos, pos - ipos AS delta FROM posts JOIN spots USING (word) WHERE ceil(size * 4 / 5.0) > 1),
+lows AS (SELECT DISTINCT doc_id, item_id, length, size, ipos, unnest(range(delta - {SLACK}, delta + 1)) AS low FROM deltas),
+rich AS (SELECT doc_id, item_id, low FROM lows GROUP BY ALL HAVING count(*) >= any_value(ceil(size * 4 / 5.0))),
+starts AS (SELECT doc_id, item_id, low, size, unnest(range(greatest(0, ipos - size + 1), least(ipos, length - size) + 1)) AS start FROM lows JOIN rich USING (doc_id, item_id, low)),
+close AS (SELECT DISTINCT doc_id, item_id FROM (SELECT doc_id, item_id, low, start FROM starts GROUP BY ALL HAVING count(*) >= any_value(ceil(size * 4 / 5.0)))),
+near AS (SELECT doc_id, count(*) AS n, string_agg(one, ',' ORDER BY one) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS one FROM close) GROUP BY doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(hits.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(named.n, 0) AS BIGINT) AS n_items,
-       sha256(coalesce(named.ids, '')) AS items_sha256, coalesce(hits.n, 0) > 0 AND 20 * coalesce(hits.n, 0) >= len(w) AS contaminated
-FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)"""
+       sha256(coalesce(named.ids, '')) AS items_sha256, coalesce(hits.n, 0) > 0 AND 20 * coalesce(hits.n, 0) >= len(w) AS contaminated,
+       CAST(coalesce(near.n, 0) AS BIGINT) AS n_near_items, sha256(coalesce(near.ids, '')) AS near_items_sha256
+FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id) LEFT JOIN near USING (doc_id)"""
 
 
 @query("op10_benchmark_decontamination", SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words hit by windows of the benchmark, for every document."""
-    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    """Words hit by windows of the benchmark, and items that lie near, for every document."""
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), near=True)
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
-                        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), contaminated().alias("contaminated"))
+                        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), contaminated().alias("contaminated"),
+                        F.size("near_items").cast("long").alias("n_near_items"), F.sha2(F.concat_ws(",", "near_items"), 256).alias("near_items_sha256"))
