@@ -132,16 +132,18 @@ def proximity_matches(index: Index, spoken: DataFrame, window: int = WINDOW, sla
 
     Of the rarest words looked up first, two at least are in any such match, so their lists must agree in an offset range;
     the ranges left are intersected with the lists of all words of the item. Items of one word have exact matches only."""
-    lows = F.explode(F.sequence(F.col("delta") - slack, F.col("delta")))
     places = written(_near_anchors(spoken, index.terms, window), "near-anchors")
     at = index.postings.select("term", "uid", "pos").join(sized(places, "near-places"), "term")
-    at = at.select("uid", "item", "ipos", (F.col("pos") - F.col("ipos")).alias("delta"))
-    agree = at.select("uid", "item", "ipos", lows.alias("low")).groupBy("uid", "item", "low").agg(F.min("ipos").alias("a"), F.max("ipos").alias("b")).where("a < b")
-    agree = written(agree.select("uid", "item", "low"), "near-ranges")
+    at = at.groupBy("uid", "item").agg(F.array_sort(F.collect_list(F.struct((F.col("pos") - F.col("ipos")).cast("int").alias("delta"), F.col("ipos").cast("int").alias("ipos")))).alias("at"))
+    # of different words in a range some two are neighbours by offset
+    ends = F.transform(F.sequence(F.lit(1), F.size("at") - 1), lambda i: F.struct(F.element_at("at", i).alias("a"), F.element_at("at", i + 1).alias("b")))
+    ends = F.filter(ends, lambda e: (e["b"]["delta"] - e["a"]["delta"] <= slack) & (e["a"]["ipos"] != e["b"]["ipos"]))
+    lows = F.array_distinct(F.flatten(F.transform(ends, lambda e: F.sequence(e["b"]["delta"] - slack, e["a"]["delta"]))))
+    agree = written(at.where(F.size("at") > 1).select("uid", "item", F.explode(lows).alias("low")), "near-ranges")
     asked = agree.select("uid", "item").distinct().join(sized(spoken.join(index.terms, "word").select("item", "length", "ipos", "term"), "spoken"), "item")
     there = index.postings.select("term", "uid", "pos").join(sized(agree.select("uid").distinct(), "near-uids", 1_000_000), "uid", "left_semi")
     same = asked.join(there, ["uid", "term"]).select("uid", "item", "length", "ipos", (F.col("pos") - F.col("ipos")).alias("delta"))
-    held = same.select("uid", "item", "length", "ipos", lows.alias("low")).distinct().join(agree, ["uid", "item", "low"], "left_semi")
+    held = same.join(agree, ["uid", "item"]).where(F.col("delta").between(F.col("low"), F.col("low") + slack)).select("uid", "item", "length", "ipos", "low").distinct()
     size = F.least(F.lit(window), F.col("length"))
     starts = F.explode(F.sequence(F.greatest(F.lit(0), F.col("ipos") - size + 1), F.least(F.col("ipos"), F.col("length") - size)))
     full = held.select("uid", "item", "low", size.alias("size"), starts.alias("start")).groupBy("uid", "item", "low", "start").agg(F.count(F.lit(1)).alias("n"), F.first("size").alias("size"))
