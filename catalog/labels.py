@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from catalog.registry import query
 from voxelframe.operators import labels, pixel, solve
 
-EDGES = "SELECT CAST(0 AS BIGINT) AS graph, o_orderkey AS u, o_orderkey + 1 + o_orderkey % 13 AS v FROM @orders WHERE o_orderkey % 29 < 12"
+EDGES = "SELECT CAST(0 AS BIGINT) AS graph, o_orderkey AS u, CAST(floor(o_orderkey / 58) * 58 AS BIGINT) + (o_orderkey * 7 + 3) % 58 AS v FROM @orders"
 NODES = "SELECT CAST(0 AS BIGINT) AS graph, o_orderkey AS node FROM @orders"
 
 

@@ -69,7 +69,7 @@ def _(f):
 @query("x4_match_filters", "a n", "SELECT a, least(20, count(*)) AS n FROM @matches WHERE planted = 1 GROUP BY a")
 def _(f):
     def consensus(rows):
-        return matching.ransac(rows, ["a", "b"], "affine", iterations=200, epsilon=1.0)
+        return matching.ransac(rows, ["a", "b"], "affine", epsilon=1.0)
 
     def thinned(rows):
         return stats.sample_per_group(rows, ["a", "b"], ["mid"], 20, 5)
@@ -79,18 +79,18 @@ def _(f):
 
 @query("m6_ransac", "a b mid", "SELECT a, b, mid FROM @matches WHERE planted = 1")
 def _(f):
-    return matching.ransac(f.matches, ["a", "b"], "affine", iterations=200, epsilon=1.0, min_ratio=0.1, min_inliers=7)
+    return matching.ransac(f.matches, ["a", "b"], "affine", epsilon=1.0, min_ratio=0.1, min_inliers=7)
 
 
 @query("m6_ransac_rigid", "a n", "SELECT a, count(*) AS n FROM @matches WHERE planted = 1 GROUP BY a")
 def _(f):
-    found = matching.ransac(f.matches, ["a", "b"], "rigid", iterations=200, epsilon=3.0, min_inliers=7)
+    found = matching.ransac(f.matches, ["a", "b"], "rigid", epsilon=3.0, min_inliers=7)
     return found.groupBy("a").agg(F.count("*").alias("n"))
 
 
 @query("m7_multi_consensus", "a b mid consensus", "SELECT a, b, mid, 1 - planted AS consensus FROM @matches")
 def _(f):
-    return matching.multi_consensus(f.matches, ["a", "b"], kind="affine", iterations=200, epsilon=1.0, min_inliers=7)
+    return matching.multi_consensus(f.matches, ["a", "b"], kind="affine", epsilon=1.0, min_inliers=7)
 
 
 @query("m17_fit_shear", "stack sx:f ox:f sy:f oy:f", """SELECT stack, regr_slope(tx, z) AS sx, regr_intercept(tx, z) AS ox, regr_slope(ty, z) AS sy, regr_intercept(ty, z) AS oy FROM @series_shift GROUP BY stack""")

@@ -56,7 +56,7 @@ def _(f):
 @query("m14_phase_consensus", "dataset:s tx:f ty:f", "SELECT DISTINCT dataset, 2 AS tx, 0 AS ty FROM @em")
 def _(f):
     found = features.phase_shift(f.em, f.em_b, {"y": 12, "x": 16}).withColumn("mid", F.xxhash64("z", "by", "bx"))
-    kept = matching.ransac(found, ["dataset"], "translation", iterations=50, epsilon=1.5, min_inliers=5)
+    kept = matching.ransac(found, ["dataset"], "translation", epsilon=1.5, min_inliers=5)
     return matching.fit_model(kept, ["dataset"], "translation").select("dataset", F.col("m")[2].alias("tx"), F.col("m")[5].alias("ty"))
 
 
@@ -97,13 +97,13 @@ FEATURES = {"sigma": 0.8, "threshold": 0.5, "radius": 5, "cells": 2, "noise": No
 def _(f):
     rows, pairs, sizes, bounds, identity = faces(f)
     return registration.align_pass(rows, identity, pairs, bounds, sizes, 13, feature_options=FEATURES, kind="translation", regularizer=None,
-                                   lam=0.0, min_inliers=4, iterations=100, epsilon=1.5)
+                                   lam=0.0, min_inliers=4, epsilon=1.5)
 
 
 @query("m9_align_cells_halfway", "dataset:s iy ix tx:f ty:f")
 def _(f):
     rows, pairs, sizes, bounds, identity = faces(f)
-    return registration.align_pass(rows, identity, pairs, bounds, sizes, 13, True, FEATURES, kind="translation", min_inliers=4, iterations=100, epsilon=1.5)
+    return registration.align_pass(rows, identity, pairs, bounds, sizes, 13, True, FEATURES, kind="translation", min_inliers=4, epsilon=1.5)
 
 
 @query("m16_flow_pass", "dataset:s iy ix tx:f ty:f")
@@ -122,7 +122,7 @@ def unit(f, sql=None):
 
 @query("m11_match_blocks", "stack same:b tx:f ty:f tz:f", "SELECT DISTINCT stack, true AS same, 3 AS tx, -2 AS ty, 1 AS tz FROM @points")
 def _(f):
-    found = registration.match_blocks(unit(f), unit(f, MOVED), ["stack"], 10.0, epsilon=0.5, icp_distance=2.0, icp_epsilon=0.5, iterations=50, rounds=3)
+    found = registration.match_blocks(unit(f), unit(f, MOVED), ["stack"], 10.0, epsilon=0.5, icp_distance=2.0, icp_epsilon=0.5)
     # points that share a position share their matches
     twin = (F.col("qx") == F.col("px") + 3) & (F.col("qy") == F.col("py") - 2) & (F.col("qz") == F.col("pz") + 1)
     return found.groupBy("stack").agg(F.bool_and(twin).alias("same"),
@@ -150,7 +150,7 @@ def _(f):
 @query("aligned_slab_graph", "tile x:f y:f")
 def _(f):
     from voxelframe.operators import solve
-    kept = matching.ransac(f.matches, ["a", "b"], "affine", iterations=200, epsilon=1.0).withColumn("graph", F.lit(0).cast("long"))
+    kept = matching.ransac(f.matches, ["a", "b"], "affine", epsilon=1.0).withColumn("graph", F.lit(0).cast("long"))
     first = f.matches.agg(F.min("a").alias("tile")).withColumn("graph", F.lit(0).cast("long"))
     models = solve.relax_staged(kept, ["graph"], "affine", "rigid", [1.0, 0.1], [10, 10], fixed=first)
     return models.select("tile", F.col("m")[2].alias("x"), F.col("m")[5].alias("y"))

@@ -196,7 +196,7 @@ def _(f):
 
 @query("w17_inpaint_rays", VOX)
 def _(f):
-    return stencils.inpaint_rays(f.sql(MASKED), pixel.extents(f.em), directions=64)
+    return stencils.inpaint_rays(f.sql(MASKED), pixel.extents(f.em))
 
 
 def _side(axis: str) -> str:
