@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from catalog.fixtures import FIXTURES, TABLES
 
 MODULES = ["sources", "grid", "pixel", "joins", "stats", "stencils", "compose", "transforms",
-           "points", "matching", "labels", "surfaces", "registration"]
+           "points", "matching", "labels", "surfaces", "registration", "bordered"]
 
 QUERIES: dict = {}
 ORACLES: dict = {}
