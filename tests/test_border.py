@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from voxelframe.operators import blocks, border, features
+from voxelframe.operators import blocks, border, features, labels
 
 SHAPE = (7, 11, 13)
 BLOCK = {"z": 2, "y": 4, "x": 6}
@@ -95,3 +95,38 @@ def test_integer_results_and_empty_tables(make, sizes_of, cube, volume):
     none = border.Layer(packed.blocks.where("false"))
     assert border.map_bordered([none], lambda v: v, BLOCK, {}, sizes.where("false")).count() == 0
     assert cube(_unpacked(border.gradient_magnitude(none, BLOCK, sizes)), SHAPE).max() == 0
+
+
+@pytest.mark.parametrize("first,sites", [(-0.5, 12), (0.5, 10), (0.0, 1)])
+def test_lower_envelope_is_the_least_parabola(first, sites):
+    rng = np.random.default_rng(sites)
+    heights = rng.integers(0, 60, (sites, 400)) * 1.0
+    heights[rng.random(heights.shape) < 0.3] = np.inf
+    heights[:, 0] = np.inf  # a line without a site
+    heights[:, 1] = 5.0  # ties
+    got = labels.lower_envelope(heights, first, 1.75, 11)
+    at = np.arange(11)[:, None, None] - first - np.arange(sites)[None, :, None]
+    assert np.allclose(got, (heights[None] + 1.75 * at ** 2).min(axis=1))
+
+
+def test_distance_blocks_by_all_faces(make, sizes_of, cube):
+    """Several labels with holes; bars of 4 x 4 lines over blocks that do not divide the volume."""
+    rng = np.random.default_rng(8)
+    volume = np.kron(rng.integers(0, 4, (2, 3, 4)), np.ones((3, 4, 4), dtype=int))[:6, :11, :13]
+    block, resolution = {"z": 4, "y": 5, "x": 6}, {"z": 3.0, "y": 2.0, "x": 1.0}
+    packed = border.Layer(blocks.to_blocks(make(volume), block, sizes_of(volume), "u16"), "u16")
+    got = cube(blocks.to_voxels(labels.distance_blocks(packed, resolution, block, sizes_of(volume), tile=4), block, "u16"), volume.shape)
+    step = np.array([resolution[a] for a in "zyx"])
+    faces = []  # (centre in half voxels, axis)
+    for axis in range(3):
+        for p in np.ndindex(*[n + (i == axis) for i, n in enumerate(volume.shape)]):
+            before = tuple(c - (i == axis) for i, c in enumerate(p))
+            edge = p[axis] in (0, volume.shape[axis])
+            if edge or volume[before] != volume[p] or volume[before] == 0:
+                faces.append([2 * c + (i != axis) for i, c in enumerate(p)] + [axis])
+    faces = np.array(faces)
+    for p in np.ndindex(*volume.shape):
+        gap = np.abs(2 * np.array(p) + 1 - faces[:, :3]).astype(float)
+        across = np.arange(3)[None] == faces[:, 3:]
+        gap = np.where(across, gap, np.maximum(0, gap - 1))
+        assert got[p] == np.floor(np.sqrt(((gap * step / 2) ** 2).sum(axis=1).min()) + 0.5)

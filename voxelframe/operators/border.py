@@ -44,9 +44,12 @@ class Layer:
         self.blocks, self.dtype, self.background = blocks, dtype, background
 
 
-def pieces(layers: list[Layer], block: dict[str, int], halo: dict[str, int], sizes: DataFrame, dense: bool = True) -> DataFrame:
-    """Parts of all layers' blocks under the keys of the blocks that need them."""
-    side, wide = [block[a] for a in AXES], [halo.get(a, 0) for a in AXES]
+def pieces(layers: list[Layer], block: dict[str, int], halo: dict[str, int], sizes: DataFrame, dense: bool = True,
+           target: dict[str, int] | None = None) -> DataFrame:
+    """Parts of all layers' blocks under the keys of the blocks that need them, on the grid ``target`` (else the same).
+    A layer whose rows name their own number (``layer``) holds several of the same pixel type."""
+    source, side = [block[a] for a in AXES], [(target or block)[a] for a in AXES]
+    wide = [halo.get(a, 0) for a in AXES]
     aside = F.col("aside").cast("double") if "aside" in sizes.columns else F.lit(0.0)
     sizes = measured(sizes)
     extents = small(sizes).select("dataset", *[F.col(f"n{a}").cast("long").alias(f"e{a}") for a in AXES], aside.alias("aside"))
@@ -57,7 +60,7 @@ def pieces(layers: list[Layer], block: dict[str, int], halo: dict[str, int], siz
                 for r in batch.to_pylist():
                     cube = np.frombuffer(r["data"], dtype=kind).reshape(r["nz"], r["ny"], r["nx"])
                     extent = [r[f"e{a}"] for a in AXES]
-                    low = [r[f"g{a}"] * b for a, b in zip(AXES, side)]
+                    low = [r[f"g{a}"] * b for a, b in zip(AXES, source)]
                     high = [min(e, l + n) for e, l, n in zip(extent, low, cube.shape)]
                     if any(h <= l for l, h in zip(low, high)):
                         continue
@@ -67,23 +70,23 @@ def pieces(layers: list[Layer], block: dict[str, int], halo: dict[str, int], siz
                         first = [max(l, i * b - w) for l, i, b, w in zip(low, g, side, wide)]
                         last = [min(h, (i + 1) * b + w) for h, i, b, w in zip(high, g, side, wide)]
                         part = cube[tuple(slice(f - l, t - l) for f, t, l in zip(first, last, low))]
-                        rows.append((r["dataset"], *g, number, *first, *part.shape, *extent, r["aside"], part.tobytes()))
+                        rows.append((r["dataset"], *g, r.get("layer", number), *first, *part.shape, *extent, r["aside"], part.tobytes()))
                     yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), _ARROW)], names=_NAMES)
 
         return run
 
     out = None
     for number, layer in enumerate(layers):
-        part = layer.blocks.select(*BLOCKS.names).join(extents, KEY).mapInArrow(cut(number, numpy_type(layer.dtype)), PIECES)
+        part = layer.blocks.select(*BLOCKS.names, *[c for c in ("layer",) if c in layer.blocks.columns]).join(extents, KEY).mapInArrow(cut(number, numpy_type(layer.dtype)), PIECES)
         out = part if out is None else out.unionByName(part)
     if dense:
         none = [F.lit(0).cast("long").alias(p) for p in _PLACES[:6]]
-        cells = block_grid(sizes.select(*KEY, *[f"n{a}" for a in AXES]), block).select(*GRID).join(extents, KEY)
+        cells = block_grid(sizes.select(*KEY, *[f"n{a}" for a in AXES]), target or block).select(*GRID).join(extents, KEY)
         out = out.unionByName(cells.select(*GRID, F.lit(0).alias("layer"), *none, *_PLACES[6:], "aside", F.unhex(F.lit("")).alias("data")))
     return out
 
 
-def _assembled(rows: pd.DataFrame, g: tuple, layers: list[tuple], side: list[int], wide: list[int]):
+def assembled(rows: pd.DataFrame, g: tuple, layers: list[tuple], side: list[int], wide: list[int]):
     """Arrays of all layers with their border, the place of the block in them, and their global origin."""
     extent = [int(rows[f"e{a}"].iat[0]) for a in AXES]
     inner = [(i * b, min(e, (i + 1) * b)) for i, b, e in zip(g, side, extent)]
@@ -111,7 +114,7 @@ def map_bordered(layers: list[Layer], fn: Callable[..., np.ndarray], block: dict
     out_kind, (least, most) = numpy_type(out_dtype), PIXEL_TYPES[out_dtype][1:]
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        cubes, inner, low = _assembled(rows, key[1:], kinds, side, wide)
+        cubes, inner, low = assembled(rows, key[1:], kinds, side, wide)
         out = fn(*cubes, {"low": low, "aside": rows.aside.iat[0]})[inner] if placed else fn(*cubes)[inner]
         if step:
             out = out[tuple(slice(0, (s.stop - s.start) // step[a] * step[a], step[a]) for a, s in zip(AXES, inner))]
@@ -134,7 +137,7 @@ def scan_bordered(layers: list[Layer], fn: Callable[..., tuple[np.ndarray, dict[
     schema = ", ".join(["dataset string", *[f"{a} long" for a in AXES], *[f"{c} double" for c in columns]])
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        cubes, inner, low = _assembled(rows, key[1:], kinds, side, wide)
+        cubes, inner, low = assembled(rows, key[1:], kinds, side, wide)
         picked, values = fn(*cubes)
         at = np.nonzero(picked[inner])
         spot = {a: i + s.start + l for a, i, s, l in zip(AXES, at, inner, low)}
