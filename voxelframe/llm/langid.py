@@ -4,7 +4,8 @@ Features are the n-grams of one to ``ORDER`` code points of the lower-cased text
 hashed into ``2 ** BITS`` cells of its own order's seed. Counts of cells by language come from
 all training rows, summed within a task before they are shuffled, so a language or source with
 a third of the rows costs one row per cell and task. The matrix of log probabilities, languages
-by cells, is broadcast; its size is checked against ``MATRIX_MB``. Scoring gathers matrix rows
+by cells, is broadcast; where it would exceed ``MATRIX_MB``, neighbouring cells are added up
+until it does not. Scoring gathers matrix rows
 for the n-grams of a slice of texts at once; a text longer than a slice is scored in parts.
 
 Null texts and texts without a letter are ``und`` with score 0, as is every text if nothing was
@@ -117,10 +118,15 @@ class Model:
 
 def train(rows: DataFrame, lang_col: str = "lang", text_col: str = "text", bits: int = BITS, smooth: float = SMOOTH) -> Model:
     """Naive Bayes model from all ``rows``; languages times cells come to the driver."""
-    found = written(counts(rows, lang_col, text_col, ORDER, bits), "cells")
-    langs = sorted(r["lang"] for r in found.where("cell = -1").select("lang").limit(1 + (MATRIX_MB << 20) // (4 << bits)).collect())
-    if len(langs) << (bits + 2) > MATRIX_MB << 20:
-        raise ValueError(f"more languages than a matrix of {MATRIX_MB} MB holds; lower bits")
+    found, room = written(counts(rows, lang_col, text_col, ORDER, bits), "cells"), MATRIX_MB << 18
+    many, least = found.where("cell = -1").count(), bits
+    while many << bits > room and bits > 1:
+        bits -= 1
+    if bits < least:  # neighbouring cells become one: a cell is the upper bits of a hash
+        found = found.groupBy("lang", F.when(F.col("cell") < 0, F.col("cell")).otherwise(F.shiftright("cell", least - bits)).alias("cell")).agg(F.sum("n").alias("n"))
+    langs = sorted(r["lang"] for r in found.where("cell = -1").select("lang").limit(1 + (room >> bits)).collect())
+    if len(langs) << bits > room:
+        raise ValueError(f"{len(langs)} languages are more than a matrix of {MATRIX_MB} MB holds at two cells each")
     n = np.zeros((len(langs), (1 << bits) + 1))
     at = found.toPandas() if langs else pd.DataFrame({"lang": [], "cell": [], "n": []})
     n[pd.Categorical(at["lang"], categories=langs).codes, at["cell"].to_numpy(dtype=np.int64) + 1] = at["n"]

@@ -2,9 +2,12 @@
 
 Patterns (base spans): an assignment to a name such as ``password`` whose value has six
 characters or more, an access key id of 20 or more, a run of 24 or more lower-case hex
-digits. Markov spans: other runs of 16 or more characters of ``ALPHABET`` whose letters
-follow each other as in random strings rather than as in ordinary identifiers. Both
-models are first-order, with a start state; the random one learns from the values of base
+digits. Markov spans: stretches of 16 or more characters of ``ALPHABET`` whose letters
+follow each other as in random strings rather than as in ordinary identifiers. A running sum
+of the log ratios, less ``FLOOR`` a character and reset at zero or ``DROP`` below its best,
+finds them inside longer runs, so a key in a path or after a name is reported without these;
+a run without such a stretch that is random as a whole is reported whole. A stretch that
+overlaps a base span, or lies behind one that begins inside its run, is left out. Both models are first-order, with a start state; the random one learns from the values of base
 spans with a uniform prior, the ordinary one from other runs of ten characters or more and
 from names made of the first ``WORDS`` words of a text (joined by a sign, or capitalised), both
 from a sample of about ``SAMPLE`` documents. Only ``(len(ALPHABET) + 1) ** 2`` log
@@ -38,6 +41,8 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 RUN = r"[A-Za-z0-9+/_-]{%d,}"
 LEAST, LEARN, WORDS, SAMPLE = 16, 10, 12, 20_000
 TOTAL, MEAN = 20.0, 1.5  # nats: of a whole run, and of one of its characters, from which it counts as random
+FLOOR = MEAN / 2  # nats a character that a stretch must win to go on
+DROP = TOTAL  # nats lost since its best place at which a stretch ends there
 KINDS = ["assign", "access", "hex", "markov"]
 _NONE = "array<string>"
 
@@ -105,29 +110,65 @@ def ratios(random: dict, ordinary: dict, weight: float = 10.0) -> list[float]:
     return out
 
 
-def _random(run: Column, model: list[float]) -> Column:
-    """Whether a run's log ratio says random."""
+def _ratios(run: Column, model: list[float]) -> Column:
+    """Log ratio of each character of a run."""
     cells = F.split(F.lit(",".join(map(repr, model))), ",").cast("array<double>")  # folded to one constant
     size = len(ALPHABET) + 1
-    start = F.struct(F.lit(0).alias("p"), F.lit(0.0).alias("s"))
-    step = lambda a, c: F.struct(c.alias("p"), (a["s"] + F.get(cells, a["p"] * size + c)).alias("s"))
-    score = F.aggregate(_codes(run), start, step, lambda a: a["s"])
-    return (score >= TOTAL) & (score >= MEAN * F.length(run))
+    look = lambda p, c: F.get(cells, p * size + c)
+    before = lambda cs: F.concat(F.array(F.lit(0)), F.slice(cs, 1, F.size(cs) - 1))
+    return F.get(F.transform(F.array(_codes(run)), lambda cs: F.zip_with(before(cs), cs, look)), F.lit(0))
 
 
-def _good(rank: int, model: list[float], z: Column) -> Column:
-    if rank == 0:
-        return F.length(z["value"]) >= VALUE
-    return _random(z["hit"], model) if rank == 3 else F.lit(True)
+def _stretches(run: Column, model: list[float]) -> Column:
+    """Random stretches of a run, as an array of (a, b), or the whole run."""
+    pair = lambda a, b: F.array(F.struct(a.alias("a"), b.alias("b")))
+    zero, none = F.lit(0.0), F.array().cast("array<struct<a:int,b:int>>")
+    start = F.struct(F.lit(0).alias("i"), zero.alias("s"), zero.alias("t"), zero.alias("whole"), F.lit(0).alias("a"), F.lit(0).alias("b"),
+                     zero.alias("best"), zero.alias("won"), none.alias("out"))
+
+    def closed(x: Column) -> Column:
+        size = x["b"] - x["a"]
+        good = (size >= LEAST) & (x["won"] >= TOTAL) & (x["won"] >= MEAN * size)
+        return F.when(good, F.concat(x["out"], pair(x["a"], x["b"]))).otherwise(x["out"])
+
+    def step(x: Column, r: Column) -> Column:
+        s, after = x["s"] + r - FLOOR, x["i"] + 1
+        reset, higher = (s <= 0) | (s < x["best"] - DROP), s > x["best"]
+        kept = lambda new, old: F.when(reset, new).otherwise(old)
+        return F.struct(after.alias("i"), kept(zero, s).alias("s"), kept(zero, x["t"] + r).alias("t"), (x["whole"] + r).alias("whole"),
+                        kept(after, x["a"]).alias("a"), F.when(reset | higher, after).otherwise(x["b"]).alias("b"),
+                        kept(zero, F.greatest(s, x["best"])).alias("best"),
+                        kept(zero, F.when(higher, x["t"] + r).otherwise(x["won"])).alias("won"), kept(closed(x), x["out"]).alias("out"))
+
+    def done(x: Column) -> Column:
+        return F.struct(closed(x).alias("out"), ((x["whole"] >= TOTAL) & (x["whole"] >= MEAN * x["i"])).alias("good"), x["i"].alias("n"))
+
+    found = F.transform(F.array(F.aggregate(_ratios(run, model), start, step, done)), lambda x: F.when((F.size(x["out"]) == 0) & x["good"], pair(F.lit(0), x["n"])).otherwise(x["out"]))
+    return F.get(found, F.lit(0))
+
+
+def _parts(rank: int, model: list[float], z: Column) -> Column:
+    """The parts of a hit that are secrets, as an array of (a, b)."""
+    if rank == 3:
+        return _stretches(z["hit"], model)
+    whole = F.array(F.struct(F.lit(0).alias("a"), F.length(z["hit"]).alias("b")))
+    return F.filter(whole, lambda _: F.length(z["value"]) >= VALUE) if rank == 0 else whole
 
 
 def _measured(rank: int, model: list[float]):
     return lambda z, i: F.struct(F.lit(rank).alias("rank"), i.alias("i"), F.length(z["gap"]).alias("gap"),
-                                 F.length(z["hit"]).alias("size"), _good(rank, model, z).alias("good"))
+                                 F.length(z["hit"]).alias("size"), _parts(rank, model, z).alias("parts"))
 
 
 def _replaced(rank: int, model: list[float], mark: str):
-    return lambda z: F.concat(z["gap"], F.when(z["hit"].isNull(), "").when(_good(rank, model, z), mark).otherwise(z["hit"]))
+    def fn(z: Column) -> Column:
+        cut = lambda a, b: F.substring(z["hit"], a + 1, b - a)
+        start = F.struct(F.lit(0).alias("at"), z["gap"].alias("text"))
+        step = lambda x, p: F.struct(p["b"].alias("at"), F.concat(x["text"], cut(x["at"], p["a"]), F.lit(mark)).alias("text"))
+        rest = F.aggregate(_parts(rank, model, z), start, step, lambda x: F.concat(x["text"], cut(x["at"], F.length(z["hit"]))))
+        return F.when(z["hit"].isNull(), z["gap"]).otherwise(rest)
+
+    return fn
 
 
 def spans(docs: DataFrame, model: list[float], keep: list[str], text_col: str = "text") -> DataFrame:
@@ -147,14 +188,14 @@ def spans(docs: DataFrame, model: list[float], keep: list[str], text_col: str =
     rows = rows.withColumn("end", F.sum(F.col("gap") + F.col("size")).over(upto)).withColumn("start", F.col("end") - F.col("size"))
     # a Markov span only adds: it must not touch a base span before or after it
     order = W.partitionBy("uid").orderBy("start", "rank")
-    solid = (F.col("rank") < 3) & F.col("good")
-    left = F.max(F.when(solid, F.col("end"))).over(order.rowsBetween(W.unboundedPreceding, -1))
-    right = F.min(F.when(solid, F.col("start"))).over(order.rowsBetween(1, W.unboundedFollowing))
-    rows = rows.withColumn("left", left).withColumn("right", right)
-    free = F.coalesce(F.col("left") <= F.col("start"), F.lit(True)) & F.coalesce(F.col("right") >= F.col("end"), F.lit(True))
-    span = F.struct("start", "rank", "end")
-    done = rows.groupBy("uid").agg(F.first("row").alias("row"), F.array_sort(F.collect_list(F.when(solid, span))).alias("base"),
-                                   F.array_sort(F.collect_list(F.when(F.col("good") & ((F.col("rank") < 3) | free), span))).alias("spans"))
+    solid = (F.col("rank") < 3) & (F.size("parts") > 0)
+    rows = rows.withColumn("left", F.max(F.when(solid, F.col("end"))).over(order.rowsBetween(W.unboundedPreceding, -1)))
+    rows = rows.withColumn("right", F.min(F.when(solid, F.col("start"))).over(order.rowsBetween(1, W.unboundedFollowing)))
+    found = F.transform("parts", lambda p: F.struct((F.col("start") + p["a"]).alias("start"), F.col("rank").alias("rank"), (F.col("start") + p["b"]).alias("end")))
+    free = F.filter(found, lambda s: (s["rank"] < 3) | ((F.coalesce("left", F.lit(0)) <= s["start"]) & F.coalesce(F.col("right") >= s["end"], F.lit(True))))
+    rows = rows.withColumn("all", free)
+    done = rows.groupBy("uid").agg(F.first("row").alias("row"), F.array_sort(F.flatten(F.collect_list(F.when(solid, F.col("all"))))).alias("base"),
+                                   F.array_sort(F.flatten(F.collect_list("all"))).alias("spans"))
     return done.select("row.*", "base", "spans")
 
 
