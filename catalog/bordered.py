@@ -8,7 +8,7 @@ from catalog.stencils import SIGMA, WEIGHTED
 from catalog.surfaces import outside
 from voxelframe.operators import blocks, border, pixel
 
-BLOCK = {"z": 2, "y": 8, "x": 6}
+BLOCK = {"z": 16, "y": 10, "x": 14}
 
 
 def layer(f, vox=None, dtype="u8"):
