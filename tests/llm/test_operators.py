@@ -396,7 +396,7 @@ def test_plan_is_best_fit_decreasing():
         rng = random.Random(seed)
         prices = {16: 20 + 9 * rng.random(), 32: 30 + 20 * rng.random(), 64: 50 + 60 * rng.random()}
         sizes = [min(64, 1 + int(rng.expovariate(1 / rng.choice([5, 12, 30])))) for _ in range(rng.randint(0, 200))]
-        steps = packing.plan(Counter(sizes), (16, 32, 64), prices.get)
+        steps = packing.plan(Counter(sizes), packing.by_piece((16, 32, 64), prices.get))
         content = defaultdict(list)
         for s in steps:
             for j in range(s.count * s.each):
@@ -411,6 +411,52 @@ def test_plan_is_best_fit_decreasing():
             assert length == min(n for n in (16, 32, 64) if n >= used)
 
 
+def _least_price(sizes, lengths, price):
+    """Exhaustive: the pieces in all ways into sequences."""
+    best = [float("inf")]
+
+    def place(i, bins):
+        if i == len(sizes):
+            best[0] = min(best[0], sum(price(min(n for n in lengths if n >= b)) for b in bins))
+            return
+        for j in range(len(bins)):
+            if bins[j] + sizes[i] <= max(lengths):
+                place(i + 1, bins[:j] + [bins[j] + sizes[i]] + bins[j + 1:])
+        place(i + 1, [*bins, sizes[i]])
+
+    place(0, [])
+    return best[0]
+
+
+def test_lengths_are_chosen_jointly():
+    lengths, joint, exact = (16, 32, 64), 0, 0
+    for seed in range(150):
+        rng = random.Random(1000 + seed)
+        prices = {16: 20 + 9 * rng.random(), 32: 30 + 20 * rng.random(), 64: 50 + 60 * rng.random()}
+        sizes = [min(64, 1 + int(rng.expovariate(1 / rng.choice([5, 12, 30])))) for _ in range(rng.randint(1, 7))]
+        histogram = Counter(sizes)
+        price = lambda steps: packing.total(steps, lengths, prices.get)
+        got = price(packing.cheapest(histogram, lengths, prices.get))
+        alone = price(packing.plan(histogram, packing.by_piece(lengths, prices.get)))
+        used = [b[1] for b in _greedy(sizes, lengths, prices.get)]
+        assert alone == pytest.approx(sum(prices[min(n for n in lengths if n >= u)] for u in used))
+        least = _least_price(sizes, lengths, prices.get)
+        assert least - 1e-9 <= got <= alone + 1e-9 and got < 1.35 * least
+        joint, exact = joint + (got < alone - 1e-9), exact + (got < least + 1e-9)
+    assert joint >= 5 and exact >= 140
+    assert packing.cheapest({}) == []
+
+
+def test_a_joint_choice_spares_a_long_sequence():
+    """A long sequence is cheapest per token, but nothing is left to fill it with."""
+    prices = {10: 10.5, 100: 90.0}
+    steps = packing.plan({6: 3}, packing.jointly({6: 3}, (10, 100), prices.get))
+    assert [(s.length, s.count, s.each) for s in steps] == [(10, 3, 1)]
+    assert [(s.length, s.count) for s in packing.plan({6: 3}, packing.by_piece((10, 100), prices.get))] == [(100, 1)]
+    many = packing.plan({6: 10 ** 9}, packing.jointly({6: 10 ** 9}, (10, 100), prices.get))
+    assert {s.length for s in many} == {100} and len(many) <= 3 and sum(s.count * s.each for s in many) == 10 ** 9
+
+
 def test_sequences_hold_every_token_once(spark, docs, texts):
     lengths = (64, 256, 1024)
     rows = packing.sequences(docs, lengths=lengths).collect()
@@ -424,7 +470,8 @@ def test_sequences_hold_every_token_once(spark, docs, texts):
     items = written(packing.pieces(docs, ["doc_id"], longest=1024), "test")
     sizes = [r["size"] for r in items.collect()]
     greedy = _greedy(sizes, lengths, packing.cost)
-    assert len(rows) == len(greedy) and sum(sizes) == sum(r["used"] for r in rows)
+    used = [min(n for n in lengths if n >= b[1]) for b in greedy]
+    assert sum(packing.cost(r["length"]) for r in rows) <= sum(map(packing.cost, used)) and sum(sizes) == sum(r["used"] for r in rows)
 
 
 # contamination

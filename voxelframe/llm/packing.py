@@ -3,9 +3,14 @@
 A document's tokens are its words with the white space that follows, and one end; null and
 empty texts are an end alone. Documents longer than the longest permitted sequence are cut
 into pieces, none is dropped. Pieces are packed by decreasing length: each goes to the open
-sequence with the least room that holds it; if there is none, the length that costs least per
-token, of those that hold the piece, is opened. Finally each sequence takes the shortest
-permitted length that holds its contents.
+sequence with the least room that holds it; if there is none, a new one is opened. Finally each
+sequence takes the shortest permitted length that holds its contents.
+
+Which length is opened is chosen over all lengths jointly: for every length that holds the piece
+the sequence is filled, on trial, with the longest pieces not yet planned for, and the length
+whose filled and downsized sequence costs least per token is opened, as often as these pieces
+last. That packing is held against those that open the length cheapest for the piece alone, and
+one length only where it holds the piece; the cheapest of all is taken.
 
 Equal pieces are interchangeable, so the packing is worked out on the histogram of lengths, at
 most as many rows as the longest sequence has tokens, and gives one packing over all data. Its
@@ -60,12 +65,71 @@ class Step:
     children: list[int] = field(default_factory=list)
 
 
-def plan(histogram: dict[int, int], lengths: tuple[int, ...] = LENGTHS, price: Callable[[int], float] = cost) -> list[Step]:
-    """Steps of the packing of ``histogram`` (size to number of pieces)."""
+Opener = Callable[[int, int], tuple[int, int]]  # size and number of pieces left -> length to open, and how often
+
+
+def by_piece(lengths: tuple[int, ...], price: Callable[[int], float]) -> Opener:
+    """The length that costs least per token, of those that hold the piece."""
+    return lambda size, rest: (min((n for n in lengths if n >= size), key=lambda n: (price(n) / n, n)), rest)
+
+
+def preferring(length: int, lengths: tuple[int, ...]) -> Opener:
+    """One length; the shortest that holds the piece where it does not."""
+    return lambda size, rest: (length if length >= size else min(n for n in lengths if n >= size), rest)
+
+
+def jointly(histogram: dict[int, int], lengths: tuple[int, ...], price: Callable[[int], float]) -> Opener:
+    """The length whose sequence, filled with the longest pieces not yet planned for, costs least per token."""
+    spare, order, lengths = dict(histogram), sorted(histogram), sorted(lengths)
+
+    def filled_with(size: int, length: int) -> tuple[dict[int, int], int]:
+        free, inside, i = length, {}, bisect.bisect_left(order, size)
+        while i >= 0 and free:
+            s = order[i]
+            if k := min(spare[s], free // s):
+                inside[s], free = k, free - k * s
+            i = min(i, bisect.bisect_right(order, free)) - 1
+        return inside, length - free
+
+    def opened(size: int, rest: int) -> tuple[int, int]:
+        if size not in spare:
+            bisect.insort(order, size)
+        spare[size] = max(spare.get(size, 0), rest)
+        best = None
+        for n in lengths[bisect.bisect_left(lengths, size):]:
+            inside, used = filled_with(size, n)
+            key = (price(lengths[bisect.bisect_left(lengths, used)]) / used, n)
+            if best is None or key < best[0]:
+                best = key, n, inside
+        _, length, inside = best
+        times = min(spare[s] // k for s, k in inside.items())
+        for s, k in inside.items():
+            spare[s] -= k * times
+            if not spare[s]:
+                del spare[s], order[bisect.bisect_left(order, s)]
+        return length, times
+
+    return opened
+
+
+def total(steps: list[Step], lengths: tuple[int, ...], price: Callable[[int], float]) -> float:
+    """Price of all sequences after downsizing."""
+    ends = filled(steps, lengths)
+    after = [e[0] for e in ends[1:]] + [sum(s.count for s in steps if s.parent < 0)]
+    return sum((b - a) * price(n) for (a, _, n), b in zip(ends, after))
+
+
+def cheapest(histogram: dict[int, int], lengths: tuple[int, ...] = LENGTHS, price: Callable[[int], float] = cost) -> list[Step]:
+    """Steps of the cheapest of the packings that differ in the lengths they open."""
+    openers = [jointly(histogram, lengths, price), by_piece(lengths, price), *[preferring(n, lengths) for n in sorted(lengths)]]
+    return min((plan(histogram, o) for o in openers), key=lambda steps: total(steps, lengths, price))
+
+
+def plan(histogram: dict[int, int], opener: Opener) -> list[Step]:
+    """Steps of the best-fit packing of ``histogram`` (size to number of pieces) that opens what ``opener`` says."""
     steps: list[Step] = []
     room: dict[int, list[tuple[int, int]]] = {}  # free tokens -> (step, sequences that still end with it)
     order: list[int] = []
-    lengths = tuple(sorted(lengths))
 
     def put(size, each, count, rank, offset, length, parent):
         steps.append(Step(size, each, count, rank, offset, length, parent))
@@ -92,8 +156,8 @@ def plan(histogram: dict[int, int], lengths: tuple[int, ...] = LENGTHS, price: C
                     del room[free], order[i]
                 offset, length = steps[at].offset + steps[at].size * steps[at].each, steps[at].length
             else:
-                length = min((n for n in lengths if n >= size), key=lambda n: (price(n) / n, n))
-                at, free, offset, count = -1, length, 0, rest
+                length, count = opener(size, rest)
+                at, free, offset = -1, length, 0
             each = free // size
             full = min(count, rest // each)
             if full:
@@ -143,7 +207,7 @@ def pack(items: DataFrame, lengths: tuple[int, ...] = LENGTHS, price: Callable[[
     chunk = F.shiftright("uid", 33).alias("chunk")  # the partition that numbered the row
     counts = items.groupBy("size", chunk).agg(F.count(F.lit(1)).alias("n"))
     histogram = {r["size"]: r["n"] for r in counts.groupBy("size").agg(F.sum("n").alias("n")).collect()}
-    steps = plan(histogram, lengths, price)
+    steps = cheapest(histogram, lengths, price)
     ends = filled(steps, lengths)
     steps = sorted(steps, key=lambda s: (s.size, s.rank))
     key = np.array([(s.size << 44) + s.rank for s in steps], dtype=np.int64)
