@@ -113,6 +113,38 @@ def _(f):
     return volumes.octree_coordinates(f.sql(OCTREE))
 
 
+NODE = {"z": 2, "y": 4, "x": 4}
+DIGIT = "CAST(1 + (shiftright(gx, {0}) & 1) + 2 * (shiftright(gy, {0}) & 1) + 4 * (shiftright(gz, {0}) & 1) AS STRING)"
+
+
+def octree_nodes(f):
+    """Two levels of nodes in two channels: two thirds of the finest, and all that are half as fine."""
+    names = f.em.select("dataset").distinct()
+    fine = blocks.to_blocks(f.em.where("z < 8 AND y < 16 AND x < 16"), NODE, names.selectExpr("dataset", "8L AS nz", "16L AS ny", "16L AS nx"), "u16")
+    half = f.em.where("z < 8 AND y < 16 AND x < 16 AND z % 2 = 0 AND y % 2 = 0 AND x % 2 = 0").selectExpr(
+        "dataset", "z div 2 AS z", "y div 2 AS y", "x div 2 AS x", "v")
+    half = blocks.to_blocks(half, NODE, names.selectExpr("dataset", "4L AS nz", "8L AS ny", "8L AS nx"), "u16")
+    upper, lower = (F.expr(DIGIT.format(bit)) for bit in (1, 0))
+    nodes = fine.where("(gz + gy + gx) % 3 <> 0").withColumn("path", F.concat_ws("/", upper, lower)).unionByName(half.withColumn("path", lower))
+    return nodes.select("dataset", F.explode(F.array(F.lit(0), F.lit(1))).alias("channel"), "path", "data")
+
+
+OCTREE_FINE = """SELECT concat(dataset, '/c', c) AS dataset, z, y, x, v FROM @em, (VALUES ('0'), ('1')) AS u(c)
+WHERE z < 8 AND y < 16 AND x < 16 AND (z // 2 + y // 4 + x // 4) % 3 <> 0 AND v <> 0"""
+
+
+@query("s6_octree_blocks", VOX, f"""SELECT * FROM ({OCTREE_FINE}) UNION ALL SELECT concat(dataset, '/c', c), z + a, y + b, x + d, v
+FROM @em, (VALUES ('0'), ('1')) AS u(c), (VALUES (0), (1)) AS p(a), (VALUES (0), (1)) AS q(b), (VALUES (0), (1)) AS r(d)
+WHERE z < 8 AND y < 16 AND x < 16 AND z % 2 = 0 AND y % 2 = 0 AND x % 2 = 0 AND (z // 2 + y // 4 + x // 4) % 3 = 0 AND v <> 0""")
+def _(f):
+    return blocks.to_voxels(volumes.octree_blocks(octree_nodes(f), 2, NODE), NODE, "u16", skip_background=True)
+
+
+@query("s6_octree_finest", VOX, OCTREE_FINE)
+def _(f):
+    return blocks.to_voxels(volumes.octree_blocks(octree_nodes(f), 2, NODE, fill=False), NODE, "u16", skip_background=True)
+
+
 @query("s7_reblock", VOX, EM)
 def _(f):
     sizes = pixel.extents(f.em)

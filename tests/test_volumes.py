@@ -305,3 +305,37 @@ def test_detection_finds_a_blob(make, sizes_of):
     found = features.detect_dog(make(v, integer=False), 1.5, 5.0, sizes_of(v)).collect()
     assert len(found) == 1
     assert (found[0].z, found[0].y) == (4, 7) and abs(found[0].px - 9.25) < 0.1
+
+
+def test_octree_blocks_show_the_finest_node(spark, cube):
+    """Three levels with gaps at each, an empty fine node, a fine node without a parent and one too deep, against descent by hand."""
+    rng = np.random.default_rng(41)
+    side, levels = {"z": 2, "y": 4, "x": 2}, 3
+    nodes = {"": rng.integers(0, 3, (2, 4, 2)) * 1000, "3": rng.integers(1, 9, (2, 4, 2)), "3/8": np.zeros((2, 4, 2)),
+             "3/8/1": rng.integers(1, 9, (2, 4, 2)), "7/2/5": rng.integers(100, 200, (2, 4, 2)), "3/1/1/1": np.full((2, 4, 2), 77), "1": np.zeros((2, 4, 2))}
+    rows = [("o", c, p, (v * (c + 1)).astype("<u2").tobytes()) for p, v in nodes.items() for c in (0, 1)]
+    df = spark.createDataFrame(rows, "dataset string, channel long, path string, data binary")
+
+    def shown(fill):
+        want = np.zeros((16, 32, 16))
+        for z, y, x in np.ndindex(want.shape):
+            for depth in range(levels, -1 if fill else levels - 1, -1):
+                gone = levels - depth
+                at = [z >> gone, y >> gone, x >> gone]
+                cell = [a // s for a, s in zip(at, (2, 4, 2))]
+                path = "/".join(str(1 + (cell[2] >> b & 1) + 2 * (cell[1] >> b & 1) + 4 * (cell[0] >> b & 1)) for b in reversed(range(depth)))
+                if path in nodes:
+                    want[z, y, x] = nodes[path][tuple(a % s for a, s in zip(at, (2, 4, 2)))]
+                    break
+        return want
+
+    from voxelframe.sources import volumes
+    for fill in (True, False):
+        packed = volumes.octree_blocks(df, levels, side, fill=fill)
+        assert packed.where("dataset = 'o/c0'").count() == sum(b.any() for b in shown(fill).reshape(8, 2, 8, 4, 8, 2).transpose(0, 2, 4, 1, 3, 5).reshape(-1, 16))
+        for c in (0, 1):
+            got = cube(blocks.to_voxels(packed.where(f"dataset = 'o/c{c}'"), side, "u16"), (16, 32, 16), fill=0)
+            assert (got == shown(fill) * (c + 1)).all()
+    root = df.where("path = '' AND channel = 0")
+    assert [(r.gz, r.gy, r.gx) for r in volumes.octree_blocks(root, 0, side).collect()] == [(0, 0, 0)]
+    assert volumes.octree_blocks(df.limit(0), levels, side).count() == 0

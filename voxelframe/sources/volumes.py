@@ -90,7 +90,8 @@ def assemble_tiles(tiles: DataFrame, tile: dict[str, int], block: dict[str, int]
 def octree_coordinates(paths: DataFrame, path: str = "path") -> DataFrame:
     """Grid position of octree nodes from digit paths such as "3/1/8": child k
     sets the bits of k - 1 at the node's depth (x, y, z from the lowest bit)."""
-    digits = F.transform(F.split(F.col(path), "/"), lambda d: d.cast("long") - 1)
+    named = F.filter(F.split(F.col(path), "/"), lambda d: d != "")  # the root's path is empty
+    digits = F.transform(named, lambda d: d.cast("long") - 1)
 
     def fold(bit: int) -> Column:
         return F.aggregate(digits, F.lit(0).cast("long"), lambda acc, d: acc * 2 + F.shiftright(d, bit).bitwiseAND(F.lit(1)))
@@ -98,6 +99,61 @@ def octree_coordinates(paths: DataFrame, path: str = "path") -> DataFrame:
     return paths.withColumns({"gx": fold(0), "gy": fold(1), "gz": fold(2), "depth": F.size(digits)})
 
 
+def octree_blocks(nodes: DataFrame, levels: int, block: dict[str, int], dtype: str = "u16", fill: bool = True) -> DataFrame:
+    """Blocks of the finest grid from sparse octree nodes (dataset, channel, path, data),
+    one row per node and channel; data sets are named "dataset/c<channel>".
+
+    A tree of ``levels`` steps below its root fills 2 ** levels blocks an axis,
+    and every node's payload has one block's shape, whatever its depth. The
+    finest node at a place wins, also where it is empty; with ``fill`` a place
+    without a node at the last level shows its nearest ancestor, each voxel
+    repeated. Blocks of zeros have no row, nodes below the last level no effect.
+
+    A node hands its octants down one level at a time, only those that no node
+    of that level replaces and that are not empty, so a single coarse node
+    spreads over more tasks with every level."""
+    kind, sides = numpy_type(dtype), [block[a] for a in "zyx"]
+    if fill and levels and any(n % 2 for n in sides):
+        raise ValueError("octants need even block sides")
+    named = nodes.select(F.concat_ws("/c", "dataset", "channel").alias("dataset"), "path", "data")
+    named = named.withColumn("depth", F.size(F.filter(F.split("path", "/"), lambda d: d != "")))
+
+    def level(depth: int) -> DataFrame:
+        return named.where(F.col("depth") == depth).select("dataset", "path", "data")
+
+    def hand_down(frames):
+        for frame in frames:
+            rows = []
+            for r in frame.itertuples(index=False):
+                cube = np.frombuffer(r.data, dtype=kind).reshape(sides)
+                taken = set() if r.taken is None else set(r.taken)
+                for digit in range(1, 9):
+                    if str(digit) in taken:
+                        continue
+                    at = [(digit - 1 >> bit & 1) * n // 2 for bit, n in zip((2, 1, 0), sides)]
+                    part = cube[tuple(slice(a, a + n // 2) for a, n in zip(at, sides))]
+                    if part.any():
+                        for axis in range(3):
+                            part = part.repeat(2, axis)
+                        rows.append((r.dataset, f"{r.path}/{digit}".lstrip("/"), part.tobytes()))
+            yield pd.DataFrame(rows, columns=["dataset", "path", "data"])
+
+    def not_empty(frames):
+        for frame in frames:
+            yield frame[[np.frombuffer(d, dtype=kind).any() for d in frame["data"]]]
+
+    found = level(0) if fill else level(levels)
+    for depth in range(1, levels + 1) if fill else ():
+        parent = F.regexp_replace("path", "/?[^/]*$", "")
+        taken = level(depth).select("dataset", parent.alias("path"), F.regexp_extract("path", "([^/]*)$", 1).alias("digit"))
+        taken = taken.groupBy("dataset", "path").agg(F.collect_set("digit").alias("taken"))
+        above = found.join(taken, ["dataset", "path"], "left")
+        found = above.mapInPandas(hand_down, "dataset string, path string, data binary").unionByName(level(depth))
+    nz, ny, nx = [F.lit(n).cast("long") for n in sides]
+    return octree_coordinates(found.mapInPandas(not_empty, found.schema)).select(
+        "dataset", "gz", "gy", "gx", nz.alias("nz"), ny.alias("ny"), nx.alias("nx"), "data")
+
+
 # ---- volume tables ---------------------------------------------------------------
 
 def write_volume(df: DataFrame, path: str, background: float | None = None, block_z: int = 64, mode: str = "error") -> None:
