@@ -150,3 +150,14 @@ avg(sqrt((px + p.x - qx - q.x) ** 2 + (py + p.y - qy - q.y) ** 2)) > 6 AS flagge
 def _(f):
     models = solve.relax(keyed(f), ["g"], "translation", fixed=fixed_tile(f), rounds=3, patience=10)
     return solve.local_versus_global(keyed(f), models, ["g"], "translation")
+
+
+GAP_3D = "avg(sqrt((px + p.x - qx - q.x) ** 2 + 2 * (py + p.y - qy - q.y) ** 2))"
+
+
+@query("i4_local_versus_global_3d", "a b local_error:f global_error:f flagged:b", RELAX + f""", l AS (SELECT a, b, avg(qx - px) AS sx, avg(qy - py) AS sy FROM @matches GROUP BY a, b)
+SELECT m.a, m.b, avg(sqrt((px + sx - qx) ** 2 + 2 * (py + sy - qy) ** 2)) AS local_error, {GAP_3D} AS global_error, {GAP_3D} > 6 AS flagged
+FROM @matches m JOIN l USING (a, b) JOIN t3 p ON p.tile = m.a JOIN t3 q ON q.tile = m.b GROUP BY m.a, m.b""")
+def _(f):
+    models = solve.relax(f.sql(DEEP), ["g"], "translation", fixed=fixed_tile(f), rounds=3, patience=10, dim=3)
+    return solve.local_versus_global(f.sql(DEEP), models, ["g"], "translation", dim=3)

@@ -136,7 +136,7 @@ CAST(x - 0.5 AS DOUBLE) AS qx, CAST(y + 0.25 AS DOUBLE) AS qy, CAST(1 AS DOUBLE)
 
 @query("m18_align_channels", "stack channel z tx:f ty:f")
 def _(f):
-    return registration.align_channels(f.sql(SHIFTED), f.sql(SLICES), rounds=20)
+    return registration.align_channels(f.sql(SHIFTED), f.sql(SLICES))
 
 
 @query("t19_unwarp_volume", "dataset:s z y x v:f")

@@ -68,6 +68,31 @@ def test_channel_alignment_recovers_the_shear(spark):
         assert abs(tx - 2 * z) < 0.4 and abs(ty + z) < 0.4
 
 
+def test_a_wrong_link_bends_its_surroundings_only(spark):
+    """Four series on one shear; in one a link is off by 8. The shear keeps it near, the data alone do not."""
+    rng = np.random.default_rng(24)
+    rows = []
+    for stack in range(4):
+        for z in range(11):
+            off = 8.0 if (stack, z) == (2, 5) else 0.0
+            for x, y in rng.uniform(0, 50, size=(6, 2)):
+                rows.append((stack, 0, z, z + 1, float(x), float(y), float(x - 2 + off), float(y + 1), 1.0))
+    matches = spark.createDataFrame(rows, "stack long, channel long, a long, b long, px double, py double, qx double, qy double, w double")
+    slices = spark.createDataFrame([(s, 0, z) for s in range(4) for z in range(12)], "stack long, channel long, z long")
+
+    known = spark.createDataFrame([(0, 2.0, -1.0)], "channel long, sx double, sy double")
+
+    def gaps(**options):
+        got = registration.align_channels(matches, slices, shear=known, **options).collect()
+        assert len(got) == 48
+        return {(r.stack, r.z): abs(r.tx - 2 * r.z) + abs(r.ty + r.z) for r in got}
+
+    kept, free = gaps(rounds=25), gaps(rounds=50, weights=(0.0,))
+    assert max(v for (n, _), v in kept.items() if n != 2) < 0.05  # the other series lie on the shear
+    assert max(v for (n, _), v in kept.items() if n == 2) < 4 and kept[2, 11] < 1 and kept[2, 1] < 1
+    assert free[2, 8] > 2 and free[2, 8] > 2 * kept[2, 8]
+
+
 def test_prefilter_like_numpy(make, sizes_of, cube):
     v = np.random.default_rng(24).integers(1, 256, size=(2, 14, 12))
     v[:, :3, :] = 0

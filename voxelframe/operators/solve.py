@@ -149,7 +149,8 @@ def pre_align(matches: DataFrame, keys: list[str], fixed: DataFrame, kind: str =
 
 def relax(matches: DataFrame, keys: list[str], kind: str = "affine", regularizer: str | None = None, lam: float = 0.0,
           fixed: DataFrame | None = None, start: DataFrame | None = None, rounds: int = 1000, damp: float = 0.5,
-          plateau: float = 1e-4, patience: int = 5, max_error: float | None = None, dim: int = 2) -> DataFrame:
+          plateau: float = 1e-4, patience: int = 5, max_error: float | None = None, dim: int = 2,
+          prior: DataFrame | None = None, prior_weight: float = 0.0) -> DataFrame:
     """Move every tile towards the current positions of its neighbours until the
     error stops falling, over ``patience`` rounds, by ``plateau`` of itself; with
     ``max_error`` it must also lie below that. ``rounds`` ends a solve that never
@@ -157,7 +158,8 @@ def relax(matches: DataFrame, keys: list[str], kind: str = "affine", regularizer
 
     Matches are summed to one row per tile pair once; every round then joins
     these few rows to the tile models. All tiles of a round move together, by
-    the fraction ``damp``. Fixed tiles keep their start model."""
+    the fraction ``damp``. Fixed tiles keep their start model. With ``prior``
+    (tile, m) every fit is mixed with the tile's prior model by ``prior_weight``."""
     edges = checkpoint(edge_moments(matches, keys, dim))
     identity = _identity(dim)
     models = edges.select(*keys, F.col("a").alias("tile")).distinct()
@@ -166,24 +168,31 @@ def relax(matches: DataFrame, keys: list[str], kind: str = "affine", regularizer
     else:
         models = models.withColumn("m", identity)
     held = models.limit(0).select(*keys, "tile") if fixed is None else fixed.select(*keys, "tile")
-    models = checkpoint(models.join(held.withColumn("held", F.lit(True)), [*keys, "tile"], "left").fillna({"held": False}))
+    models = models.join(held.withColumn("held", F.lit(True)), [*keys, "tile"], "left").fillna({"held": False})
+    if prior is not None:
+        models = models.join(prior.select(*keys, "tile", F.col("m").alias("prior")), [*keys, "tile"], "left")
+    models = checkpoint(models)
     # the number of tiles does not change, so one count decides about the broadcast
     spread = F.broadcast if models.count() <= SMALL_ROWS else lambda df: df
-    best = None
+    best, extra = None, [] if prior is None else ["prior"]
     for step in range(rounds):
         goal = _fit_to(edges, spread(models), keys, kind, regularizer, lam, dim)
         if dim == 3:  # the formulas of a 3-D fit are long, and are named several times below
             goal = checkpoint(goal)
         moved = models.join(goal, [*keys, "tile"], "left")
         solvable = ~F.col("held") & F.coalesce(_solved(), F.lit(False))
-        models = moved.select(*keys, "tile", F.when(solvable, matching.blend(F.col("m"), F.col("goal"), damp)).otherwise(F.col("m")).alias("m"), "held")
+        to = F.col("goal")
+        if prior is not None:
+            to = F.when(F.col("prior").isNull(), to).otherwise(matching.blend(to, F.col("prior"), prior_weight))
+        models = moved.select(
+            *keys, "tile", F.when(solvable, matching.blend(F.col("m"), to, damp)).otherwise(F.col("m")).alias("m"), "held", *extra)
         models = checkpoint(models)
         if (step + 1) % patience == 0:
             error = edge_errors(edges, models, keys, dim).agg(F.sqrt(F.sum(F.col("error") ** 2 * F.col("sw")) / F.sum("sw"))).first()[0]
             if best is not None and best - error < plateau * max(best, 1e-12) and (max_error is None or error <= max_error):
                 break
             best = error
-    return models.drop("held")
+    return models.drop("held", "prior")
 
 
 # Stiffness, most rounds and plateau width of the stages of a volume solve.
@@ -222,20 +231,17 @@ def drop_worst(matches: DataFrame, keys: list[str], limit: float, kind: str = "t
         kept = checkpoint(kept.join(worst, [*group, "mid"], "left_anti"))
 
 
-def local_versus_global(matches: DataFrame, models: DataFrame, keys: list[str], kind: str = "affine", limit: float = 6.0) -> DataFrame:
+def local_versus_global(matches: DataFrame, models: DataFrame, keys: list[str], kind: str = "affine", limit: float = 6.0, dim: int = 2) -> DataFrame:
     """Error of each pair under its own best model and under the global models;
     pairs whose global error exceeds ``limit`` are flagged."""
+    from voxelframe.functions.affine import apply_affine
     from voxelframe.operators.matching import fit_model, residual
 
-    own = matches.join(fit_model(matches, [*keys, "a", "b"], kind).drop("n"), [*keys, "a", "b"])
-    own = own.groupBy(*keys, "a", "b").agg(F.avg(residual()).alias("local_error"))
+    own = matches.join(fit_model(matches, [*keys, "a", "b"], kind, dim=dim).drop("n"), [*keys, "a", "b"])
+    own = own.groupBy(*keys, "a", "b").agg(F.avg(residual(dim=dim)).alias("local_error"))
     placed = matches.join(models.select(*keys, F.col("tile").alias("a"), F.col("m").alias("ma")), [*keys, "a"])
     placed = placed.join(models.select(*keys, F.col("tile").alias("b"), F.col("m").alias("mb")), [*keys, "b"])
-
-    def gap(row: int) -> Column:
-        a, b = F.col("ma"), F.col("mb")
-        left = a[row * 3] * F.col("px") + a[row * 3 + 1] * F.col("py") + a[row * 3 + 2]
-        return left - (b[row * 3] * F.col("qx") + b[row * 3 + 1] * F.col("qy") + b[row * 3 + 2])
-
-    both = placed.groupBy(*keys, "a", "b").agg(F.avg(F.sqrt(gap(0) * gap(0) + gap(1) * gap(1))).alias("global_error"))
+    ends = [apply_affine(F.col(f"m{t}"), [F.col(f"{s}{c}") for c in "xyz"[:dim]]) for t, s in (("a", "p"), ("b", "q"))]
+    square = sum(((u - v) * (u - v) for u, v in zip(*ends)), F.lit(0.0))
+    both = placed.groupBy(*keys, "a", "b").agg(F.avg(F.sqrt(square)).alias("global_error"))
     return own.join(both, [*keys, "a", "b"]).withColumn("flagged", F.col("global_error") > limit)
