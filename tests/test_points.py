@@ -209,3 +209,18 @@ def test_worst_matches_go_one_by_one(spark):
     rows = [(0, 0, 1, i, 1.0, *map(float, p[i]), *map(float, q[i])) for i in range(40)]
     df = spark.createDataFrame(rows, "g long, a long, b long, mid long, w double, px double, py double, pz double, qx double, qy double, qz double")
     assert {r.mid for r in solve.drop_worst(df, ["g"], 0.5).collect()} == set(range(4, 40))
+
+
+def test_consensus_lanes_agree_with_one_task(spark):
+    """Groups above and below a lane, and a group of many matches, find the same model; hypotheses stay in their tasks."""
+    rng = np.random.default_rng(4)
+    rows = pd.DataFrame({"g": np.repeat([0, 1, 2], [3000, 700, 30]), "px": rng.uniform(0, 900, 3730), "py": rng.uniform(0, 900, 3730), "w": 1.0})
+    rows["mid"] = range(len(rows))
+    rows["qx"], rows["qy"] = 1.1 * rows.px - 0.1 * rows.py + 5, 0.2 * rows.px + 0.9 * rows.py - 3
+    rows.loc[rows.mid % 3 == 0, "qx"] += rng.uniform(50, 90, (rows.mid % 3 == 0).sum())
+    df = spark.createDataFrame(rows)
+    want = set(rows.mid[rows.mid % 3 != 0])
+    for lane in (500, 32768):
+        got = matching.ransac(df, ["g"], "affine", iterations=400, epsilon=0.5, lane=lane)
+        assert {r.mid for r in got.collect()} == want
+        assert "models" not in got._jdf.queryExecution().toString()
