@@ -224,3 +224,21 @@ def test_consensus_lanes_agree_with_one_task(spark):
         got = matching.ransac(df, ["g"], "affine", iterations=400, epsilon=0.5, lane=lane)
         assert {r.mid for r in got.collect()} == want
         assert "models" not in got._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("piece", [1 << 22, 2000])
+def test_descriptors_move_once_a_piece(spark, monkeypatch, piece):
+    """Pieces are cut by bytes, not by the rows compared at a time; equal distances take the smaller id."""
+    monkeypatch.setattr(matching, "PIECE_BYTES", piece)
+    rng = np.random.default_rng(6)
+    b = rng.integers(0, 3, size=(90, 6)).astype(float)
+    a = rng.integers(0, 3, size=(70, 6)) + 0.25
+
+    def rows(m):
+        return spark.createDataFrame(pd.DataFrame({"g": 0, "fid": range(len(m)), "desc": [list(map(float, r)) for r in m]}))
+
+    got = {r.a: (r.b, r.d, r.ratio) for r in matching.match_features(rows(a), rows(b), ["g"], 1.01, unique=False, chunk=7).collect()}
+    d = np.sqrt(((a[:, None] - b[None]) ** 2).sum(axis=2))
+    for i, line in enumerate(d):
+        first, second = np.sort(line)[:2]
+        assert got[i] == (int(line.argmin()), pytest.approx(first), pytest.approx(first / second))
