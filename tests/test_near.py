@@ -28,3 +28,12 @@ def test_filters_and_neighbours_by_all_pairs(spark, whole):
         i = np.flatnonzero((at == [r.x, r.y, r.z]).all(axis=1))[0]
         best = [j for j in np.lexsort((np.arange(500), d2[i])) if inside[i, j]][:3]
         assert [n.pid for n in r.near] == best and np.allclose([n.d2 for n in r.near], d2[i, best])
+
+
+def test_sparse_points_get_few_blocks(spark):
+    """A small radius over a wide space is no block for every few points."""
+    rng = np.random.default_rng(9)
+    rows = pd.DataFrame(rng.uniform(0, 400, size=(600, 3)), columns=["x", "y", "z"]).assign(g=0, pid=range(600))
+    df = spark.createDataFrame(rows)
+    seen = near.on_blocks(df, df, ["g"], ["x", "y", "z"], 1.0, lambda a, b: pd.DataFrame({"n": [len(a)]}), "n long").toPandas()
+    assert seen.n.sum() == 600 and len(seen) <= 8 ** 3
