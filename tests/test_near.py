@@ -37,3 +37,74 @@ def test_sparse_points_get_few_blocks(spark):
     df = spark.createDataFrame(rows)
     seen = near.on_blocks(df, df, ["g"], ["x", "y", "z"], 1.0, lambda a, b: pd.DataFrame({"n": [len(a)]}), "n long").toPandas()
     assert seen.n.sum() == 600 and len(seen) <= 8 ** 3
+
+
+@pytest.mark.parametrize("whole", [True, False])
+def test_median_and_weighted_sum_by_all_pairs(spark, whole):
+    """Copies at one place, values that repeat and values that do not; no pair becomes a row."""
+    rng = np.random.default_rng(6)
+    at = rng.integers(0, 12, size=(400, 3)).astype(float) if whole else rng.uniform(0, 12, size=(400, 3))
+    at[300:330] = at[0]
+    spots = np.vstack([at + [1.0, 0.0, 0.0], [[99.0, 99.0, 99.0]]])
+    d2 = ((spots[:, None] - at[None]) ** 2).sum(axis=2)
+    targets = spark.createDataFrame(pd.DataFrame(spots, columns=["x", "y", "z"]).assign(g=0, pid=range(401)))
+    for v in (rng.integers(1, 9, 400).astype(float), rng.normal(size=400)):
+        df = spark.createDataFrame(pd.DataFrame(at, columns=["x", "y", "z"]).assign(g=0, pid=range(400), v=v))
+        inside = d2 <= 9.0
+        medians = [np.median(v[row]) if row.any() else -1.0 for row in inside]
+        sums = np.where(inside.any(1), (inside / (1.0 + d2)) @ v, -1.0)
+        for kind, want in (("median", medians), (points.WeightedSum(lambda d: 1.0 / (1.0 + d)), sums)):
+            out = points.radius_filter(df, targets, ["g"], ["x", "y", "z"], 3.0, kind, fill=-1.0)
+            assert np.allclose(out.toPandas().set_index("pid").v.sort_index(), want)
+            assert "d2#" not in out._jdf.queryExecution().toString()
+
+
+def test_medians_of_many_values_on_a_lattice():
+    """More values in a block than near one line."""
+    rng = np.random.default_rng(8)
+    p, q = rng.integers(0, 30, (300, 3)).astype(float), rng.integers(0, 30, (4000, 3)).astype(float)
+    v, n = rng.normal(size=4000), rng.integers(1, 4, 4000)
+    got = near.ball_medians(p, q, v, n, 2.0)
+    for i in range(300):
+        inside = ((q - p[i]) ** 2).sum(axis=1) <= 4.0
+        assert np.isclose(got[i], np.median(np.repeat(v[inside], n[inside])), equal_nan=True) if inside.any() else np.isnan(got[i])
+
+
+@pytest.mark.parametrize("whole", [True, False])
+@pytest.mark.parametrize("kind", ["translation", "affine"])
+def test_warp_by_all_pairs(spark, whole, kind):
+    """Every point's own model far from the origin, exact hits and points without controls; no pair becomes a row."""
+    rng = np.random.default_rng(7)
+    p = rng.integers(0, 12, size=(300, 3)).astype(float) if whole else rng.uniform(0, 12, size=(300, 3))
+    p = np.unique(p, axis=0) + [5000.0, 200.0, 0.0]
+    q = p * [1.1, 0.9, 1.0] + rng.normal(0, 0.2, p.shape)
+    at = np.vstack([rng.integers(0, 12, size=(60, 3)).astype(float) + [5000.5, 200.0, 0.0], p[:1], [[0.0, 0.0, 0.0]]])
+    controls = spark.createDataFrame(pd.DataFrame(np.hstack([p, q]), columns=["px", "py", "pz", "qx", "qy", "qz"]).assign(g=0, mid=range(len(p))))
+    df = spark.createDataFrame(pd.DataFrame(at, columns=["x", "y", "z"]).assign(g=0, pid=range(len(at))))
+    out = points.mls_warp(df, controls, ["g"], 4.0, kind)
+    assert "NestedLoop" not in out._jdf.queryExecution().toString() and "d2#" not in out._jdf.queryExecution().toString()
+    got = out.toPandas().set_index("pid").sort_index()[["x", "y", "z"]].to_numpy()
+    assert np.allclose(got[60], q[0])
+    for i in range(60):
+        d2 = ((p - at[i]) ** 2).sum(axis=1)
+        near_by = (d2 <= 16.0) & (d2 > 0)
+        w, a, b = 1 / d2[near_by], p[near_by] - at[i], q[near_by] - at[i]
+        mean = [(w[:, None] * m).sum(0) / w.sum() for m in (a, b)]
+        want = at[i] + mean[1] - mean[0]
+        if kind == "affine" and near_by.sum() > 6:
+            root = np.sqrt(w)[:, None]
+            linear = np.linalg.lstsq(root * (a - mean[0]), root * (b - mean[1]), rcond=None)[0]
+            want = at[i] + mean[1] - mean[0] @ linear
+        assert np.allclose(got[i], want, atol=1e-6)
+
+
+def test_sums_by_lines_and_by_pairs_agree(monkeypatch):
+    """Where coordinates repeat both ways are open, and the cheaper one is taken."""
+    rng = np.random.default_rng(12)
+    p, q = rng.integers(0, 20, (500, 3)).astype(float), rng.integers(0, 20, (3000, 3)).astype(float)
+    values, weights = [rng.normal(size=3000) for _ in range(3)], [None, near.inverse_square, near.inverse_square]
+    found = []
+    for step in (0.0, 1e9):
+        monkeypatch.setattr(near, "STEP", step)
+        found.append(near.ball_sums(p, q, values, weights, 4.0))
+    assert np.allclose(*found)
