@@ -45,3 +45,36 @@ def test_small_blocks_do_not_call_python_one_by_one(spark, make, sizes_of, cube,
     assert (cube(blocks.to_voxels(blocks.to_blocks(vox, block, sizes), block), v.shape) == v).all()
     few = features.block_votes(vox, vox, 2, [1, 2], sizes, {"y": 6, "x": 8})
     assert few.exceptAll(votes).isEmpty() and votes.exceptAll(few).isEmpty()
+
+
+def test_pre_alignment_passes_pieces_and_not_single_tiles(spark, monkeypatch):
+    """Chains, rings and an unreached part: shifts as tile by tile, whole graphs at once and in many small pieces."""
+    from voxelframe.operators import solve
+
+    rng = np.random.default_rng(4)
+    pairs = [(i, i + 1) for i in range(40)] + [(41, 3), (41, 5), (42, 41), (20, 42), (60, 61), (30, 10)] + [(i, i + 7) for i in range(22, 30)]
+    rows = [(0, int(a), int(b), k, *map(float, rng.normal(size=4)), float(rng.uniform(0.5, 2))) for a, b in pairs for k in range(3)]
+    matches = spark.createDataFrame(rows, "g long, a long, b long, mid long, px double, py double, qx double, qy double, w double")
+    placed = {0: np.zeros(2)}
+    while True:
+        new = {}
+        for tile in {t for pair in pairs for t in pair} - set(placed):
+            parts = [(r[8], np.array(s * (np.array(r[6:8]) - np.array(r[4:6]))) + placed[o]) for r in rows
+                     for m, o, s in ((r[1], r[2], 1), (r[2], r[1], -1)) if m == tile and o in placed]
+            if parts:
+                new[tile] = sum(w * t for w, t in parts) / sum(w for w, _ in parts)
+        if not new:
+            break
+        placed.update(new)
+    fixed = spark.createDataFrame([(0, 0)], "g long, tile long")
+    jobs = []
+    kept = solve.checkpoint
+    monkeypatch.setattr(solve, "checkpoint", lambda df: jobs.append(1) or kept(df))
+    for piece in (1 << 16, 14):
+        monkeypatch.setattr(solve, "PIECE", piece)
+        got = {r.tile: (r.m[2], r.m[5]) for r in solve.pre_align(matches, ["g"], fixed).collect()}
+        assert set(got) == set(placed) and all(np.allclose(got[t], placed[t]) for t in placed)
+        if piece > 100:
+            assert len(jobs) < 12
+    sizes = solve.tile_pieces(solve.edge_moments(matches, ["g"]), ["g"]).groupBy("piece").count().toPandas()["count"]
+    assert 4 < len(sizes) < 30

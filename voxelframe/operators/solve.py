@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxelframe.operators import matching
@@ -133,10 +135,119 @@ def _solved(goal: str = "goal") -> Column:
     return F.col(goal).isNotNull() & ~F.exists(goal, lambda c: c.isNull())
 
 
+# Fixed value: directed tile pairs that one task of the pre-alignment may hold, unless a single tile has more.
+PIECE = 1 << 16
+
+
+def tile_pieces(edges: DataFrame, keys: list[str]) -> DataFrame:
+    """Connected pieces (tile, piece) of a tile graph (directed rows a, b) with at
+    most ``PIECE`` rows each; a smaller graph is one piece. In every round half of the pieces, by hash, join a
+    neighbour of the other half, as many as fit, the smallest first."""
+    totals = edges.groupBy(*keys).agg(F.count(F.lit(1)).alias("_total"), F.min("a").alias("_least"))
+    pieces = edges.groupBy(*keys, F.col("a").alias("tile")).agg(F.count(F.lit(1)).alias("n")).join(totals, keys)
+    pieces = checkpoint(pieces.select(*keys, "tile", F.when(F.col("_total") <= PIECE, F.col("_least")).otherwise(F.col("tile")).alias("piece"), "n"))
+    if totals.where(F.col("_total") > PIECE).isEmpty():
+        return pieces.select(*keys, "tile", "piece")
+    links, turn, idle = checkpoint(edges.select(*keys, "a", "b").where("a <> b").distinct()), 0, 0
+    while idle < 4:
+        sizes = pieces.groupBy(*keys, "piece").agg(F.sum("n").alias("n"))
+        named = {e: pieces.select(*keys, F.col("tile").alias(e), F.col("piece").alias(f"_{e}")) for e in "ab"}
+        near = links.join(named["a"], [*keys, "a"]).join(named["b"], [*keys, "b"]).where("_a <> _b").select(*keys, "_a", "_b").distinct()
+        side = [F.pmod(F.xxhash64(F.col(c), F.lit(turn)), F.lit(2)) for c in ("_a", "_b")]
+        near = near.where((side[0] == 0) & (side[1] == 1))
+        near = near.join(sizes.select(*keys, F.col("piece").alias("_a"), F.col("n").alias("_na")), [*keys, "_a"])
+        near = near.join(sizes.select(*keys, F.col("piece").alias("_b"), F.col("n").alias("_nb")), [*keys, "_b"]).where(F.col("_na") + F.col("_nb") <= PIECE)
+        joins = near.groupBy(*keys, "_a").agg(F.min(F.struct("_nb", "_b", "_na")).alias("to")).select(*keys, F.col("_a").alias("piece"), "to.*")
+        upto = F.sum("_na").over(Window.partitionBy(*keys, "_b").orderBy("_na", "piece").rowsBetween(Window.unboundedPreceding, 0))
+        joins = joins.withColumn("_upto", upto).where(F.col("_upto") + F.col("_nb") <= PIECE)
+        joins = checkpoint(joins.select(*keys, "piece", "_b"))
+        turn, idle = turn + 1, idle + 1 if joins.isEmpty() else 0
+        pieces = checkpoint(pieces.join(joins, [*keys, "piece"], "left").select(*keys, "tile", F.coalesce("_b", "piece").alias("piece"), "n"))
+    return pieces.select(*keys, "tile", "piece")
+
+
+def _pre_align_shifts(edges: DataFrame, keys: list[str], fixed: DataFrame, dim: int) -> DataFrame:
+    """Pre-alignment by translations on pieces of the tile graph. A task walks its
+    piece outwards from what it knows of the tiles next to it, so a round passes
+    whole pieces and not one tile; the rounds end when no tile's distance
+    (``hops``) or shift changes any more."""
+    ax = "xyz"[:dim]
+    shifts = [f"t{c}" for c in ax]
+    pieces = tile_pieces(edges, keys)
+    rows = edges.where("a <> b and sw > 0").select(*keys, F.col("a").alias("tile"), "b", "sw", *[(F.col(f"sq{c}") - F.col(f"sp{c}")).alias(f"d{c}") for c in ax])
+    rows = rows.join(pieces, [*keys, "tile"]).join(pieces.select(*keys, F.col("tile").alias("b"), F.col("piece").alias("of")), [*keys, "b"])
+    rows = checkpoint(rows.withColumn("outside", F.col("piece") != F.col("of")).drop("of"))
+    border = checkpoint(rows.where("outside").select(*keys, "piece", F.col("b").alias("tile")).distinct())
+    start = fixed.select(*keys, "tile").distinct().join(pieces, [*keys, "tile"])
+    start = checkpoint(start.select(*keys, "piece", "tile", F.lit(0).cast("long").alias("hops"), *[F.lit(0.0).alias(t) for t in shifts]))
+    schema = ", ".join([*[f"`{c}` {start.schema[c].dataType.simpleString()}" for c in keys], f"piece {start.schema['piece'].dataType.simpleString()}",
+                        f"tile {start.schema['tile'].dataType.simpleString()}", "hops long", *[f"{t} double" for t in shifts]])
+    names = [*keys, "piece", "tile", "hops", *shifts]
+
+    def walk(links: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        if links.empty or known.empty:
+            return known[known["tile"].isin(set())][names]
+        links = links.sort_values(["tile", "b"])
+        tiles, a = np.unique(links["tile"].to_numpy(), return_inverse=True)
+        every, other = np.unique(np.concatenate([links["b"].to_numpy(), known["tile"].to_numpy(), tiles]), return_inverse=True)
+        b, given, own = np.split(other, [len(links), len(links) + len(known)])
+        a = own[a]
+        mine = np.zeros(len(every), dtype=bool)
+        mine[own] = True
+        w, d = links["sw"].to_numpy(), links[[f"d{c}" for c in ax]].to_numpy()
+        first = known["hops"].to_numpy()
+        far = np.iinfo(np.int64).max
+        hops, at = np.full(len(every), far), np.zeros((len(every), dim))
+        hops[given], at[given] = first, known[shifts].to_numpy()
+        order = np.argsort(b, kind="stable")
+        begin = np.searchsorted(b[order], np.arange(len(every) + 1))
+        # distances: outwards level by level; tiles outside come in at their own
+        waiting = np.sort(np.unique(first))[::-1].tolist()
+        while waiting:
+            now = waiting.pop()
+            front = np.flatnonzero(hops == now)
+            to = np.concatenate([order[begin[t]:begin[t + 1]] for t in front]) if len(front) else order[:0]
+            new = np.unique(a[to][hops[a[to]] > now + 1])
+            hops[new] = now + 1
+            if len(new) and (not waiting or waiting[-1] != now + 1):
+                waiting.append(now + 1)
+            # shifts of this level are complete: the next takes the mean over all its links to it
+            use = np.sort(to[(hops[a[to]] == now + 1) & mine[a[to]]])
+            if len(use):
+                ready, row = np.unique(a[use], return_inverse=True)
+                total = np.zeros((len(ready), dim + 1))
+                np.add.at(total, row, np.hstack([d[use] + w[use, None] * at[b[use]], w[use, None]]))
+                at[ready] = total[:, :dim] / total[:, dim:]
+        hit = own[hops[own] < far]
+        out = {k: [links[k].iat[0]] * len(hit) for k in [*keys, "piece"]}
+        return pd.DataFrame({**out, "tile": every[hit], "hops": hops[hit], **{t: at[hit, i] for i, t in enumerate(shifts)}})[names]
+
+    def run(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        return walk(x, y)
+
+    group, state = [*keys, "piece"], None
+    while True:
+        known = start
+        if state is not None:
+            known = start.unionByName(border.join(state.drop("piece"), [*keys, "tile"]).select(*names))
+        new = checkpoint(rows.groupBy(*group).cogroup(known.groupBy(*group)).applyInPandas(run, schema))
+        inner = new.join(border.select(*keys, "tile").distinct(), [*keys, "tile"], "left_semi").select(*names)
+        if (inner if state is None else inner.exceptAll(state.select(*names))).isEmpty():
+            break
+        state = new
+    found = new.join(start, [*keys, "tile"], "left_anti").select(*keys, "tile", *shifts)
+    entries = [F.col(f"t{ax[r]}") if c == dim else F.lit(1.0 if r == c else 0.0) for r in range(dim) for c in range(dim + 1)]
+    placed = fixed.select(*keys, "tile").distinct().withColumn("m", _identity(dim))
+    return checkpoint(placed.unionByName(found.select(*keys, "tile", F.array(*entries).alias("m"))))
+
+
 def pre_align(matches: DataFrame, keys: list[str], fixed: DataFrame, kind: str = "translation", dim: int = 2) -> DataFrame:
     """Start models (tile, m): tiles next to placed ones are fitted to them, from
-    the fixed tiles outwards, until no tile is reached any more."""
+    the fixed tiles outwards, until no tile is reached any more. Translations
+    pass a piece of the tile graph a round, other kinds one tile."""
     edges = checkpoint(edge_moments(matches, keys, dim))
+    if kind == "translation":
+        return _pre_align_shifts(edges, keys, fixed, dim)
     placed = checkpoint(fixed.select(*keys, "tile").distinct().withColumn("m", _identity(dim)))
     while True:
         ahead = edges.join(placed.select(*keys, F.col("tile").alias("a")), [*keys, "a"], "left_anti")
