@@ -112,6 +112,32 @@ def test_inpaint_rays_like_numpy(make, sizes_of, cube):
     assert np.allclose(got, want)
 
 
+@pytest.mark.parametrize("side, reach", [(48, 16), (4, 2)])
+def test_inpaint_rays_end_inside_tasks_or_go_on(make, sizes_of, cube, monkeypatch, side, reach):
+    """Blocks with borders, rays that leave them, and a hole that is filled without a row for any ray."""
+    v = volume((6, 9, 11), 8).astype(float)
+    v[1:6, 1:8, 1:10] = np.nan
+    monkeypatch.setattr(stencils, "RAY_BLOCK", side)
+    monkeypatch.setattr(stencils, "RAY_REACH", reach)
+    beams = np.array(stencils.ray_directions(12))[:, ::-1]
+    rows = stencils._first_rays(make(v, integer=False), sizes_of(v), beams, reach)
+    assert (rows.where("ray IS NOT NULL").count() == 0) == (reach == 16) and rows.where("ray IS NULL").count() == np.isnan(v).sum()
+    got = cube(stencils.inpaint_rays(make(v, integer=False), sizes_of(v), directions=12, stride=2), v.shape)
+    want = v.copy()
+    for p in np.argwhere(np.isnan(v)):
+        top = bottom = 0.0
+        for d in beams:
+            for step in itertools.count(1):
+                q = np.floor(p + step * d + 0.5).astype(int)
+                if (q < 0).any() or (q >= v.shape).any():
+                    break
+                if not np.isnan(v[tuple(q)]):
+                    top, bottom = top + v[tuple(q)] / step, bottom + 1 / step
+                    break
+        want[tuple(p)] = top / bottom if bottom else np.nan
+    assert np.allclose(got, want, equal_nan=True)
+
+
 def test_distance_to_boundary_brute_force(make, sizes_of, cube):
     v = volume((4, 6, 7), 7, 3)
     v = np.repeat(np.repeat(v[:2, :3, :4], 2, axis=0), 2, axis=1)[:4, :6, :4]

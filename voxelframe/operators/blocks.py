@@ -41,6 +41,7 @@ def whole_groups(df: DataFrame, keys: list[str], fn: Callable[[pd.DataFrame, np.
             same = np.ones(len(frame), dtype=bool)
             for k in keys:
                 column = frame[k].to_numpy()
+                frame[k] = column  # text of joined frames comes in chunks, which Arrow does not take back
                 same[1:] &= column[1:] == column[:-1]
             same[0] = False
             return fn(frame, np.flatnonzero(~same))
