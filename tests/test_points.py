@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from voxelframe.operators import joins, labels, matching, points, solve, stats
+from voxelframe.operators import joins, labels, leaves, matching, points, solve, stats
 from voxelframe.plans import registration
 
 
@@ -53,6 +53,45 @@ def test_match_features_brute_force(spark):
     assert {(r.a, r.b) for r in got} == {(i, j) for i, j in want if hits[j] == 1}
 
 
+@pytest.mark.parametrize("whole", [False, True])
+def test_short_descriptors_match_like_all_pairs(spark, monkeypatch, whole):
+    """Several cells and lanes a group, copies, ties of a lattice, a group of one target and values that are no numbers."""
+    monkeypatch.setattr(leaves, "CELL", 64)
+    rng = np.random.default_rng(12)
+    sides = [np.round(rng.normal(size=(n, 6)) * 2) if whole else rng.normal(size=(n, 6)) for n in (420, 500)]
+    sides[1][:150] = sides[0][:150] + (0 if whole else 0.05 * rng.normal(size=(150, 6)))
+    sides[1][480:] = sides[1][440:460]
+    sides[0][400:] = sides[0][380:400]
+
+    def rows(m, sign):
+        out = pd.DataFrame({"g": 0, "fid": [sign * i for i in range(len(m))], "desc": [list(map(float, r)) for r in m]})
+        more = pd.DataFrame({"g": [0, 1], "fid": [9000, 9001], "desc": [[float("nan")] + [0.0] * 5, [1.0] * 6]})
+        return spark.createDataFrame(pd.concat([out, more]), "g long, fid long, desc array<double>")
+
+    p, q = rows(sides[0], 1), rows(sides[1], -1)
+    d = np.sqrt(((sides[0][:, None] - sides[1][None]) ** 2).sum(axis=2))
+    ids = -np.arange(500)
+    for unique, ratio in ((True, 0.8), (False, 1.0)):
+        got = {r.a: (r.b, r.d, r.ratio) for r in leaves.match_short(p, q, ["g"], ratio, unique).collect()}
+        want = {}
+        for i in range(len(d)):
+            order = np.lexsort((ids, d[i]))[:2]
+            if d[i, order[0]] < ratio * d[i, order[1]]:
+                want[i] = (int(ids[order[0]]), d[i, order[0]], d[i, order[0]] / d[i, order[1]])
+        hits = pd.Series([b for b, _, _ in want.values()]).value_counts()
+        want = {i: row for i, row in want.items() if not unique or hits[row[0]] == 1}
+        assert got.keys() == want.keys() and len(want) > 50
+        assert all(got[i][0] == want[i][0] and np.allclose(got[i], want[i]) for i in want)
+
+
+def test_copies_of_short_descriptors_are_not_pairs(spark):
+    """Two groups of 150,000 copies would make 2 x 10^10 pairs."""
+    rows = spark.range(300000).select(F.lit(0).alias("g"), F.col("id").alias("fid"), F.array(*[(F.col("id") % 2).cast("double")] * 6).alias("desc"))
+    one = spark.createDataFrame([(0, 500000, [5.0] * 6)], "g int, fid long, desc array<double>")
+    got = leaves.match_short(rows.unionByName(one), rows.unionByName(one), ["g"], 0.5).collect()
+    assert [(r.a, r.b, r.d) for r in got] == [(500000, 500000, 0.0)]
+
+
 def test_merge_matches_like_a_sequence(spark):
     rng = np.random.default_rng(3)
     rows = [(int(p), int(a), int(b), int(k)) for p, a, b, k in zip(rng.integers(0, 2, 400), rng.integers(0, 60, 400), rng.integers(0, 60, 400), rng.integers(0, 9, 400))]
