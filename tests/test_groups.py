@@ -78,3 +78,45 @@ def test_pre_alignment_passes_pieces_and_not_single_tiles(spark, monkeypatch):
             assert len(jobs) < 12
     sizes = solve.tile_pieces(solve.edge_moments(matches, ["g"]), ["g"]).groupBy("piece").count().toPandas()["count"]
     assert 4 < len(sizes) < 30
+
+
+def test_overlaps_of_all_shifts_at_once_are_those_of_single_shifts(spark, make):
+    """Every shift of a stack in one pass, flat parts marked as unsure; block by block the shifts of a plain search."""
+    rng = np.random.default_rng(7)
+    u, v = rng.integers(0, 200, size=(2, 3, 6, 9)).astype(float)
+    u[1, :, 3:], u[2] = 7.0, 0.0
+    rough, sound = features._overlap_correlation(u, v)
+    assert not sound[2].any() and sound[0, 0, 0]
+
+    def plain(a, b, dy, dx):
+        h, w = a.shape
+        p = a[max(0, -dy):h - max(0, dy), max(0, -dx):w - max(0, dx)]
+        q = b[max(0, dy):h - max(0, -dy), max(0, dx):w - max(0, -dx)]
+        p, q = p - p.mean(), q - q.mean()
+        norm = np.sqrt((p * p).sum() * (q * q).sum())
+        return (p * q).sum() / norm if norm > 0 else -1.0
+
+    for k in range(2):
+        for dy in range(-4, 5):
+            for dx in range(-7, 8):
+                if sound[k, dy, dx]:
+                    assert abs(rough[k, dy, dx] - plain(u[k], v[k], dy, dx)) < 1e-6
+    image = rng.integers(0, 200, size=(2, 25, 33)).astype(float)
+    other = np.roll(image, (1, -2), axis=(1, 2)) + rng.normal(size=image.shape)
+    image[0, :12, :16] = other[1, :12, 16:] = 5.0
+    found = {(r.z, r.by, r.bx): ((r.qy - r.py, r.qx - r.px), r.w) for r in features.phase_shift(make(image, integer=False), make(other, integer=False), {"y": 12, "x": 16}).collect()}
+    want = {}
+    for z in range(2):
+        for by in range(5):
+            for bx in range(5):
+                a, b = [i[z, by * 6:by * 6 + 12, bx * 8:bx * 8 + 16] for i in (image, other)]
+                h, w = a.shape
+                cross = np.conj(np.fft.fft2(a - a.mean())) * np.fft.fft2(b - b.mean())
+                size = np.abs(cross)
+                phase = np.fft.ifft2(np.divide(cross, size, out=np.zeros_like(cross), where=size > 1e-9)).real
+                ways = [(plain(a, b, dy, dx), dy, dx) for i in np.argsort(-phase.ravel(), kind="stable")[:15]
+                        for dy in {i // w, i // w - h} for dx in {i % w, i % w - w} if min(h - abs(dy), w - abs(dx)) >= 4]
+                if ways and max(ways)[0] > 0.3:
+                    want[z, by, bx] = max(ways)
+    assert found.keys() == want.keys() and len(want) > 20
+    assert all(found[k][0] == want[k][1:] and abs(found[k][1] - want[k][0]) < 1e-9 for k in want)
