@@ -120,3 +120,26 @@ def test_overlaps_of_all_shifts_at_once_are_those_of_single_shifts(spark, make):
                     want[z, by, bx] = max(ways)
     assert found.keys() == want.keys() and len(want) > 20
     assert all(found[k][0] == want[k][1:] and abs(found[k][1] - want[k][0]) < 1e-9 for k in want)
+
+
+def test_flow_joins_its_images_once(spark, make, sizes_of):
+    """Boxes by slices are cut at the border; background has no weight; one join of the images for all rounds."""
+    rng = np.random.default_rng(9)
+    image = rng.integers(0, 9, size=(3, 7, 5)).astype(float)
+    tables = features._edged(features._summed(image), 6)
+    for r in (1, 3, 6):
+        box = features._box(tables, r, 6)
+        for y in range(7):
+            for x in range(5):
+                assert (box[:, y, x] == image[:, max(0, y - r):y + r + 1, max(0, x - r):x + r + 1].sum(axis=(1, 2))).all()
+    a, b = rng.integers(1, 200, size=(2, 2, 12, 14))
+    a[0, 4:8] = b[1, :, 3:6] = 0
+    block = {"y": 6, "x": 7}
+    both = make(a).join(make(b).withColumnRenamed("v", "w"), ["dataset", "z", "y", "x"]).selectExpr("*", "v = 0 OR w = 0 AS empty")
+    got = features._joined_votes(both, 2, [1, 2], sizes_of(a), block).toPandas()
+    plain = features.block_votes(make(a), make(b), 2, [1, 2], sizes_of(a), block).toPandas()
+    rows = got.merge(plain, on=["dataset", "z", "y", "x"], suffixes=("", "_plain"))
+    none = (a[rows.z, rows.y, rows.x] == 0) | (b[rows.z, rows.y, rows.x] == 0)
+    assert len(rows) == a.size and (rows.sx == rows.sx_plain).all() and (rows.w == np.where(none, 0.0, rows.w_plain)).all() and none.any()
+    flow = features.block_flow(make(a), make(b), 2, 1.0, sizes_of(a), 12, rounds=1, block=block)
+    assert flow.count() == a.size
