@@ -28,6 +28,34 @@ def test_nearest_k_is_exact(cloud):
         assert np.allclose([n.d2 for n in got[i]], np.sort(d)[:4])
 
 
+def test_nearest_k_lists_few_copies_and_writes_columns(spark, tmp_path, monkeypatch):
+    """Copies beyond the listed ones, groups smaller than k and places without a value: exact, and what is kept
+    between the steps stays a small multiple of the points (a checkpoint of their neighbours as plain rows did not)."""
+    rng = np.random.default_rng(4)
+    at = rng.integers(0, 40, size=(6000, 3)).astype(float)
+    at[100:400] = at[0]  # a heap of copies
+    rows = pd.DataFrame(at, columns=["x", "y", "z"]).assign(pid=rng.permutation(6000) + 10**15, g=0)
+    rows.loc[5990:, "g"] = 1
+    rows.loc[5998:, "g"] = 2
+    lost = rows.iloc[:2].assign(pid=[1, 2], x=[np.nan, 3.0], y=[3.0, np.nan])
+    df = spark.createDataFrame(pd.concat([rows, lost], ignore_index=True))
+    folder = tmp_path / "kept"
+    folder.mkdir()
+    from voxelframe import session
+    with monkeypatch.context() as m:
+        m.setattr(session, "ensure_checkpoint_dir", lambda _: str(folder))
+        got = points.nearest_k(df, ["g"], ["x", "y", "z"], 3, 2.0).select("pid", "near").toPandas().set_index("pid").near
+    assert sorted(got.index) == sorted(rows.pid)
+    pid, g = rows.pid.to_numpy(), rows.g.to_numpy()
+    for i in [*range(0, 6000, 97), 0, 100, 250, 399, *range(5990, 6000)]:
+        d = ((at - at[i]) ** 2).sum(axis=1)
+        d[(g != g[i]) | (pid == pid[i])] = np.inf
+        best = [j for j in np.lexsort((pid, d)) if np.isfinite(d[j])][:3]
+        assert [n.pid for n in got[pid[i]]] == list(pid[best]) and [n.d2 for n in got[pid[i]]] == list(d[best])
+    kept = sum(f.stat().st_size for f in folder.rglob("*.parquet"))
+    assert 0 < kept < 120 * 6000
+
+
 def test_nn_join_is_exact(cloud):
     at, df = cloud
     moved = df.withColumn("x", F.col("x") + 0.7)
