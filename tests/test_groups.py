@@ -2,6 +2,7 @@
 
 import numpy as np
 import pandas as pd
+import pytest
 
 from voxelframe.operators import blocks, features
 
@@ -143,3 +144,34 @@ def test_flow_joins_its_images_once(spark, make, sizes_of):
     assert len(rows) == a.size and (rows.sx == rows.sx_plain).all() and (rows.w == np.where(none, 0.0, rows.w_plain)).all() and none.any()
     flow = features.block_flow(make(a), make(b), 2, 1.0, sizes_of(a), 12, rounds=1, block=block)
     assert flow.count() == a.size
+
+
+def test_voxels_are_packed_and_cut_without_python_objects(spark):
+    """Ragged volumes, crops, one block and many, pieces of many forms: blocks are packed, cut and joined as Arrow columns."""
+    rng = np.random.default_rng(8)
+    shapes = {"a": (5, 9, 13), "b": (1, 4, 30), "c": (7, 7, 7)}
+    cubes = {k: rng.integers(1, 200, size=s) for k, s in shapes.items()}
+    rows = [pd.DataFrame({"dataset": k, **dict(zip("zyx", (i.ravel() for i in np.indices(c.shape)))), "v": c.ravel()}) for k, c in cubes.items()]
+    vox = spark.createDataFrame(pd.concat(rows, ignore_index=True)).where("(z + y + x) % 5 <> 0")
+    sizes = spark.createDataFrame([(k, *s) for k, s in shapes.items()], "dataset string, nz long, ny long, nx long")
+    part = spark.createDataFrame([(k, s[0], s[1] - 2, s[2] - 3) for k, s in shapes.items()], "dataset string, nz long, ny long, nx long")
+    for block in ({"z": 2, "y": 4, "x": 5}, {"z": 8, "y": 16, "x": 32}):
+        packed = blocks.to_blocks(vox, block, sizes, background=7)
+        for target in ({"z": 3, "y": 3, "x": 4}, {"z": 1, "y": 20, "x": 20}):
+            got = blocks.to_voxels(blocks.reblock(packed, block, target, part, low={"y": 2, "x": 3}), target)
+            plan = got._jdf.queryExecution().toString()
+            assert "MapInArrow" in plan and "MapInPandas" not in plan
+            out = {k: np.zeros((s[0], s[1] - 2, s[2] - 3), dtype=int) for k, s in shapes.items()}
+            seen = got.toPandas()
+            for k, r in seen.groupby("dataset"):
+                out[k][r.z, r.y, r.x] = r.v
+            for k, c in cubes.items():
+                want = np.where(np.indices(c.shape).sum(axis=0) % 5 != 0, c, 7)[:, 2:, 3:]
+                assert (out[k] == want).all() and (seen.dataset == k).sum() == want.size
+
+
+def test_voxels_outside_their_volume_are_refused(spark):
+    vox = spark.createDataFrame([("a", 0, 0, 5, 1)], "dataset string, z long, y long, x long, v long")
+    sizes = spark.createDataFrame([("a", 1, 1, 5)], "dataset string, nz long, ny long, nx long")
+    with pytest.raises(Exception, match="outside its volume"):
+        blocks.to_blocks(vox, {"z": 4, "y": 4, "x": 4}, sizes).collect()

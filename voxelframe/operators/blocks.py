@@ -10,6 +10,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -64,38 +66,79 @@ def whole_groups(df: DataFrame, keys: list[str], fn: Callable[[pd.DataFrame, np.
     return df.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, schema)
 
 
+def whole_tables(df: DataFrame, keys: list[str], fn: Callable[[pa.Table, np.ndarray], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``whole_groups`` on Arrow tables: for narrow rows by the million, whose
+    text would cost more as Python objects than the work on them."""
+    def starts(rows: pa.Table | pa.RecordBatch) -> np.ndarray:
+        new = np.zeros(rows.num_rows, dtype=bool)
+        for k in keys:
+            column = rows.column(k)
+            new[1:] |= pc.not_equal(column.slice(1), column.slice(0, rows.num_rows - 1)).to_numpy(zero_copy_only=False)
+        return np.flatnonzero(new)
+
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+
+        def release(parts: list[pa.RecordBatch]):
+            table = pa.Table.from_batches(parts).combine_chunks()
+            rows = table.to_batches()[0]
+            return fn(table, np.append(0, starts(rows)))
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            marks = starts(batch)
+            cut = int(marks[-1]) if len(marks) else 0
+            if held and not cut and all(held[-1].column(k)[-1] == batch.column(k)[0] for k in keys):
+                held.append(batch)  # sorted, so all of it is the group held back
+                continue
+            ready = [*held, batch.slice(0, cut)] if cut else held
+            held = [batch.slice(cut)]
+            if ready:
+                yield from release(ready)
+        if held:
+            yield from release(held)
+
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+
+
 def to_blocks(vox: DataFrame, block: dict[str, int], sizes: DataFrame, dtype: str = "u8",
               background: float = 0) -> DataFrame:
     """Pack voxels into blocks. Blocks without a voxel have no row; missing
     voxels inside a block take the background value. Small blocks are packed
-    many at a time, up to ``PIECE_ROWS`` voxels."""
+    many at a time, up to ``PIECE_ROWS`` voxels. A voxel moves with its place in
+    its block only."""
     kind, axes = numpy_type(dtype), ("z", "y", "x")
     grid = ["dataset", "gz", "gy", "gx"]
 
-    def pack(rows: pd.DataFrame, starts: np.ndarray) -> Iterator[pd.DataFrame]:
-        first = rows.iloc[starts]
-        shape = [np.minimum(block[a], first[f"n{a}"].to_numpy() - first[f"g{a}"].to_numpy() * block[a]) for a in axes]
-        volume = shape[0] * shape[1] * shape[2]
-        ends = np.append(starts[1:], len(rows))
-        group = np.repeat(np.arange(len(starts)), ends - starts)
-        place = [rows[a].to_numpy() - rows[f"g{a}"].to_numpy() * block[a] for a in axes]
-        if any(((c < 0) | (c >= n[group])).any() for c, n in zip(place, shape)):
+    def pack(rows: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        place, values = (rows.column(c).to_numpy() for c in ("place", "v"))
+        if (place < 0).any():
             raise IndexError("a voxel lies outside its volume")
-        inner = (place[0] * shape[1][group] + place[1]) * shape[2][group] + place[2]
-        values, i = rows["v"].to_numpy(), 0
-        upto = np.cumsum(volume)
+        first = rows.select([*grid, *[f"n{a}" for a in axes]]).take(pa.array(starts)).combine_chunks()
+        volume = np.prod([first.column(f"n{a}").to_numpy() for a in axes], axis=0)
+        ends = np.append(starts[1:], len(place))
+        group = np.repeat(np.arange(len(starts)), ends - starts)
+        i, upto = 0, np.cumsum(volume)
         while i < len(starts):
-            j = max(i + 1, int(np.searchsorted(upto, (upto[i - 1] if i else 0) + PIECE_ROWS, side="right")))
-            offset = upto[i:j] - volume[i:j] - (upto[i - 1] if i else 0)
-            flat = np.full(int(offset[-1] + volume[j - 1]), background, dtype=kind)
+            before = upto[i - 1] if i else 0
+            j = max(i + 1, int(np.searchsorted(upto, before + PIECE_ROWS, side="right")))
+            offset = upto[i:j] - volume[i:j] - before
+            flat = np.full(int(upto[j - 1] - before), background, dtype=kind)
             part = slice(starts[i], ends[j - 1])
-            flat[offset[group[part] - i] + inner[part]] = values[part]
-            out = first.iloc[i:j][grid].assign(**{f"n{a}": n[i:j] for a, n in zip(axes, shape)})
-            yield out.assign(data=[flat[o:o + n].tobytes() for o, n in zip(offset, volume[i:j])])
+            flat[offset[group[part] - i] + place[part]] = values[part]
+            yield _packed(first.slice(i, j - i), np.append(offset, len(flat)), flat)
             i = j
 
     keyed = with_block(vox, block).join(small(sizes), KEY)
-    return whole_groups(keyed, grid, pack, BLOCKS)
+    side = {a: F.least(F.lit(block[a]).cast("long"), F.col(f"n{a}") - F.col(f"g{a}") * block[a]) for a in axes}
+    at = {a: F.col(a) - F.col(f"g{a}") * block[a] for a in axes}
+    inside = F.lit(True)
+    for a in axes:
+        inside = inside & (at[a] >= 0) & (at[a] < side[a])
+    place = F.when(inside, (at["z"] * side["y"] + at["y"]) * side["x"] + at["x"]).otherwise(F.lit(-1)).cast("long")
+    rows = keyed.select(*grid, *[side[a].cast("long").alias(f"n{a}") for a in axes], place.alias("place"), "v")
+    return whole_tables(rows, grid, pack, BLOCKS)
 
 
 def to_voxels(blocks: DataFrame, block: dict[str, int], dtype: str = "u8", skip_background: bool = False) -> DataFrame:
@@ -103,19 +146,21 @@ def to_voxels(blocks: DataFrame, block: dict[str, int], dtype: str = "u8", skip_
     kind, bz, by, bx = numpy_type(dtype), block["z"], block["y"], block["x"]
     whole = value_type(dtype)
 
-    def unpack(frames):
+    def unpack(batches):
         names, parts, many, grids = [], [], 0, {}
 
         def release():
             z, y, x, v = (np.concatenate(c) for c in zip(*parts))
-            rows = np.repeat(np.array(names, dtype=object), [len(p[0]) for p in parts])
-            return pd.DataFrame({"dataset": rows, "z": z, "y": y, "x": x, "v": v})
-
-        for frame in frames:
-            for r in frame.itertuples(index=False):
-                cube = np.frombuffer(r.data, dtype=kind).reshape(r.nz, r.ny, r.nx)
-                step = max(1, PIECE_ROWS // max(1, r.ny * r.nx))
-                for start in range(0, r.nz, step):
+            owner = np.repeat(np.arange(len(names)), [len(p[0]) for p in parts])
+            text = pa.array(names, pa.string()).take(pa.array(owner))
+            return pa.RecordBatch.from_arrays([text, *[pa.array(c) for c in (z, y, x, v)]], names=["dataset", "z", "y", "x", "v"])
+
+        for batch in batches:
+            keys = zip(*[batch.column(c).to_pylist() for c in ("dataset", "gz", "gy", "gx", "nz", "ny", "nx")])
+            for (dataset, gz, gy, gx, nz, ny, nx), data in zip(keys, batch.column("data")):
+                cube = np.frombuffer(data.as_buffer(), dtype=kind).reshape(nz, ny, nx)
+                step = max(1, PIECE_ROWS // max(1, ny * nx))
+                for start in range(0, nz, step):
                     part = cube[start:start + step]
                     if skip_background:
                         z, y, x = np.nonzero(part)
@@ -125,8 +170,8 @@ def to_voxels(blocks: DataFrame, block: dict[str, int], dtype: str = "u8", skip_
                             grids.clear()
                             grids[part.shape] = [i.ravel() for i in np.indices(part.shape)]
                         (z, y, x), v = grids[part.shape], part.ravel()
-                    names.append(r.dataset)
-                    parts.append((z + (start + r.gz * bz), y + r.gy * by, x + r.gx * bx, v.astype(whole)))
+                    names.append(dataset)
+                    parts.append((z + (start + gz * bz), y + gy * by, x + gx * bx, v.astype(whole)))
                     many += len(v) + 1
                     if many >= PIECE_ROWS:
                         yield release()
@@ -134,7 +179,7 @@ def to_voxels(blocks: DataFrame, block: dict[str, int], dtype: str = "u8", skip_
         if parts:
             yield release()
 
-    return blocks.mapInPandas(unpack, volume_type(dtype))
+    return blocks.mapInArrow(unpack, volume_type(dtype))
 
 
 def reblock(blocks: DataFrame, block: dict[str, int], target: dict[str, int], sizes: DataFrame, dtype: str = "u8",
@@ -146,53 +191,88 @@ def reblock(blocks: DataFrame, block: dict[str, int], target: dict[str, int], si
     axes = ("z", "y", "x")
     old, new = [block[a] for a in axes], [target[a] for a in axes]
     start = [(low or {}).get(a, 0) for a in axes]
-
-    def cut(frames):
-        for frame in frames:
-            rows = []
-            for r in frame.itertuples(index=False):
-                cube = np.frombuffer(r.data, dtype=kind).reshape(r.nz, r.ny, r.nx)
-                origin = [g * b - s for g, b, s in zip((r.gz, r.gy, r.gx), old, start)]
-                extent = (r.ez, r.ey, r.ex)
-                lows = [max(0, o) for o in origin]
-                highs = [min(e, o + n) for e, o, n in zip(extent, origin, cube.shape)]
-                if any(h <= l for l, h in zip(lows, highs)):
-                    continue
-                spans = [range(l // n, (h - 1) // n + 1) for l, h, n in zip(lows, highs, new)]
-                for gz in spans[0]:
-                    for gy in spans[1]:
-                        for gx in spans[2]:
-                            g = (gz, gy, gx)
-                            a = [max(l, i * n) for l, i, n in zip(lows, g, new)]
-                            b = [min(h, (i + 1) * n) for h, i, n in zip(highs, g, new)]
-                            part = cube[tuple(slice(p - o, q - o) for p, q, o in zip(a, b, origin))]
-                            shape = [int(min(n, e - i * n)) for n, e, i in zip(new, extent, g)]
-                            rows.append((r.dataset, gz, gy, gx, *[p - i * n for p, i, n in zip(a, g, new)],
-                                         *part.shape, *shape, part.tobytes()))
-            yield pd.DataFrame(rows, columns=names)
-
     names = ["dataset", "gz", "gy", "gx", "pz", "py", "px", "mz", "my", "mx", "nz", "ny", "nx", "data"]
     schema = ", ".join(["dataset string", *[f"{n} long" for n in names[1:-1]], "data binary"])
 
-    def join_pieces(rows: pd.DataFrame, starts: np.ndarray) -> Iterator[pd.DataFrame]:
-        marks, out, held = set(starts.tolist()), [], 0
-        for i, r in enumerate(rows.itertuples(index=False)):
-            if i in marks:
-                if out and held >= PIECE_ROWS:
-                    yield packed(out)
-                    out, held = [], 0
-                cube = np.full((r.nz, r.ny, r.nx), background, dtype=kind)
-                out.append(((r.dataset, r.gz, r.gy, r.gx, *cube.shape), cube))
-                held += cube.size
-            cube[r.pz:r.pz + r.mz, r.py:r.py + r.my, r.px:r.px + r.mx] = np.frombuffer(r.data, dtype=kind).reshape(r.mz, r.my, r.mx)
-        yield packed(out)
-
-    def packed(out: list) -> pd.DataFrame:
-        return pd.DataFrame([(*key, cube.tobytes()) for key, cube in out], columns=BLOCKS.names)
+    def cut(batches):
+        for batch in batches:
+            g, n, e = ([batch.column(f"{c}{a}").to_numpy() for a in axes] for c in "gne")
+            origin = [i * b - s for i, b, s in zip(g, old, start)]
+            lows = [np.maximum(0, o) for o in origin]
+            highs = [np.minimum(m, o + k) for m, o, k in zip(e, origin, n)]
+            who = np.flatnonzero(np.all([h > l for l, h in zip(lows, highs)], axis=0))
+            cell = []
+            for l, h, b in zip(lows, highs, new):  # the cells that a block meets along one axis after the other
+                first = l[who] // b
+                many = (h[who] - 1) // b - first + 1
+                back = np.repeat(np.arange(len(who)), many)
+                step = np.arange(len(back)) - np.repeat(np.cumsum(many) - many, many)
+                who, cell = who[back], [*[c[back] for c in cell], first[back] + step]
+            if not len(who):
+                continue
+            a = [np.maximum(l[who], i * b) for l, i, b in zip(lows, cell, new)]
+            z = [np.minimum(h[who], (i + 1) * b) for h, i, b in zip(highs, cell, new)]
+            side = [np.minimum(b, m[who] - i * b) for b, m, i in zip(new, e, cell)]
+            form = np.stack([*[m[who] for m in n], *[p - o[who] for p, o in zip(a, origin)], *[q - p for p, q in zip(a, z)]], axis=1)
+            data, out = batch.column("data"), [None] * len(who)
+            for pieces, (nz, ny, nx, *spot) in _alike(form):
+                window = tuple(slice(o, o + k) for o, k in zip(spot[:3], spot[3:]))
+                most = max(1, PIECE_ROWS // int(nz * ny * nx))
+                for i in range(0, len(pieces), most):
+                    some = pieces[i:i + most]
+                    cubes = np.stack([np.frombuffer(data[k].as_buffer(), dtype=kind).reshape(nz, ny, nx)[window] for k in who[some].tolist()])
+                    for k, cube in zip(some.tolist(), cubes):
+                        out[k] = cube.tobytes()
+            inner = [p - i * b for p, i, b in zip(a, cell, new)]
+            columns = [*cell, *inner, *form.T[6:], *side]
+            # the pieces of one batch may be many times its blocks: they leave in bounded parts
+            size = np.cumsum(form[:, 6] * form[:, 7] * form[:, 8])
+            text, i = batch.column("dataset").take(pa.array(who)), 0
+            while i < len(who):
+                j = max(i + 1, int(np.searchsorted(size, (size[i - 1] if i else 0) + PIECE_ROWS, side="right")))
+                yield pa.RecordBatch.from_arrays([text.slice(i, j - i), *[pa.array(np.ascontiguousarray(c[i:j])) for c in columns], pa.array(out[i:j], pa.binary())], names=names)
+                i = j
+
+    def join_pieces(rows: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        first = rows.select(["dataset", "gz", "gy", "gx", "nz", "ny", "nx"]).take(pa.array(starts)).combine_chunks()
+        n = np.stack([first.column(f"n{a}").to_numpy() for a in axes], axis=1)
+        place = np.stack([rows.column(f"{c}{a}").to_numpy() for c in "pm" for a in axes], axis=1)
+        data, ends, i, upto = rows.column("data").chunk(0), np.append(starts[1:], rows.num_rows), 0, np.cumsum(n.prod(axis=1))
+        while i < len(starts):
+            before = upto[i - 1] if i else 0
+            j = max(i + 1, int(np.searchsorted(upto, before + PIECE_ROWS, side="right")))
+            flat = np.full(int(upto[j - 1] - before), background, dtype=kind)
+            offset = upto[i:j] - n[i:j].prod(axis=1) - before
+            part = np.arange(starts[i], ends[j - 1])
+            group = np.repeat(np.arange(j - i), ends[i:j] - starts[i:j])
+            for pieces, (pz, py, px, mz, my, mx, nz, ny, nx) in _alike(np.hstack([place[part], n[i:j][group]])):
+                window = (slice(pz, pz + mz), slice(py, py + my), slice(px, px + mx))
+                for k in pieces.tolist():
+                    at = offset[group[k]]
+                    cube = flat[at:at + nz * ny * nx].reshape(nz, ny, nx)
+                    cube[window] = np.frombuffer(data[int(part[k])].as_buffer(), dtype=kind).reshape(mz, my, mx)
+            yield _packed(first.slice(i, j - i), np.append(offset, len(flat)), flat)
+            i = j
 
     extents = small(sizes).select("dataset", F.col("nz").alias("ez"), F.col("ny").alias("ey"), F.col("nx").alias("ex"))
-    pieces = blocks.join(extents, KEY).mapInPandas(cut, schema)
-    return whole_groups(pieces, ["dataset", "gz", "gy", "gx"], join_pieces, BLOCKS)
+    pieces = blocks.join(extents, KEY).mapInArrow(cut, schema)
+    return whole_tables(pieces, ["dataset", "gz", "gy", "gx"], join_pieces, BLOCKS)
+
+
+def _alike(rows: np.ndarray) -> Iterator[tuple[np.ndarray, list[int]]]:
+    """Places of equal rows, and the row as Python numbers."""
+    order = np.lexsort(rows.T)
+    new = (np.diff(rows[order], axis=0) != 0).any(axis=1)
+    for same in np.split(order, np.flatnonzero(new) + 1):
+        if len(same):
+            yield same, rows[same[0]].tolist()
+
+
+def _packed(first: pa.Table, cuts: np.ndarray, flat: np.ndarray) -> pa.RecordBatch:
+    """Block rows whose payloads lie one after the other in ``flat``."""
+    ends = (cuts * flat.itemsize).astype(np.int32)
+    data = pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(ends), pa.py_buffer(flat)])
+    return pa.RecordBatch.from_arrays([*first.combine_chunks().to_batches()[0].columns, data], names=BLOCKS.names)
 
 
 def map_blocks(vox: DataFrame, fn: Callable[[np.ndarray], np.ndarray], block: dict[str, int], halo: dict[str, int],
