@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 
 from voxelframe.operators import blocks, features
+from voxelframe.sources import volumes
 
 
 def test_groups_stay_whole_across_batches(spark):
@@ -175,3 +176,18 @@ def test_voxels_outside_their_volume_are_refused(spark):
     sizes = spark.createDataFrame([("a", 1, 1, 5)], "dataset string, nz long, ny long, nx long")
     with pytest.raises(Exception, match="outside its volume"):
         blocks.to_blocks(vox, {"z": 4, "y": 4, "x": 4}, sizes).collect()
+
+
+def test_octree_nodes_are_made_once_for_all_levels(spark):
+    """A tree with fill looks at its nodes level by level; what makes them runs once."""
+    made = spark.sparkContext.accumulator(0)
+
+    def make(frames):
+        for frame in frames:
+            made.add(len(frame))
+            yield frame
+
+    data = bytearray(np.arange(1, 9, dtype="<u2").tobytes())
+    nodes = spark.createDataFrame([("d", 0, "", data), ("d", 0, "1", data), ("d", 0, "1/8", data)], "dataset string, channel int, path string, data binary")
+    got = volumes.octree_blocks(nodes.mapInPandas(make, nodes.schema), 2, {"z": 2, "y": 2, "x": 2})
+    assert got.count() == 64 and made.value == 3

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from voxelframe.operators.blocks import PIECE_ROWS, numpy_type, reblock, value_type
 from voxelframe.schema import KEY, POS, volume_type
-from voxelframe.session import small
+from voxelframe.session import small, stored
 
 STRUCTURAL = ["dimensions", "blockSize", "dataType", "compression"]
 
@@ -117,6 +117,8 @@ def octree_blocks(nodes: DataFrame, levels: int, block: dict[str, int], dtype: s
         raise ValueError("octants need even block sides")
     named = nodes.select(F.concat_ws("/c", "dataset", "channel").alias("dataset"), "path", "data")
     named = named.withColumn("depth", F.size(F.filter(F.split("path", "/"), lambda d: d != "")))
+    if fill:  # every level reads the nodes again
+        named = stored(named, "nodes")
 
     def level(depth: int) -> DataFrame:
         return named.where(F.col("depth") == depth).select("dataset", "path", "data")
