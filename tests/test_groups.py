@@ -191,3 +191,18 @@ def test_octree_nodes_are_made_once_for_all_levels(spark):
     nodes = spark.createDataFrame([("d", 0, "", data), ("d", 0, "1", data), ("d", 0, "1/8", data)], "dataset string, channel int, path string, data binary")
     got = volumes.octree_blocks(nodes.mapInPandas(make, nodes.schema), 2, {"z": 2, "y": 2, "x": 2})
     assert got.count() == 64 and made.value == 3
+
+
+def test_slab_files_are_written_in_the_order_of_positions(spark, tmp_path):
+    """The folders' columns lead the order of the rows, so the writer needs no order of its own."""
+    import pyarrow.parquet as pq
+
+    at = np.random.default_rng(3).permutation(4 * 30 * 30)
+    rows = pd.DataFrame({"dataset": [f"d{i % 2}" for i in at], "z": at // 900, "y": at // 30 % 30, "x": at % 30, "v": at})
+    volumes.write_volume(spark.createDataFrame(rows), str(tmp_path / "v"), block_z=2)
+    files = list((tmp_path / "v").rglob("*.parquet"))
+    assert len({f.parent for f in files}) == 4
+    for f in files:
+        found = pq.ParquetFile(f).read().to_pandas()
+        place = found.z * 900 + found.y * 30 + found.x
+        assert (np.diff(place) > 0).all()

@@ -167,7 +167,8 @@ def write_volume(df: DataFrame, path: str, background: float | None = None, bloc
     ``block_z``. Voxels of a given ``background`` are left out; who reads such
     a volume for an operator on neighbours passes its sizes to ``read_volume``."""
     kept = df if background is None else df.where(F.col("v") != background)
-    laid = _slabs(kept, block_z).hint("rebalance", "dataset", "z0").sortWithinPartitions("dataset", "z0", "z", "y", "x")
+    # the folders come first in the order, else the writer sorts once more and by them alone
+    laid = _slabs(kept, block_z).hint("rebalance", "dataset", "z0").sortWithinPartitions("dataset", "z0", "z1", "z", "y", "x")
     laid.write.mode(mode).partitionBy("dataset", "z0", "z1").parquet(path)
 
 
