@@ -108,3 +108,9 @@ def test_sums_by_lines_and_by_pairs_agree(monkeypatch):
         monkeypatch.setattr(near, "STEP", step)
         found.append(near.ball_sums(p, q, values, weights, 4.0))
     assert np.allclose(*found)
+
+
+def test_nearest_in_a_block_without_any_pair_in_reach(spark):
+    """Both sides are there, but too far from each other."""
+    a, b = [spark.createDataFrame([(0, i, 9.0 * i, 0.0, z) for i in range(4)], "g int, pid long, x double, y double, z double") for z in (0.0, 5.0)]
+    assert near.nearest(a, b, ["g"], ["x", "y", "z"], 3.0, 1, "pid").count() == 0
