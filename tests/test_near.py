@@ -114,3 +114,32 @@ def test_nearest_in_a_block_without_any_pair_in_reach(spark):
     """Both sides are there, but too far from each other."""
     a, b = [spark.createDataFrame([(0, i, 9.0 * i, 0.0, z) for i in range(4)], "g int, pid long, x double, y double, z double") for z in (0.0, 5.0)]
     assert near.nearest(a, b, ["g"], ["x", "y", "z"], 3.0, 1, "pid").count() == 0
+
+
+def test_a_round_of_closest_points_makes_its_pairs_once(spark, monkeypatch):
+    """Sums and error come from one pass; no id is looked up."""
+    plans, real = [], points.checkpoint
+    monkeypatch.setattr(points, "checkpoint", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or real(df))
+    rng = np.random.default_rng(3)
+    rows = pd.DataFrame(rng.uniform(0, 30, size=(200, 3)), columns=["x", "y", "z"]).assign(g=0, pid=range(200))
+    a, b = spark.createDataFrame(rows), spark.createDataFrame(rows.assign(x=rows.x + 0.25, z=rows.z - 0.125))
+    found = points.icp(a, b, ["g"], "translation", 1.0, rounds=3).first()
+    assert found.n == 200 and np.allclose(np.array(found.m)[[3, 7, 11]], [0.25, 0.0, -0.125]) and np.isclose(found.error, np.hypot(0.25, 0.125), atol=0.3)
+    assert plans and all(plan.count("FlatMapCoGroupsInPandas") == 1 for plan in plans)
+
+
+def test_closest_by_all_pairs_in_any_dimension():
+    """Ties, copies, one line only, places far from the origin."""
+    rng = np.random.default_rng(4)
+    for turn in range(60):
+        dim, n, radius = 1 + turn % 3, 1 + turn % 5, [0.5, 2.0, 20.0][turn % 3 - turn % 2]
+        size, far = [0.0, 3.0, 40.0, 9000.0][turn % 4], [0.0, 1e6][turn % 2]
+        p, q = [rng.uniform(0, size + 1e-3, size=(k, dim)) + far for k in (70, 90)]
+        if turn % 3:
+            p, q = np.floor(p), np.floor(q)
+        d2 = sum((p[:, None, c] - q[None, :, c]) ** 2 for c in range(dim))
+        d2[d2 > radius * radius] = np.inf
+        want = np.argsort(d2, axis=1, kind="stable")[:, :n]
+        least = np.take_along_axis(d2, want, axis=1)
+        who, got = near._closest(p, q, n, radius)
+        assert (got == least).all() and (who == np.where(np.isinf(least), -1, want)).all()
