@@ -152,5 +152,6 @@ def _(f):
     from voxelframe.operators import solve
     kept = matching.ransac(f.matches, ["a", "b"], "affine", epsilon=1.0).withColumn("graph", F.lit(0).cast("long"))
     first = f.matches.agg(F.min("a").alias("tile")).withColumn("graph", F.lit(0).cast("long"))
-    models = solve.relax_staged(kept, ["graph"], "affine", "rigid", [1.0, 0.1], [10, 10], fixed=first)
+    start = solve.pre_align(kept, ["graph"], first, "rigid")
+    models = solve.relax_staged(kept, ["graph"], "affine", "rigid", [1.0, 0.1], fixed=first, start=start)
     return models.select("tile", F.col("m")[2].alias("x"), F.col("m")[5].alias("y"))

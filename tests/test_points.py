@@ -309,3 +309,54 @@ def test_descriptors_move_once_a_piece(spark, monkeypatch, piece):
     for i, line in enumerate(d):
         first, second = np.sort(line)[:2]
         assert got[i] == (int(line.argmin()), pytest.approx(first), pytest.approx(first / second))
+
+
+def test_staged_relaxation_settles_a_long_chain(spark, monkeypatch):
+    """Rounds end when the error does; one task gives the models of rounds as joins."""
+    rng = np.random.default_rng(2)
+    p = rng.uniform(0, 20, size=(30, 12, 2))
+    rows = [(0, t, t + 1, float(x), float(y), float(x) + 3.0, float(y) - 1.0, 1.0) for t in range(30) for x, y in p[t]]
+    df = spark.createDataFrame(rows, "g int, a int, b int, px double, py double, qx double, qy double, w double")
+    fixed = spark.createDataFrame([(0, 0)], "g int, tile int")
+    want = np.array([[1, 0, -3.0 * t, 0, 1, 1.0 * t] for t in range(31)])
+    start = solve.pre_align(df, ["g"], fixed, "rigid")
+    for lambdas in ([1.0], [1.0, 0.1]):
+        got = {r.tile: r.m for r in solve.relax_staged(df, ["g"], "affine", "rigid", lambdas, fixed=fixed, start=start).collect()}
+        assert np.abs(np.array([got[t] for t in range(31)]) - want).max() < 1e-6
+    prior = spark.createDataFrame([(0, t, [1.0, 0.0, -2.0 * t, 0.0, 1.0, 0.0]) for t in range(0, 31, 2)], "g int, tile int, m array<double>")
+    tilted = df.withColumns({"qx": F.col("qx") * 1.02 + F.col("qy") * 0.1, "w": F.col("w") + F.col("a") % 3})
+    for kind, stiff, given in (("affine", "rigid", None), ("rigid", None, prior), ("similarity", "identity", None), ("translation", None, prior)):
+        both = []
+        for limit in (1 << 18, 0):
+            monkeypatch.setattr(solve, "TOGETHER", limit)
+            out = solve.relax(tilted, ["g"], kind, stiff, 0.3, fixed, rounds=3, patience=2, prior=given, prior_weight=0.2)
+            both.append(np.array([r.m for r in out.orderBy("tile").collect()]))
+        assert np.allclose(*both, atol=1e-9)
+
+
+def test_slab_graph_is_solved_to_its_end(spark):
+    """Another solve from the models of the query moves no tile: nothing is left over."""
+    import __spark_entry__ as entry
+    from catalog import registry
+    f = registry.Fixtures(spark, "/root/testdata/sf0.01")
+    first = spark.createDataFrame([(0, 0)], "graph long, tile long")
+    kept = f.matches.where("planted = 1").withColumn("graph", F.lit(0).cast("long"))
+    start = solve.pre_align(kept, ["graph"], first, "rigid")
+    longer = solve.relax_staged(kept, ["graph"], "affine", "rigid", [1.0, 0.1], [20000, 20000], fixed=first, start=start, patience=200)
+    want = {r.tile: (r.m[2], r.m[5]) for r in longer.collect()}
+    got = {r.tile: (r.x, r.y) for r in entry.queries()["aligned_slab_graph"](spark, "/root/testdata/sf0.01").collect()}
+    assert set(got) == set(want) and max(np.abs(np.subtract(got[t], want[t])).max() for t in got) < 0.01
+
+
+def test_pre_alignment_in_one_task_walks_as_its_rounds(spark, monkeypatch):
+    """Rings and a branch that no fixed tile reaches."""
+    rng = np.random.default_rng(8)
+    links = [(0, 1), (1, 2), (2, 3), (3, 0), (2, 4), (4, 5), (7, 8)]
+    rows = [(0, a, b, *[float(v) for v in rng.uniform(0, 9, 4)], 1.0 + i) for a, b in links for i in range(5)]
+    df = spark.createDataFrame(rows, "g int, a int, b int, px double, py double, qx double, qy double, w double")
+    fixed = spark.createDataFrame([(0, 0)], "g int, tile int")
+    both = []
+    for limit in (1 << 18, 0):
+        monkeypatch.setattr(solve, "TOGETHER", limit)
+        both.append({r.tile: r.m for r in solve.pre_align(df, ["g"], fixed, "rigid").collect()})
+    assert set(both[0]) == set(both[1]) == set(range(6)) and all(np.allclose(both[0][t], both[1][t]) for t in both[0])

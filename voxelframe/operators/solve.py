@@ -135,6 +135,47 @@ def _solved(goal: str = "goal") -> Column:
     return F.col(goal).isNotNull() & ~F.exists(goal, lambda c: c.isNull())
 
 
+# Fixed value: directed tile pairs (a few hundred bytes each) up to which one task runs all rounds of a relaxation in the plane.
+TOGETHER = 1 << 18
+# Sums that the model of the neighbour moves.
+MOVED = [["sqp_xx", "sqp_xy", "sqx"], ["sqp_yx", "sqp_yy", "sqy"]]
+
+
+def _few(edges: DataFrame, keys: list[str]) -> bool:
+    """Whether the tile pairs fit one task and have all their sums."""
+    sums = [c for c in edges.columns if c not in (*keys, "a", "b")]
+    gaps = F.count_if(F.greatest(*[(F.col(c).isNull() | F.isnan(F.col(c).cast("double"))).cast("int") for c in sums]) == 1)
+    pairs, missing = edges.agg(F.count(F.lit(1)), gaps).first()
+    return 0 < pairs <= TOGETHER and not missing
+
+
+def _fitted(s: dict[str, np.ndarray], kind: str, regularizer: str | None, lam: float) -> np.ndarray:
+    """``matching.model_of`` in the plane on arrays of sums: (tiles, 2, 3), NaN where there is no solution."""
+    mp, mq = [np.stack([s[f"s{e}x"], s[f"s{e}y"]], axis=1) / s["sw"][:, None] for e in "pq"]
+    w = s["sw"][:, None, None]
+    qp = np.stack([s["sqp_xx"], s["sqp_xy"], s["sqp_yx"], s["sqp_yy"]], axis=1).reshape(-1, 2, 2) - w * mq[:, :, None] * mp[:, None, :]
+    pp = np.stack([s["spp_xx"], s["spp_xy"], s["spp_xy"], s["spp_yy"]], axis=1).reshape(-1, 2, 2) - w * mp[:, :, None] * mp[:, None, :]
+
+    def model(kind: str) -> np.ndarray:
+        if kind in ("translation", "identity"):
+            linear = np.broadcast_to(np.eye(2), qp.shape)
+        elif kind in ("rigid", "similarity"):
+            c, v = qp[:, 0, 0] + qp[:, 1, 1], qp[:, 1, 0] - qp[:, 0, 1]
+            norm = np.sqrt(c * c + v * v) if kind == "rigid" else pp[:, 0, 0] + pp[:, 1, 1]
+            linear = np.stack([c / norm, -v / norm, v / norm, c / norm], axis=1).reshape(-1, 2, 2)
+        elif kind == "affine":
+            det = pp[:, 0, 0] * pp[:, 1, 1] - pp[:, 0, 1] * pp[:, 1, 0]
+            det = np.where(det != 0, det, np.nan)[:, None]
+            first, second = [(qp[:, :, i] * pp[:, None, j, j] - qp[:, :, j] * pp[:, None, i, j]) / det for i, j in ((0, 1), (1, 0))]
+            linear = np.stack([first, second], axis=2)
+        else:
+            raise ValueError(f"unknown model {kind}")
+        shift = np.zeros(mq.shape) if kind == "identity" else mq - (linear * mp[:, None, :]).sum(axis=2)
+        return np.concatenate([linear, shift[:, :, None]], axis=2)
+
+    return model(kind) if not regularizer else model(kind) * (1.0 - lam) + model(regularizer) * lam
+
+
 # Fixed value: directed tile pairs that one task of the pre-alignment may hold, unless a single tile has more.
 PIECE = 1 << 16
 
@@ -241,14 +282,54 @@ def _pre_align_shifts(edges: DataFrame, keys: list[str], fixed: DataFrame, dim:
     return checkpoint(placed.unionByName(found.select(*keys, "tile", F.array(*entries).alias("m"))))
 
 
+def _pre_align_together(edges: pd.DataFrame, fixed: pd.DataFrame, keys: list[str], kind: str) -> pd.DataFrame:
+    """The rounds of ``pre_align`` on the sums of all tile pairs."""
+    at = pd.concat([edges[[*keys, "a"]].rename(columns={"a": "tile"}), fixed[[*keys, "tile"]]]).drop_duplicates(ignore_index=True)
+    at["_i"] = np.arange(len(at))
+    a, b = [edges[[*keys, e]].merge(at.rename(columns={"tile": e}), on=[*keys, e], how="left")["_i"].to_numpy() for e in "ab"]
+    order = np.argsort(a, kind="stable")
+    a, b = a[order], b[order]
+    s = {c: edges[c].to_numpy(dtype=float)[order] for c in edges.columns if c == "sw" or c[:2] in ("sp", "sq")}
+    own, to = np.searchsorted(a, np.arange(len(at) + 1)), np.argsort(b, kind="stable")
+    into = np.searchsorted(b[to], np.arange(len(at) + 1))
+    m, placed = np.full((len(at), 2, 3), np.nan), np.zeros(len(at), dtype=bool)
+    front = fixed[[*keys, "tile"]].merge(at, on=[*keys, "tile"])["_i"].to_numpy()
+    m[front], placed[front] = np.eye(2, 3), True
+    with np.errstate(all="ignore"):
+        while len(front):
+            ahead = np.unique(np.concatenate([a[to[into[t]:into[t + 1]]] for t in front]))
+            ahead = ahead[~placed[ahead]]
+            rows = np.concatenate([np.arange(own[t], own[t + 1]) for t in ahead]) if len(ahead) else own[:0]
+            rows = rows[placed[b[rows]]]
+            if not len(rows):
+                break
+            tiles, begin = np.unique(a[rows], return_index=True)
+            part = {c: v[rows] for c, v in s.items()}
+            c = np.stack([part["sqp_xx"], part["sqp_xy"], part["sqx"], part["sqp_yx"], part["sqp_yy"], part["sqy"], part["spx"], part["spy"], part["sw"]], axis=1)
+            moved = np.add.reduceat(m[b[rows]] @ c.reshape(-1, 3, 3), begin, axis=0)
+            sums = {k: np.add.reduceat(v, begin) for k, v in part.items()} | {k: moved[:, r, i] for r, row in enumerate(MOVED) for i, k in enumerate(row)}
+            goal = _fitted(sums, kind, None, 0.0)
+            able = ~np.isnan(goal).any(axis=(1, 2))
+            front = tiles[able]
+            m[front], placed[front] = goal[able], True
+    return at.loc[placed, [*keys, "tile"]].assign(m=list(m[placed].reshape(-1, 6)))
+
+
 def pre_align(matches: DataFrame, keys: list[str], fixed: DataFrame, kind: str = "translation", dim: int = 2) -> DataFrame:
     """Start models (tile, m): tiles next to placed ones are fitted to them, from
     the fixed tiles outwards, until no tile is reached any more. Translations
-    pass a piece of the tile graph a round, other kinds one tile."""
+    pass a piece of the tile graph a round, other kinds one tile, or all in one
+    task for up to ``TOGETHER`` directed pairs in the plane."""
     edges = checkpoint(edge_moments(matches, keys, dim))
     if kind == "translation":
         return _pre_align_shifts(edges, keys, fixed, dim)
     placed = checkpoint(fixed.select(*keys, "tile").distinct().withColumn("m", _identity(dim)))
+    if dim == 2 and _few(edges, keys):
+        def walk(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+            return _pre_align_together(x, y, keys, kind)
+
+        one = F.lit(0).alias("_all")
+        return checkpoint(edges.groupBy(one).cogroup(placed.groupBy(one)).applyInPandas(walk, placed.schema))
     while True:
         ahead = edges.join(placed.select(*keys, F.col("tile").alias("a")), [*keys, "a"], "left_anti")
         # written before it is filtered: a filter would be copied into the formulas of the fit
@@ -258,6 +339,45 @@ def pre_align(matches: DataFrame, keys: list[str], fixed: DataFrame, kind: str =
         placed = checkpoint(placed.unionByName(new))
 
 
+def _relax_together(edges: pd.DataFrame, models: pd.DataFrame, keys: list[str], kind: str, regularizer: str | None, lam: float, rounds: int,
+                    damp: float, plateau: float, patience: int, max_error: float | None, prior_weight: float) -> pd.DataFrame:
+    """The rounds of ``relax`` on the sums of all tile pairs; the models with their last state."""
+    at = models[[*keys, "tile"]].assign(_i=np.arange(len(models)))
+    a, b = [edges[[*keys, e]].merge(at.rename(columns={"tile": e}), on=[*keys, e], how="left")["_i"].to_numpy() for e in "ab"]
+    order = np.argsort(a, kind="stable")
+    a, b = a[order], b[order]
+    s = {c: edges[c].to_numpy(dtype=float)[order] for c in edges.columns if c == "sw" or c[:2] in ("sp", "sq")}
+    tiles, begin = np.unique(a, return_index=True)
+    m = np.stack(models["m"].tolist()).astype(float).reshape(-1, 2, 3)
+    free = ~models["held"].to_numpy(dtype=bool)[tiles]
+    prior = None
+    if "prior" in models:
+        prior = np.stack([np.full(6, np.nan) if v is None else v for v in models["prior"]]).astype(float).reshape(-1, 2, 3)[tiles]
+        none = np.isnan(prior).any(axis=(1, 2), keepdims=True)
+    fixed = {c: np.add.reduceat(v, begin) for c, v in s.items() if c == "sw" or c[:2] == "sp"}
+    one = s["sw"]
+    p, q = [np.stack([s[f"s{e}{e}_xx"], s[f"s{e}{e}_xy"], s[f"s{e}x"], s[f"s{e}{e}_xy"], s[f"s{e}{e}_yy"], s[f"s{e}y"], s[f"s{e}x"], s[f"s{e}y"], one], axis=1)
+            .reshape(-1, 3, 3) for e in "pq"]
+    c = np.stack([s["sqp_xx"], s["sqp_xy"], s["sqx"], s["sqp_yx"], s["sqp_yy"], s["sqy"], s["spx"], s["spy"], one], axis=1).reshape(-1, 3, 3)
+    best = None
+    with np.errstate(all="ignore"):
+        for step in range(rounds):
+            moved = np.add.reduceat(m[b] @ c, begin, axis=0)
+            goal = _fitted(fixed | {k: moved[:, r, i] for r, row in enumerate(MOVED) for i, k in enumerate(row)}, kind, regularizer, lam)
+            able = free & ~np.isnan(goal).any(axis=(1, 2))
+            if prior is not None:
+                goal = np.where(none, goal, goal * (1.0 - prior_weight) + prior * prior_weight)
+            m[tiles[able]] = m[tiles[able]] * (1.0 - damp) + goal[able] * damp
+            if (step + 1) % patience == 0:
+                ma, mb = m[a], m[b]
+                square = ((ma @ p) * ma + (mb @ q) * mb - 2.0 * (mb @ c) * ma).sum(axis=(1, 2))
+                error = np.sqrt(np.maximum(square / one, 0.0) @ one / one.sum())
+                if best is not None and best - error < plateau * max(best, 1e-12) and (max_error is None or error <= max_error):
+                    break
+                best = error
+    return models[[*keys, "tile"]].assign(m=list(m.reshape(-1, 6)))
+
+
 def relax(matches: DataFrame, keys: list[str], kind: str = "affine", regularizer: str | None = None, lam: float = 0.0,
           fixed: DataFrame | None = None, start: DataFrame | None = None, rounds: int = 1000, damp: float = 0.5,
           plateau: float = 1e-4, patience: int = 5, max_error: float | None = None, dim: int = 2,
@@ -270,7 +390,8 @@ def relax(matches: DataFrame, keys: list[str], kind: str = "affine", regularizer
     Matches are summed to one row per tile pair once; every round then joins
     these few rows to the tile models. All tiles of a round move together, by
     the fraction ``damp``. Fixed tiles keep their start model. With ``prior``
-    (tile, m) every fit is mixed with the tile's prior model by ``prior_weight``."""
+    (tile, m) every fit is mixed with the tile's prior model by ``prior_weight``.
+    A solve in the plane of up to ``TOGETHER`` directed pairs runs its rounds in one task."""
     edges = checkpoint(edge_moments(matches, keys, dim))
     identity = _identity(dim)
     models = edges.select(*keys, F.col("a").alias("tile")).distinct()
@@ -283,6 +404,14 @@ def relax(matches: DataFrame, keys: list[str], kind: str = "affine", regularizer
     if prior is not None:
         models = models.join(prior.select(*keys, "tile", F.col("m").alias("prior")), [*keys, "tile"], "left")
     models = checkpoint(models)
+    if dim == 2 and _few(edges, keys):
+        schema = models.select(*keys, "tile", "m").schema
+
+        def settle(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+            return _relax_together(x, y, keys, kind, regularizer, lam, rounds, damp, plateau, patience, max_error, prior_weight)
+
+        one = F.lit(0).alias("_all")
+        return checkpoint(edges.groupBy(one).cogroup(models.groupBy(one)).applyInPandas(settle, schema))
     # the number of tiles does not change, so one count decides about the broadcast
     spread = F.broadcast if models.count() <= SMALL_ROWS else lambda df: df
     best, extra = None, [] if prior is None else ["prior"]
@@ -310,10 +439,17 @@ def relax(matches: DataFrame, keys: list[str], kind: str = "affine", regularizer
 STAGES_3D = [(1.0, 1000, 250), (0.5, 500, 100), (0.1, 200, 75), (0.01, 100, 25)]
 
 
+# Most rounds and plateau width of the stages of a solve in the plane.
+ROUNDS_2D, PLATEAU_2D = 5000, 200
+
+
 def relax_staged(matches: DataFrame, keys: list[str], kind: str, regularizer: str, lambdas: list[float],
-                 rounds: list[int], **options) -> DataFrame:
-    """Relax with a stiff model first, then with ever softer ones."""
+                 rounds: list[int] | None = None, **options) -> DataFrame:
+    """Relax with a stiff model first, then with ever softer ones, each until its
+    error settles. ``rounds`` ends the stages earlier."""
     models = options.pop("start", None)
+    if rounds is None:
+        rounds, options = [ROUNDS_2D] * len(lambdas), {"patience": PLATEAU_2D, **options}
     for lam, n in zip(lambdas, rounds):
         models = relax(matches, keys, kind, regularizer, lam, start=models, rounds=n, **options)
     return models
