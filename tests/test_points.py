@@ -360,3 +360,19 @@ def test_pre_alignment_in_one_task_walks_as_its_rounds(spark, monkeypatch):
         monkeypatch.setattr(solve, "TOGETHER", limit)
         both.append({r.tile: r.m for r in solve.pre_align(df, ["g"], fixed, "rigid").collect()})
     assert set(both[0]) == set(both[1]) == set(range(6)) and all(np.allclose(both[0][t], both[1][t]) for t in both[0])
+
+
+def test_two_closest_descriptors_as_all_pairs_give_them(spark):
+    """Ties, copies, values far from zero; a target that is not a number hides no other."""
+    rng = np.random.default_rng(11)
+    for p, q in [(rng.normal(size=(70, 9)), rng.normal(size=(90, 9))), (rng.integers(0, 3, (70, 4)) * 1.0, rng.integers(0, 3, (90, 4)) * 1.0),
+                 (rng.normal(size=(70, 9)) * 1e-3 + 1e5, rng.normal(size=(90, 9)) * 1e-3 + 1e5), (rng.normal(size=(5, 9)), rng.normal(size=(1, 9)))]:
+        d2 = sum((p[:, None, c] - q[None, :, c]) ** 2 for c in range(p.shape[1]))
+        want = np.argsort(d2, axis=1, kind="stable")[:, :2]
+        for chunk in (1, 20, 1024):
+            who, least = matching.two_closest(p, q, chunk)
+            assert (who[:, :want.shape[1]] == want).all() and (least[:, :want.shape[1]] == np.take_along_axis(d2, want, axis=1)).all()
+    rows = [(0, i, [float(i), float(i % 3)]) for i in range(20)]
+    a = spark.createDataFrame(rows, "g int, fid long, desc array<double>")
+    b = a.unionByName(spark.createDataFrame([(0, 99, [float("nan"), 0.0])], a.schema))
+    assert {(r.a, r.b) for r in matching.match_features(a, b, ["g"], 0.92).collect()} == {(i, i) for i in range(20)}
